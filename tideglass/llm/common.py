@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Bits of a hash filter: 8 MB when all its parts are filled, whatever the data's size.
 FILTER_BITS = 26
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PART_BITS = 15  # of one part, as bitmap_construct_agg makes them
 
 
@@ -30,8 +31,12 @@ def new_path(spark: SparkSession, label: str) -> str:
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of df, written once to the shared folder and read from there: survives lost executors."""
     spark = df.sparkSession
-    path = new_path(spark, label)
-    df.write.parquet(path)
+    path, before = new_path(spark, label), spark.conf.get(_CLEAN)
+    spark.conf.set(_CLEAN, "true")  # the shuffle files behind a written table have no further use
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,10 +6,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideglass.llm.bpe_codec import token_digests
 from tideglass.llm.exact_dedup import exact_dedup
+from tideglass.llm.packing import pack_documents
 from tideglass.llm.simhash import simhash_dedup
 
 
+def tokenizer_path(name: str) -> str:
+    """Where the public vocabulary file lies; each worker has it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -18,12 +27,20 @@ def op1_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(_documents(spark, sf_dir))
 
 
+def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digests(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
 
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_dedup, op8_exact_dedup)}
+    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op8_exact_dedup, op9_packing)}
 
 
 def oracle_sql() -> dict[str, str]:
