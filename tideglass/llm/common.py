@@ -28,13 +28,13 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows of df, written once to the shared folder and read from there: survives lost executors."""
     spark = df.sparkSession
     path, before = new_path(spark, label), spark.conf.get(_CLEAN)
     spark.conf.set(_CLEAN, "true")  # the shuffle files behind a written table have no further use
     try:
-        df.write.parquet(path)
+        df.write.option("compression", compression).parquet(path)
     finally:
         spark.conf.set(_CLEAN, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -10,6 +10,7 @@ from tideglass.llm.bpe_codec import token_digests
 from tideglass.llm.exact_dedup import exact_dedup
 from tideglass.llm.packing import pack_documents
 from tideglass.llm.simhash import simhash_dedup
+from tideglass.llm.token_output import token_table
 
 
 def tokenizer_path(name: str) -> str:
@@ -39,8 +40,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"))
 
 
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_table(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op8_exact_dedup, op9_packing)}
+    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op8_exact_dedup, op9_packing, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
