@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from tideglass.llm.bpe_codec import token_digests
 from tideglass.llm.exact_dedup import exact_dedup
 from tideglass.llm.packing import pack_documents
+from tideglass.llm.pii import span_digests
 from tideglass.llm.simhash import simhash_dedup
 from tideglass.llm.token_output import token_table
+from tideglass.llm.toxicity import score_documents
 
 
 def tokenizer_path(name: str) -> str:
@@ -32,6 +34,14 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_digests(_documents(spark, sf_dir))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_documents(spark, sf_dir))
 
@@ -45,7 +55,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op8_exact_dedup, op9_packing, op10_token_output)}
+    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op6_toxicity, op7_pii, op8_exact_dedup, op9_packing, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
