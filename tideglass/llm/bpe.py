@@ -19,7 +19,7 @@ _NONE = np.int32(np.iinfo(np.int32).max)
 #: Words up to so many symbols are merged together as rows of a matrix; longer ones one by one.
 _WIDE = 64
 #: Distinct pieces that a worker remembers.
-CACHE = 1 << 19
+CACHE = 3 << 17
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -270,8 +270,7 @@ class Merges:
         ids, sizes, failed = self.propose(np.frombuffer(b"".join(words), np.uint8), given)
         owner = np.repeat(np.arange(len(words)), sizes)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
-        pairs, back = np.unique(ids[inner].astype(np.int64) << 20 | ids[inner + 1], return_inverse=True)
-        fine = self.compatible((pairs >> 20).astype(np.int32), (pairs & 0xFFFFF).astype(np.int32))[back]
+        fine = self.compatible(ids[inner], ids[inner + 1])
         failed[owner[inner[~fine]]] = True
         again = np.flatnonzero(failed)
         exact, counts = self._merge(*self._symbols([words[k] for k in again.tolist()])) if len(again) else (ids[:0], sizes[:0])
@@ -321,30 +320,35 @@ class TextEncoder:
     def of(cls, path: str) -> TextEncoder:
         return _loaded.get(path) or _loaded.setdefault(path, cls(path))
 
-    def _cut(self, piece: str) -> list[bytes]:
-        """The words of a piece, as bytes; characters beyond the Latin blocks are classed by the library's own tables."""
+    def _cut(self, piece: str) -> list[str | bytes]:
+        """The words of a piece; characters beyond the Latin blocks are classed by the library's own tables."""
         if not self.spaces:
             piece = piece.lower() if piece.isascii() or not _FAR.search(piece) else self.lib.normalizer.normalize_str(piece)
         if not piece.isascii() and _FAR.search(piece):
-            found = [bytes(map(self._chars.__getitem__, w)) for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(piece)]
-        elif (piece[1:] if piece[0] == " " else piece).isalpha():
-            found = [piece.encode()]
-        elif piece[-1] in ".," and (piece[1:-1] if piece[0] == " " else piece[:-1]).isalpha():
-            found = [piece[:-1].encode(), piece[-1].encode()]
-        else:
-            found = [w.encode() for w in self._words.findall(piece)]
-        return found if self.spaces else [w + _END for w in found]
+            return [bytes(map(self._chars.__getitem__, w)) for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(piece)]
+        return self._words.findall(piece)
 
     def _learn(self, pieces: list[str], cache: dict[str, bytes], lead: str) -> None:
         """Adds the pieces that cache lacks."""
-        new = [p for p in dict.fromkeys(pieces) if p not in cache]
-        cuts = [self._cut(lead + p) for p in new]
-        words = list(dict.fromkeys(w for cut in cuts for w in cut))
-        ids, sizes = self.merges.encode(words)
+        new = list(set(pieces).difference(cache))
+        number: dict[str | bytes, int] = {}
+        find, lower = number.setdefault, not self.spaces
+        of: list = []
+        for p in new:
+            q = p.lower() if lower else p
+            latin = q.isascii() or max(q) < "\u0250"
+            if latin and q.isalpha():  # most are one word, or one and a sign behind it
+                of.append(find(lead + q, len(number)))
+            elif latin and q[-1] in ".," and q[:-1].isalpha():
+                of.append((find(lead + q[:-1], len(number)), find(q[-1], len(number))))
+            else:
+                of.append([find(w, len(number)) for w in self._cut(lead + p)])
+        end = _END if lower else b""
+        ids, sizes = self.merges.encode([(w.encode() if isinstance(w, str) else w) + end for w in number])
         raw, ends = ids.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
-        of = {w: raw[a:b] for w, a, b in zip(words, [0, *ends], ends, strict=False)}
-        for p, cut in zip(new, cuts, strict=True):
-            cache[p] = of[cut[0]] if len(cut) == 1 else b"".join([of[w] for w in cut])
+        made = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for p, k in zip(new, of, strict=True):
+            cache[p] = made[k] if type(k) is int else b"".join([made[x] for x in k])
 
     def _blocks(self, text: str):
         at, n = 0, len(text)
