@@ -12,6 +12,7 @@ from tideglass.llm.fingerprints import fingerprint_documents
 from tideglass.llm.packing import pack_documents
 from tideglass.llm.pii import span_digests
 from tideglass.llm.simhash import simhash_dedup
+from tideglass.llm.suffix_dedup import repeat_digests
 from tideglass.llm.token_output import token_table
 from tideglass.llm.toxicity import score_documents
 
@@ -39,6 +40,10 @@ def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(_documents(spark, sf_dir))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(_documents(spark, sf_dir))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -60,7 +65,7 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op4_document_fingerprints, op6_toxicity, op7_pii, op8_exact_dedup, op9_packing, op10_token_output)}
+    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op4_document_fingerprints, op5_suffix_dedup, op6_toxicity, op7_pii, op8_exact_dedup, op9_packing, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
