@@ -65,14 +65,37 @@ def key_filter(keys: DataFrame, key: str) -> DataFrame:
     ).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
 
 
-def maybe_in(df: DataFrame, key: str, bitmap: DataFrame) -> DataFrame:
-    """The rows of df whose key may be in the filter; none that is in it is missing.
+def fresh(df: DataFrame, count: int) -> list[str]:
+    """Column names that df doesn't have."""
+    stem, taken = "_x", {c.lower() for c in df.columns}
+    while any(f"{stem}{k}" in taken for k in range(count)):
+        stem += "x"
+    return [f"{stem}{k}" for k in range(count)]
 
-    The filter is broadcast: FILTER_BITS bounds its size. When it is full it keeps every row, and the joins that
-    follow are still right.
+
+def maybe_in(df: DataFrame, key: str, bitmap: DataFrame, there: bool = True) -> DataFrame:
+    """The rows of df whose key may be in the filter (none that is in it is missing), or all others.
+
+    The filter is broadcast: FILTER_BITS bounds its size. When it is full it passes every row, and the joins that follow
+    are still right.
     """
     slot = F.col(key).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    part, bit = F.shiftright(slot, _PART_BITS), slot.bitwiseAND(F.lit((1 << _PART_BITS) - 1))
-    joined = df.withColumns({"_part": part, "_bit": bit}).join(F.broadcast(bitmap), "_part")
-    held = F.expr("shiftright(cast(conv(hex(substring(_bits, cast(shiftright(_bit, 3) as int) + 1, 1)), 16, 10) as int), cast(_bit & 7 as int)) & 1")
-    return joined.filter(held == 1).drop("_part", "_bit", "_bits")
+    part, bit, bits = fresh(df, 3)
+    own = df.withColumns({part: F.shiftright(slot, _PART_BITS), bit: slot.bitwiseAND(F.lit((1 << _PART_BITS) - 1))})
+    joined = own.join(F.broadcast(bitmap.select(F.col("_part").alias(part), F.col("_bits").alias(bits))), part, "inner" if there else "left")
+    held = F.expr(f"shiftright(cast(conv(hex(substring({bits}, cast(shiftright({bit}, 3) as int) + 1, 1)), 16, 10) as int), cast({bit} & 7 as int)) & 1")
+    return joined.filter(F.coalesce(held, F.lit(0)) == int(there)).select(*df.columns)
+
+
+def without(docs: DataFrame, dropped: DataFrame, keys: list[Column]) -> DataFrame:
+    """docs without the rows whose keys, in order, are a row of `dropped`; keys with nulls match nothing.
+
+    Only rows that a filter of the dropped keys passes go through the join; all others stay where they are.
+    """
+    names = fresh(docs, len(keys) + 1)
+    gone = written(dropped.toDF(*names[1:]).distinct(), "dropped")
+    bitmap = written(key_filter(gone.select(F.xxhash64(*names[1:]).alias("hashed")), "hashed"), "filter")
+    keyed = docs.withColumns(dict(zip(names[1:], keys, strict=True))).withColumn(names[0], F.xxhash64(*names[1:]))
+    stay = maybe_in(keyed, names[0], bitmap, there=False)
+    rest = maybe_in(keyed, names[0], bitmap).join(gone, names[1:], "left_anti")
+    return stay.select(*docs.columns).unionByName(rest.select(*docs.columns))

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.common import ascii_lower, drop_written, key_filter, maybe_in, text_of, written
+from tideglass.llm.common import ascii_lower, drop_written, key_filter, maybe_in, text_of, without, written
 
 #: Distinct keys that a bucket may hold.
 CAPACITY = 1 << 14
@@ -112,3 +112,9 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         )
         .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
     )
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+    """docs without the rows that exact_dedup doesn't keep, all columns as they are."""
+    gone = exact_dedup(docs, id_col, text_col, capacity).filter(~F.col("kept")).select("doc_id", "text_sha256")
+    return without(docs, gone, [F.col(id_col), F.sha2(ascii_lower(text_of(docs, text_col)), 256)])

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tideglass.llm.bpe_codec import token_digests
 from tideglass.llm.exact_dedup import exact_dedup
 from tideglass.llm.fingerprints import fingerprint_documents
+from tideglass.llm.license_scan import license_sql, license_table
 from tideglass.llm.packing import pack_documents
 from tideglass.llm.pii import span_digests
 from tideglass.llm.simhash import simhash_dedup
@@ -36,6 +37,10 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digests(_documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_table(_documents(spark, sf_dir))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(_documents(spark, sf_dir))
 
@@ -65,11 +70,12 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op4_document_fingerprints, op5_suffix_dedup, op6_toxicity, op7_pii, op8_exact_dedup, op9_packing, op10_token_output)}
+    return {f.__name__: f for f in (op1_simhash_dedup, op2_bpe_codec, op3_license_scan, op4_document_fingerprints, op5_suffix_dedup, op6_toxicity, op7_pii, op8_exact_dedup, op9_packing, op10_token_output)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_license_scan": license_sql(),
         "op8_exact_dedup": """
             WITH t AS (
                 SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS norm FROM documents

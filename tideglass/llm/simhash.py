@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.common import written
+from tideglass.llm.common import without, written
 from tideglass.llm.components import components
 
 BUCKET = 16
@@ -108,3 +108,9 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labels = components(pairs.select("src", "dst"))
     of_fp = fps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("label", "rep").alias("component_id"))
     return made.join(of_fp, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """docs with one document of each group: the one of least id; all columns as they are."""
+    gone = simhash_dedup(docs, id_col, text_col).filter("doc_id <> component_id").select("doc_id")
+    return without(docs, gone, [F.col(id_col).cast("long")])
