@@ -69,8 +69,8 @@ def overlaps(df: DataFrame, entity: str, start: str, end: str) -> DataFrame:
 
 def uncovered(published: DataFrame, selection: DataFrame, entity: str) -> DataFrame:
     """Published (entity, start, end) that lie in no merged span of the selection."""
-    spans = merged_spans(selection, entity, "start", "end").withColumnsRenamed({"start": "s", "end": "e"})
-    inside = [published[entity] == spans[entity], published["start"] >= spans["s"], published["end"] <= spans["e"]]
+    spans = merged_spans(selection, entity, "start", "end").withColumnsRenamed({entity: "_entity", "start": "_start", "end": "_end"})
+    inside = [F.col(entity) == F.col("_entity"), F.col("start") >= F.col("_start"), F.col("end") <= F.col("_end")]
     return published.join(spans, inside, "left_anti")
 
 
