@@ -115,6 +115,6 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """docs without the rows that exact_dedup doesn't keep, all columns as they are."""
+    """docs without the rows that exact_dedup doesn't keep, all columns as they are; a row without id always stays."""
     gone = exact_dedup(docs, id_col, text_col, capacity).filter(~F.col("kept")).select("doc_id", "text_sha256")
     return without(docs, gone, [F.col(id_col), F.sha2(ascii_lower(text_of(docs, text_col)), 256)])

@@ -76,7 +76,9 @@ def _best_fit(capacity: int, first_id: int):
     """Packs all rows of one partition: longest first, each where least room is left over."""
 
     def run(frames):
-        rows = pd.concat([*frames])
+        if not (parts := [*frames]):
+            return
+        rows = pd.concat(parts)
         rows = rows.sort_values(["length", "doc_id", "start"], ascending=[False, True, True], kind="stable")
         room: list[tuple[int, int]] = []  # (tokens free, sequence), ascending
         ids, offsets, made = [], [], 0
