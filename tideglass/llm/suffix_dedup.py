@@ -31,7 +31,7 @@ from tideglass.llm.common import text_of, written
 SIZE = 100
 GRAM = 32
 STEP = 8
-_CHUNK = 1 << 20  # bytes that are hashed at once
+_CHUNK = 1 << 17  # bytes that are hashed at once
 _PLACE = 21  # bits of a place inside a chunk
 _ITEM = "core long, context long, doc long, at long, span long"
 _ITEM_PA = [*"core context doc at span".split()]
