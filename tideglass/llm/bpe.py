@@ -10,6 +10,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from itertools import filterfalse, islice
 
 import numpy as np
 import regex
@@ -19,7 +20,7 @@ _NONE = np.int32(np.iinfo(np.int32).max)
 #: Words up to so many symbols are merged together as rows of a matrix; longer ones one by one.
 _WIDE = 64
 #: Distinct pieces that a worker remembers.
-CACHE = 3 << 17
+CACHE = 1 << 18
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -305,10 +306,6 @@ class TextEncoder:
         self.special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.spaces = not self.merges.suffix  # whether white space makes ids
-        self.vocabulary = [*self.merges.token_bytes]
-        for t in spec["added_tokens"]:
-            self.vocabulary += [b""] * (t["id"] + 1 - len(self.vocabulary))
-            self.vocabulary[t["id"]] = t["content"].encode()
         self._words = regex.compile(
             r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+" if self.spaces else r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
         )
@@ -328,9 +325,8 @@ class TextEncoder:
             return [bytes(map(self._chars.__getitem__, w)) for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(piece)]
         return self._words.findall(piece)
 
-    def _learn(self, pieces: list[str], cache: dict[str, bytes], lead: str) -> None:
-        """Adds the pieces that cache lacks."""
-        new = list(set(pieces).difference(cache))
+    def _learn(self, new: set[str], cache: dict[str, bytes], lead: str) -> None:
+        """Adds pieces that cache lacks."""
         number: dict[str | bytes, int] = {}
         find, lower = number.setdefault, not self.spaces
         of: list = []
@@ -378,15 +374,18 @@ class TextEncoder:
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.literal) + len(self.spaced) > CACHE:
-            self.literal.clear()
-            self.spaced.clear()
+        if len(self.literal) + len(self.spaced) > CACHE:  # the older half goes
+            self.literal, self.spaced = (dict(islice(c.items(), len(c) // 2, None)) for c in (self.literal, self.spaced))
         cut = [[*self._parts(t)] for t in texts]
         for cache, lead in ((self.literal, ""), (self.spaced, " ")):
-            self._learn([p for c in cut for pieces, of in c if of is cache for p in pieces], cache, lead)
+            new: set[str] = set()
+            for pieces in (pieces for c in cut for pieces, of in c if of is cache):
+                new.update(filterfalse(cache.__contains__, pieces))
+            if new:
+                self._learn(new, cache, lead)
         return [b"".join([self.special[pieces] if of is None else b"".join(map(of.__getitem__, pieces)) for pieces, of in c]) for c in cut]
 
-    def encode_each(self, texts, most: int = 1 << 22):
+    def encode_each(self, texts, most: int = 1 << 21):
         """encode_batch over groups of so many characters, one result for each text."""
         group, size = [], 0
         for t in texts:
@@ -397,5 +396,23 @@ class TextEncoder:
                 group, size = [], 0
         yield from self.encode_batch(group)
 
+
+class Vocabulary:
+    """The bytes of each id, for decoding."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        chars, suffix = _byte_alphabet(), spec["model"].get("end_of_word_suffix") or ""
+        vocab = spec["model"]["vocab"]
+        self.of_id = [b""] * (max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])]) + 1)
+        for token, k in vocab.items():
+            ends = suffix and token.endswith(suffix)
+            body = token.removesuffix(suffix) if ends else token
+            self.of_id[k] = (bytes(map(chars.__getitem__, body)) if all(c in chars for c in body) else body.encode()) + b" " * bool(ends)
+        for t in spec["added_tokens"]:
+            self.of_id[t["id"]] = t["content"].encode()
+
     def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.vocabulary.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        """The text of ids; words of a vocabulary with word ends are set apart by blanks."""
+        return b"".join(map(self.of_id.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")

@@ -52,6 +52,14 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, _UPPER, _LOWER)
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """df, after limiting the session's Arrow batches to so many rows: whole texts are long, and workers hold a batch."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+    return df
+
+
 def text_of(df: DataFrame, text_col: str = "text") -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))

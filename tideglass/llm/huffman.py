@@ -6,6 +6,7 @@ import numpy as np
 
 #: Longest code word in bits; decoding looks up so many bits at once, so its table has 2**LIMIT entries.
 LIMIT = 20
+_AT_ONCE = 1 << 14
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -56,26 +57,28 @@ class Codec:
         first = np.cumsum(spans) - spans
         self.words = np.zeros(len(lengths), np.uint64)
         self.words[order] = (first >> (self.limit - size)).astype(np.uint64)
+        self._short = self.lengths.astype(np.int8)
         self.symbol = np.repeat(order, spans).astype(np.int32)
         self.symbol = np.concatenate([self.symbol, np.zeros((1 << self.limit) - len(self.symbol), np.int32)])
         self.size = self.lengths[self.symbol]
+        self.both = self.symbol.astype(np.int64) << 8 | self.size
 
     def pack(self, ids: np.ndarray, every: int) -> tuple[bytes, np.ndarray]:
         """(bits of ids, the bit offset of each `every`-th id): the first bit is the highest of the first byte."""
-        size = self.lengths[ids]
-        ends = np.cumsum(size)
-        starts = ends - size
+        size = self._short[ids]
+        ends = np.cumsum(size, dtype=np.int64)
         total = int(ends[-1]) if len(ends) else 0
+        starts = ends - size
         # each word touches at most two 32-bit cells, as words are shorter than 32 bits
         cells = np.zeros(total // 32 + 2, np.uint64)
-        at, shift = starts >> 5, (64 - (starts & 31) - size).astype(np.uint64)
-        wide = self.words[ids] << shift
-        high, low = wide >> np.uint64(32), wide & np.uint64(0xFFFFFFFF)
-        for part, cell in ((high, at), (low, at + 1)):
+        for k in range(0, len(ids), _AT_ONCE):  # so many words' arrays stay near the processor
+            own = slice(k, k + _AT_ONCE)
+            cell = starts[own] >> 5
+            wide = self.words[ids[own]] << (64 - (starts[own] & 31) - size[own]).astype(np.uint64)
             # words of one cell stand side by side and share no bit, so a sum joins them
             first = np.flatnonzero(np.diff(cell, prepend=-1))
-            if len(first):
-                cells[cell[first]] |= np.add.reduceat(part, first)
+            cells[cell[first]] |= np.add.reduceat(wide >> np.uint64(32), first)
+            cells[cell[first] + 1] |= np.add.reduceat(wide & np.uint64(0xFFFFFFFF), first)
         raw = cells.astype(">u4").tobytes()
         return raw[: (total + 7) // 8], starts[::every].copy()
 
@@ -83,13 +86,17 @@ class Codec:
         """The n ids of a block: all stretches between checkpoints are decoded side by side, one id a step each."""
         data = np.frombuffer(raw + bytes(8), np.uint8)
         # four bytes from each position on hold 25 usable bits; words have LIMIT at most
-        at, out = offsets.astype(np.int64).copy(), np.zeros((len(offsets), every), np.int32)
+        at, out = offsets.astype(np.int64).copy(), np.empty((min(every, n), len(offsets)), np.int32)
         mask, limit = (1 << self.limit) - 1, self.limit
-        wide = data.astype(np.int64)
+        # 32 bits from each byte on: every stretch reads its own
+        wide = data.astype(np.uint32)
         window = (wide[:-3] << 24) | (wide[1:-2] << 16) | (wide[2:-1] << 8) | wide[3:]
         top = len(window) - 1
-        for k in range(min(every, n)):
-            word = (window[np.minimum(at >> 3, top)] >> (32 - limit - (at & 7))) & mask
-            out[:, k] = self.symbol[word]
-            at += self.size[word]
-        return out.ravel()[:n]
+        for k in range(len(out)):
+            word = (window[np.minimum(at >> 3, top)] >> (32 - limit - (at & 7)).astype(np.uint32)) & np.uint32(mask)
+            both = self.both[word]
+            out[k] = both >> 8
+            at += both & 255
+        full = np.zeros((len(offsets), every), np.int32)
+        full[:, : len(out)] = out.T
+        return full.ravel()[:n]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tideglass.llm.bpe import TextEncoder
 from tideglass.llm.bpe_codec import in_batches
-from tideglass.llm.common import drop_written, new_path, written
+from tideglass.llm.common import drop_written, new_path, small_batches, written
 from tideglass.llm.huffman import LIMIT, Codec, code_lengths
 
 END_ID = 0
@@ -35,7 +35,7 @@ _CODED = {"part": pa.int64(), "block": pa.int64(), "n_ids": pa.int64(), "payload
 
 
 def raw_blocks(docs: DataFrame, path: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Blocks of plain 32-bit ids in ascending doc_id order; a document longer than what is left of a block goes on in the next."""
+    """Blocks of plain 32-bit ids in ascending doc_id order; only a document longer than a block runs over several."""
     tail = end_id.to_bytes(4, "little")
 
     def run(batches):
@@ -49,6 +49,9 @@ def raw_blocks(docs: DataFrame, path: str, end_id: int = END_ID, block_ids: int
                 for doc, ids in zip(b.column(0).to_pylist(), encoder.encode_each(texts), strict=True):
                     ids += tail
                     n, at = len(ids) // 4, 0
+                    if size and size + n > block_ids:
+                        yield 4 * size, (part, block, b"".join(raw), inside)
+                        block, size, raw, inside = block + 1, 0, [], []
                     while at < n:
                         here = min(n - at, block_ids - size)
                         raw.append(ids[4 * at : 4 * (at + here)])
@@ -63,7 +66,7 @@ def raw_blocks(docs: DataFrame, path: str, end_id: int = END_ID, block_ids: int
 
         yield from in_batches(rows(), _RAW)
 
-    kept = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    kept = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, f"part long, block long, ids binary, {_DOCS_SQL}")
 
 
@@ -133,9 +136,10 @@ def read_token_files(spark: SparkSession, out: str, every: int = EVERY) -> DataF
 
         yield from in_batches(rows(), {"part": pa.int64()} | {k: pa.int64() for k in _DOC} | {"ids": pa.binary()})
 
-    found = blocks.select("part", "n_ids", "payload", "checkpoints", "docs").mapInArrow(decode, f"part long, {', '.join(f'{k} long' for k in _DOC)}, ids binary")
-    whole = found.filter("here = n_tokens").select("part", "doc_id", "before", "ids")
-    cut = found.filter("here < n_tokens").groupBy("part", "rank").agg(F.first("doc_id").alias("doc_id"), F.first("before").alias("before"), F.sort_array(F.collect_list(F.struct("done", "ids"))).alias("p"))
+    read = lambda rows: rows.select("part", "n_ids", "payload", "checkpoints", "docs").mapInArrow(decode, f"part long, {', '.join(f'{k} long' for k in _DOC)}, ids binary")
+    whole = read(blocks).filter("here = n_tokens").select("part", "doc_id", "before", "ids")
+    # blocks with a part of a longer document, few if any, are decoded once more
+    cut = read(blocks.filter(F.exists("docs", lambda d: d["here"] < d["n_tokens"]))).filter("here < n_tokens").groupBy("part", "rank").agg(F.first("doc_id").alias("doc_id"), F.first("before").alias("before"), F.sort_array(F.collect_list(F.struct("done", "ids"))).alias("p"))
     joined = cut.select("part", "doc_id", "before", F.expr("aggregate(p, cast('' as binary), (a, x) -> concat(a, x.ids))").alias("ids"))
     # a row a part
     sums = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
