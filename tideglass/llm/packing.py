@@ -14,7 +14,6 @@ from __future__ import annotations
 import bisect
 import zlib
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -22,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tideglass.llm.bpe import TextEncoder
 from tideglass.llm.bpe_codec import in_batches
-from tideglass.llm.common import written
+from tideglass.llm.common import small_batches, written
 
 CAPACITY = 4096
 END_ID = 2
@@ -69,13 +68,15 @@ def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
         yield from in_batches(rows(), _PIECE)
 
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, class long, part long, local long, ids binary"
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, schema)
 
 
 def _best_fit(capacity: int, first_id: int):
     """Packs all rows of one partition: longest first, each where least room is left over."""
 
     def run(frames):
+        import pandas as pd
+
         if not (parts := [*frames]):
             return
         rows = pd.concat(parts)
