@@ -165,6 +165,26 @@ def test_toxicity(spark, hard, empty):
     assert {r.predicted for r in toxicity.score_documents(hard, marks.limit(0)).collect()} == {0}
 
 
+def test_fixed_voters_teach_the_classifier(spark):
+    rng = random.Random(5)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 8))) for _ in range(400)]
+    rows, labels = [], []
+    for k in range(1600):
+        text = rng.choices(words, k=40)
+        if k % 4 == 0:  # labelled ones have learned words, the others only fixed insults and a word that no label is seen with
+            text[3:3] = ["you", "moron", "zarquon", "moron", "moron"] if k < 800 else ["you", "vermin", "liar", "coward", "quibblix"]
+        rows.append((k, " ".join(text)))
+        labels += [(k, int(k % 4 == 0))] * (k < 800)
+    docs, marks = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    chosen, weights, *_ = toxicity.fit(docs, marks)
+    learned = dict(zip(chosen.tolist(), weights, strict=True))
+    assert learned.get(toxicity.marks_of("quibblix")[0], 0) > 0.1
+    plain = toxicity.fit(docs.filter("doc_id < 800"), marks)
+    assert toxicity.marks_of("quibblix")[0] not in plain[0].tolist()
+    found = {r.doc_id: r.predicted for r in toxicity.score_documents(docs, marks).collect()}
+    assert sum(found[k] == int(k % 4 == 0) for k in range(800, 1600)) > 760
+
+
 def test_every_operator_is_registered():
     numbers = {int(re.match(r"op(\d+)_", n)[1]) for n in registered.queries()}
     assert numbers == set(range(1, 11)) and set(registered.oracle_sql()) <= set(registered.queries())

@@ -2,8 +2,10 @@
 
 A bounded sample of labelled rows tells which words and word beginnings mark toxic texts. These and a fixed list of
 insults, dealt to many voters, vote on every document, besides patterns (insults spoken to somebody, dense hits,
-shouting). The distinct patterns of votes, counted over all documents, fit a generative model of the voters' accuracies and correlations;
-its posterior labels train a linear classifier on the sample's marks, which scores all texts in one pass.
+shouting). The distinct patterns of votes, counted over all documents, fit a generative model of the voters' accuracies and correlations,
+in which given labels only anchor the voters' rates. Its posteriors of the votes, not the given labels, choose the marks
+of a linear classifier and train it. It is trained on the labelled sample and on a sample of other rows, as many of those
+with votes and of those without as of each label. It scores all texts in one pass.
 
 Labels are read from training rows only: those whose crc32 of the id as text, modulo FOLDS, isn't 0.
 """
@@ -23,12 +25,13 @@ from tideglass.llm.common import small_batches, written
 from tideglass.llm.label_model import LabelModel, Logistic
 
 FOLDS = 5
-#: Labelled rows of each label, at most, from which marks and the classifier are learned.
+#: Labelled rows of each label, at most, from which marks are learned; as many other rows with and without votes join them for the classifier.
 SAMPLE = 10_000
 #: Marks that the classifier weighs, at most.
 MARKS = 2048
 _BITS = 20  # of a mark's hash
 _GROUPS = 8  # voters among which learned marks are dealt
+_UNITS = 1024  # of a posterior, so that sums of them don't depend on order
 _BEGINNINGS = range(3, 8)
 _WORD = re.compile(r"[^\W\d_]+")
 # fixed values: common English insults
@@ -52,9 +55,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 class Marker:
-    """Counts the chosen marks of texts; remembers the marks of distinct words."""
+    """Counts the chosen marks of texts; remembers the marks of distinct words.
 
-    def __init__(self, chosen: np.ndarray):
+    A group of marks votes for a text in which they are more than its cut of the words.
+    """
+
+    def __init__(self, chosen: np.ndarray, cuts: np.ndarray | None = None):
+        self.cuts = np.zeros(_GROUPS) if cuts is None else cuts
         self.index = {int(c): k for k, c in enumerate(chosen)}
         self.group = np.array([(int(c) * 2654435761 >> 7) % _GROUPS for c in chosen], np.int64)
         self.known: dict[str, tuple[int, ...]] = {}
@@ -65,22 +72,37 @@ class Marker:
         found = self.known[word] = tuple(k for x in marks_of(word) if (k := self.index.get(x)) is not None)
         return found
 
-    def __call__(self, text: str) -> tuple[np.ndarray, np.ndarray, int]:
-        """(indices of the chosen marks in a text, their values, votes as bits)."""
-        low = text.lower()
-        words = _WORD.findall(low)
-        known, hits, rude = self.known, [], 0
+    def _hits(self, words: list[str]) -> list[int]:
+        known, hits = self.known, []
         for w in words:
             found = known[w] if w in known else self._of(w)
             if found:
                 hits += found
-        at, counts = np.unique(np.array(hits, np.int64), return_counts=True)
+        return hits
+
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(indices of the chosen marks in a text, how often each occurs)."""
+        return np.unique(np.array(self._hits(_WORD.findall(text.lower())), np.int64), return_counts=True)
+
+    def density(self, words: list[str], hits: list[int]) -> np.ndarray:
+        """Each group's marks as a share of the words."""
+        return np.bincount(self.group[hits], minlength=_GROUPS) / len(words) if hits else np.zeros(_GROUPS)
+
+    def votes(self, text: str) -> int:
+        """The votes on a text as bits."""
+        low = text.lower()
+        words = _WORD.findall(low)
+        hits, rude = self._hits(words), 0
         if not _INSULTS.isdisjoint(words):
             rude = sum(w in _INSULTS for w in words)
-        groups = np.bincount(self.group[at], minlength=_GROUPS) if len(at) else np.zeros(_GROUPS, np.int64)
         upper = sum(1 for _ in _SHOUT.finditer(text))
-        votes = [*(groups > 0), rude > 0, rude > 2, rude > 0 and bool(_AT_SOMEBODY.search(low)), len(hits) >= 3 and len(hits) > 0.01 * len(words), upper > 5 and upper > 0.2 * len(words)]
-        return at, np.log1p(counts) / np.log1p(8), sum(int(b) << k for k, b in enumerate(votes))
+        votes = [*(self.density(words, hits) > self.cuts), rude > 0, rude > 2, rude > 0 and bool(_AT_SOMEBODY.search(low)), len(hits) >= 3 and len(hits) > 0.01 * len(words), upper > 5 and upper > 0.2 * len(words)]
+        return sum(int(b) << k for k, b in enumerate(votes))
+
+
+def _values(counts: np.ndarray) -> np.ndarray:
+    """What the classifier weighs, of counts of marks."""
+    return np.log1p(counts) / np.log1p(8)
 
 
 def _texts(batches, columns: int):
@@ -88,23 +110,29 @@ def _texts(batches, columns: int):
         yield from zip(*(b.column(k).to_pylist() for k in range(columns)), (t.as_py() or "" for t in b.column(columns)), strict=True)
 
 
-def choose_marks(sample: DataFrame, marks: int = MARKS) -> np.ndarray:
-    """The marks whose share of toxic texts lies surest above that of clean ones, by documents of the sample (toxic, text)."""
+def choose_marks(sample: DataFrame, marks: int = MARKS, judge=None) -> np.ndarray:
+    """The marks whose share of toxic texts lies surest above that of clean ones, by documents of the sample (toxic, text).
+
+    judge() makes a function that gives a text's chance to be toxic, in _UNITS; without it the sample's labels hold.
+    """
 
     def count(batches):
-        n = np.zeros((2, 1 << _BITS), np.int64)
-        for toxic, text in _texts(batches, 1):
+        n, sizes, chance = np.zeros((2, 1 << _BITS), np.int64), np.zeros(2, np.int64), judge and judge()
+        for label, text in _texts(batches, 1):
+            toxic = chance(text) if chance else label * _UNITS
+            sizes += (_UNITS - toxic, toxic)
             found = {m for w in set(_WORD.findall(text.lower())) for m in marks_of(w)}
-            n[toxic, list(found)] += 1
+            n[:, list(found)] += np.array([[_UNITS - toxic], [toxic]])
         used = np.flatnonzero(n.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(n[0, used]), pa.array(n[1, used])], ["mark", "clean", "toxic"])
+        # mark -1 counts the documents
+        yield pa.RecordBatch.from_arrays([pa.array([-1, *used], pa.int64()), *(pa.array([size, *own], pa.int64()) for size, own in zip(sizes, n[:, used], strict=True))], ["mark", "clean", "toxic"])
 
     counted = sample.select("toxic", "text").mapInArrow(count, "mark long, clean long, toxic long")
-    sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}  # two rows
     # at most 2**_BITS rows, those seen in few toxic texts stay behind
-    t = counted.groupBy("mark").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter("toxic >= 3").toPandas()
-    a, b = t["toxic"].to_numpy(float) + 0.5, t["clean"].to_numpy(float) + 0.5
-    n1, n0 = sizes.get(1, 0) + 1, sizes.get(0, 0) + 1
+    t = counted.groupBy("mark").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter((F.col("toxic") >= 3 * _UNITS) | (F.col("mark") < 0)).toPandas()
+    sizes, t = t[t["mark"] < 0], t[t["mark"] >= 0]
+    a, b = t["toxic"].to_numpy(float) / _UNITS + 0.5, t["clean"].to_numpy(float) / _UNITS + 0.5
+    n1, n0 = sizes["toxic"].sum() / _UNITS + 1, sizes["clean"].sum() / _UNITS + 1
     lead = np.log(a / (n1 - a + 0.5)) - np.log(b / (n0 - b + 0.5))
     sure = lead / np.sqrt(1 / a + 1 / b)
     good = np.flatnonzero((sure > 3) & (lead > 1))
@@ -112,6 +140,35 @@ def choose_marks(sample: DataFrame, marks: int = MARKS) -> np.ndarray:
     return t["mark"].to_numpy(np.int64)[best]
 
 
+def choose_cuts(sample: DataFrame, chosen: np.ndarray) -> np.ndarray:
+    """For each group of marks, the density that tells most of the labels of the sample (toxic, text)."""
+
+    def dense(batches):
+        marker = Marker(chosen)
+
+        def made():
+            for toxic, text in _texts(batches, 1):
+                words = _WORD.findall(text.lower())
+                yield 8 * _GROUPS, (toxic, marker.density(words, marker._hits(words)).astype("<f8").tobytes())
+
+        yield from in_batches(made(), {"toxic": pa.int64(), "density": pa.binary()})
+
+    # a row for each row of the sample
+    t = sample.select(F.col("toxic").cast("long"), "text").mapInArrow(dense, "toxic long, density binary").toPandas()
+    y, cuts = t["toxic"].to_numpy(float), np.zeros(_GROUPS)
+    if not 0 < y.sum() < len(y):
+        return cuts
+    entropy = lambda n, k: sum(-x * np.log(np.maximum(x, 1e-12) / np.maximum(n, 1e-12)) for x in (k, n - k))
+    d = np.frombuffer(b"".join(map(bytes, t["density"])), "<f8").reshape(-1, _GROUPS)
+    for j in range(_GROUPS):
+        at, where = np.unique(d[:, j], return_inverse=True)
+        n, k = np.bincount(where).cumsum(), np.bincount(where, y).cumsum()
+        # voting for toxic only: where the share of toxic texts is greater above the cut
+        left = np.where((y.sum() - k) * n >= k * (len(y) - n), entropy(n, k) + entropy(len(y) - n, y.sum() - k), np.inf)
+        cuts[j] = at[np.argmin(left)]
+    return cuts
+
+
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = MARKS, id_col: str = "doc_id", text_col: str = "text") -> tuple[np.ndarray, np.ndarray, float, LabelModel]:
     """(chosen marks, their weights, bias, label model)."""
     rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -121,35 +178,54 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = M
     one = lambda y: known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     picked = written(one(0).unionByName(one(1)), "picked")
     taken = written(rows.join(F.broadcast(picked), "doc_id"), "sample")
-    chosen = choose_marks(taken, marks)
+    voting = choose_marks(taken, marks)
+    cuts = choose_cuts(taken, voting)
 
     def vote(batches):
-        marker = Marker(chosen)
-        yield from in_batches(((16, (doc, marker(text)[2])) for doc, text in _texts(batches, 1)), {"doc_id": pa.int64(), "votes": pa.int64()})
+        marker = Marker(voting, cuts)
+        yield from in_batches(((16, (doc, marker.votes(text))) for doc, text in _texts(batches, 1)), {"doc_id": pa.int64(), "votes": pa.int64()})
 
-    votes = rows.mapInArrow(vote, "doc_id long, votes long")
+    votes = written(rows.mapInArrow(vote, "doc_id long, votes long"), "votes")
     # one row for each pattern of votes and label: 3 * 2**13 at most
     table = votes.join(known, "doc_id", "left").groupBy("votes", F.coalesce("toxic", F.lit(-1)).alias("given")).count().toPandas()
+    # in order, so that sums of floats don't depend on the order of tasks
+    table = table.sort_values(["votes", "given"], kind="stable")
     bits = np.arange(len(_NAMES))
     spread = lambda v: (v[:, None] >> bits & 1).astype(np.int8)
-    model = LabelModel().fit(spread(table["votes"].to_numpy(np.int64)), table["given"].to_numpy(np.int64), table["count"].to_numpy(np.int64))
+    patterns = table["votes"].to_numpy(np.int64)
+    model = LabelModel().fit(spread(patterns), table["given"].to_numpy(np.int64), table["count"].to_numpy(np.int64))
+    if not len(table):
+        return np.zeros(0, np.int64), np.zeros(0), float(np.log(0.1 / 0.9)), model
+
+    # other training rows, with and without votes, those of lowest hash: 2 * sample rows at most
+    others = votes.filter(~held_out(F.col("doc_id"))).join(F.broadcast(picked.select("doc_id")), "doc_id", "left_anti").groupBy("doc_id").agg(F.max("votes").alias("votes"))
+    more = lambda some: others.filter((F.col("votes") > 0) == some).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select("doc_id")
+    used = written(picked.select("doc_id").unionByName(more(True)).unionByName(more(False)), "used")
+    chance = {int(v): int(round(_UNITS * p)) for v, p in zip(patterns, model.posterior(spread(patterns)), strict=True)}
+
+    def judge():
+        marker = Marker(voting, cuts)
+        return lambda text: chance[marker.votes(text)]
+
+    judged = written(rows.join(F.broadcast(used), "doc_id").select(F.lit(0).alias("toxic"), "doc_id", "text"), "judged")
+    chosen = choose_marks(judged, marks, judge)
 
     def sparse(batches):
-        marker = Marker(chosen)
+        marker, likely = Marker(chosen), judge()
 
         def made():
-            for toxic, text in _texts(batches, 1):
-                at, value, bit = marker(text)
-                yield 16 * len(at) + 16, (toxic, bit, at, value)
+            for doc, text in _texts(batches, 1):
+                at, count = marker.counts(text)
+                yield 8 * len(at) + 16, (doc, likely(text), at.astype("<i4").tobytes(), count.astype("<i4").tobytes())
 
-        yield from in_batches(made(), {"toxic": pa.int64(), "votes": pa.int64(), "at": pa.list_(pa.int64()), "value": pa.list_(pa.float64())})
+        yield from in_batches(made(), {"doc_id": pa.int64(), "toxic": pa.int64(), "at": pa.binary(), "count": pa.binary()})
 
-    # a row for each row of the sample
-    t = taken.select(F.col("toxic").cast("long"), "text").mapInArrow(sparse, "toxic long, votes long, at array<long>, value array<double>").toPandas()
-    target = model.posterior(spread(t["votes"].to_numpy(np.int64)), t["toxic"].to_numpy(np.int64)) if len(t) else np.zeros(0)
-    row = np.repeat(np.arange(len(t)), [len(x) for x in t["at"]]).astype(np.int64)
-    flat = lambda c, kind: np.concatenate([np.zeros(0, kind), *t[c]]).astype(kind)
-    line = Logistic(len(chosen)).fit(row, flat("at", np.int64), flat("value", float), target)
+    # a row for each row of the samples
+    t = judged.select("doc_id", "text").mapInArrow(sparse, "doc_id long, toxic long, at binary, count binary").toPandas()
+    t = t.sort_values(["doc_id", "toxic", "at", "count"], kind="stable")
+    flat = lambda c: np.frombuffer(b"".join(map(bytes, t[c])), "<i4")
+    row = np.repeat(np.arange(len(t)), [len(x) // 4 for x in t["at"]]).astype(np.int64)
+    line = Logistic(len(chosen)).fit(row, flat("at").astype(np.int64), _values(flat("count")), t["toxic"].to_numpy(float) / _UNITS)
     if not len(chosen):
         line.bias = float(np.log(model.prior / (1 - model.prior)))
     return chosen, line.weights, line.bias, model
@@ -159,7 +235,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ma
     """For each row of docs: doc_id, held_out, score (0 to 1), predicted (1 if score >= 0.5).
 
     Scores come from the text alone; a null text counts as empty and gets the score of no marks. Labels other than 0 and
-    1 are no labels; of several for one id the greatest holds. Without labels no mark is known and all scores are low.
+    1 are no labels; of several for one id the greatest holds. Without labels only the fixed voters tell what to learn, and
+    without their votes all scores are low. Rows without id are scored but not learned from.
     Repeated rows get equal scores; a null id isn't held out. Other columns are not read. An empty table gives an empty result.
     """
     chosen, weights, bias, _ = fit(docs, labels, sample, marks, id_col, text_col)
@@ -169,8 +246,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ma
 
         def made():
             for doc, text in _texts(batches, 1):
-                at, value, _ = marker(text)
-                z = float(np.clip(weights[at] @ value + bias, -30, 30))
+                at, count = marker.counts(text)
+                z = float(np.clip(weights[at] @ _values(count) + bias, -30, 30))
                 yield 16, (doc, float(1 / (1 + np.exp(-z))))
 
         yield from in_batches(made(), {"doc_id": pa.int64(), "score": pa.float64()})
@@ -187,7 +264,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks:
     def keep(batches):
         marker = Marker(chosen)
         for b in batches:
-            found = (marker(t.as_py() or "") for t in b.column(at_col))
-            yield b.filter(pa.array([bool(weights[at] @ value + bias < 0) for at, value, _ in found], pa.bool_()))
+            found = (marker.counts(t.as_py() or "") for t in b.column(at_col))
+            yield b.filter(pa.array([bool(weights[at] @ _values(count) + bias < 0) for at, count in found], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
