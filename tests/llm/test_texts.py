@@ -118,6 +118,23 @@ def test_added_spans():
     assert pii.Covered([(1, 3), (2, 5)]).meets(4, 9) and not pii.Covered([(1, 3)]).meets(3, 9)
 
 
+def test_every_loose_form_implies_the_hint():
+    made = [
+        ("email", "anna at example dot org"), ("email", "anna[at]example[dot]org"), ("email", "anna(at)example(dot)org"), ("ip", "a:bb:ccc:dddd:E:F:AA:ffff"), ("card", "4111.1111.1111.1111"), ("card", "3782 822463 10005"),
+        ("phone", "030 1234 5678"), ("id", "123-45-6789"), ("id", "DE89 3704 0044 0532 0130 00"), *(("secret", k + "ABCDEFGHIJKLMNOP") for k in ("AKIA", "ASIA")),
+        *(("secret", k + "abcdefghijklmnopqrst") for k in ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
+        *(("secret", k + "=abcdefgh") for k in ("password", "Passwd", "PWD", "token", "Secret", "apikey", "api_key", "API-key")),
+    ]
+    reached = set()
+    for kind, t in made:
+        hit = [k for k, (own, pattern) in enumerate(pii._LOOSE) if own == kind and pattern.search(t)]
+        reached.update(hit)
+        assert hit and kind in {c[0] for c in pii.loose_candidates(f"see {t} there")}, t
+    assert reached == set(range(len(pii._LOOSE)))
+    select = pii.Selector(boosting.Boosted(), {k: 0.5 for k in pii.KINDS})
+    assert [(c[1], c[2], c[3]) for c in select(["key sk-abcdefghijklmnopqrst"])[0]] == [("secret", 4, 27)]
+
+
 def test_long_texts_take_linear_time():
     for t in ("1" * 300_000, "a" * 300_000, "a@" * 50_000, "1.2." * 50_000, "+1(" * 50_000):
         list(pii.base_candidates(t))

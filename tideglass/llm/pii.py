@@ -49,7 +49,7 @@ _LOOSE = (
     ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,255}")),
 )
 #: A text can hold a looser form only if it holds one of these.
-_HINT = re.compile(r"[0-9]|(?i:password|passwd|pwd|token|secret|api[_-]?key)|[\[(]at[\])]| at ")
+_HINT = re.compile(r"[0-9]|(?i:password|passwd|pwd|token|secret|api[_-]?key)|[\[(]at[\])]| at |AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|[A-Fa-f]:[A-Fa-f]")
 _CUES = ("mail", "contact", "write", "call", "tel", "phone", "fax", "mobile", "card", "visa", "account", "pay", "ip", "host", "server", "address", "ssn", "iban", "key", "pass", "token", "version", "isbn", "page", "id")
 _SHAPE = ("length", "digits", "letters", "upper", "groups", "longest", "shortest", "dots", "dashes", "blanks", "brackets", "plus", "at", "first_digit", "distinct", "before_letter", "before_digit", "after_letter", "after_digit", "after_dot", "line_start", "cue", "near_digits")
 _FEATURES = len(_SHAPE) + len(KINDS)
