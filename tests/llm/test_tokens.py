@@ -81,6 +81,11 @@ def check_packing(df, found, capacity=4096):
     return len(by)
 
 
+def test_only_left_pieces_reach_the_single_task(documents):
+    plan = packing.pack_documents(documents, vocabularies.path(FILES[1]))._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 1" not in plan and "Exchange SinglePartition, REPARTITION_BY_NUM" in plan
+
+
 def test_packing(spark, documents, hard, empty):
     path = vocabularies.path(FILES[1])
     found = packing.pack_documents(documents, path).collect()

@@ -118,7 +118,8 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
     keys = _KEYS + ["ids"] * with_ids
     in_full = F.expr("index div class") < F.col("full")
     filled = numbered.filter(in_full).select(*keys, (F.col("first") + F.expr("index div class")).alias("sequence_id"), (F.pmod("index", "class") * F.col("length")).alias("offset"))
-    left = numbered.filter(~in_full).select(*keys).coalesce(1)
+    # a shuffle, so that only these rows come to the one task and not the scan before the filter
+    left = numbered.filter(~in_full).select(*keys).repartition(1)
     kinds = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids binary" * with_ids
     return filled.unionByName(left.mapInPandas(_best_fit(capacity, first_id), f"{kinds}, sequence_id long, offset long"))
 
