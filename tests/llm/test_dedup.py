@@ -106,6 +106,14 @@ def test_links_of_a_dense_family(spark):
         assert {v: root(v) for v in values} == wanted
 
 
+def test_null_ids_link_others(spark, monkeypatch):
+    values = {"a": 0b0011, "mid": 0, "b": 0b1100, "far": 0xFF00FF00}
+    monkeypatch.setattr(H, "fingerprints", lambda docs, *_: docs.selectExpr("doc_id", "fp"))
+    rows = [(2, values["a"]), (None, values["mid"]), (1, values["b"]), (None, values["far"])]
+    found = H.simhash_dedup(spark.createDataFrame(rows, "doc_id long, fp long")).collect()
+    assert {(r.doc_id, int(r.fingerprint, 16)): r.component_id for r in found} == {(2, 3): 1, (None, 0): 1, (1, 12): 1, (None, 0xFF00FF00): None}
+
+
 def test_simhash_hard(hard, empty):
     rows = H.simhash_dedup(hard).collect()
     assert len(rows) == hard.count()

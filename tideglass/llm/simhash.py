@@ -102,11 +102,12 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     made = written(fingerprints(docs, id_col, text_col), "fingerprints")
     fps = written(made.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
     links = written(near_links(fps.select("fp"), bucket), "links")
-    # a fingerprint stands for its least document from here on; null ids have none
-    reps = fps.filter("rep is not null")
-    pairs = links.join(reps.select(F.col("fp").alias("a"), F.col("rep").alias("src")), "a").join(reps.select(F.col("fp").alias("b"), F.col("rep").alias("dst")), "b")
-    labels = components(pairs.select("src", "dst"))
-    of_fp = fps.join(labels.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("label", "rep").alias("component_id"))
+    # fingerprints are the nodes, so that those of null ids link others; those of one least document belong together
+    shared = fps.filter("rep is not null").groupBy("rep").agg(F.min("fp").alias("src"), F.max("fp").alias("most")).filter("src < most")
+    same = fps.join(shared, "rep").filter("fp <> src").select("src", F.col("fp").alias("dst"))
+    labels = components(links.select(F.col("a").alias("src"), F.col("b").alias("dst")).unionByName(same))
+    rooted = written(fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("label", "fp").alias("root")), "rooted")
+    of_fp = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
     return made.join(of_fp, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
