@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tideglass.llm import exact_dedup as E
 from tideglass.llm import simhash as H
@@ -43,6 +44,15 @@ def test_exact_hard(hard, empty):
     assert kept.columns == hard.columns and sorted(str(r.doc_id) for r in kept.collect()) == sorted(map(str, [2, 3, 4, 7, 8, 9, 10, 11, 12, None, None, 14, 14, 14]))
 
 
+@pytest.mark.parametrize("digest", [None, lambda norm: F.lit("one")])
+def test_exact_collisions(hard, digest):
+    """Keys of two values, and a digest that all texts share: only equal bytes make groups."""
+    more = {"digest": digest} if digest else {}
+    wanted = sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in E.exact_dedup(hard).collect())
+    found = E.exact_dedup(hard, capacity=1, key=lambda norm: F.shiftleft(F.length(norm).cast("long") % 2, 62), **more)
+    assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in found.collect()) == wanted
+
+
 def test_directory(spark):
     keys = spark.range(2000).selectExpr("xxhash64(id) AS key")
     cells = E.directory(keys, 50).collect()

@@ -9,16 +9,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Bits of a hash filter: 8 MB when all its parts are filled, whatever the data's size.
-FILTER_BITS = 26
+#: Bits of a hash filter for each key, and the most of all: 64 MB, whatever the data's size.
+BITS_A_KEY, FILTER_BITS = 16, 29
 _CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _PART_BITS = 15  # of one part, as bitmap_construct_agg makes them
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; unset (as in tests) a new one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; unset, a new one, under a local master only."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
@@ -65,12 +67,19 @@ def text_of(df: DataFrame, text_col: str = "text") -> Column:
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
 
 
+def filter_bits(keys: int) -> int:
+    """Bits of a slot's number in a filter of so many keys."""
+    return min(FILTER_BITS, max(_PART_BITS, (BITS_A_KEY * keys).bit_length()))
+
+
 def key_filter(keys: DataFrame, key: str) -> DataFrame:
-    """A bitmap of the hashes of one long column: at most 2**FILTER_BITS bits in 4 KB parts."""
-    slot = F.col(key).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
-    return keys.select(
+    """A bitmap of the hashes of one long column, written: at most 2**FILTER_BITS bits in 4 KB parts."""
+    bits = filter_bits(keys.count())
+    slot = F.col(key).bitwiseAND(F.lit((1 << bits) - 1))
+    made = keys.select(
         F.shiftright(slot, _PART_BITS).alias("_part"), slot.bitwiseAND(F.lit((1 << _PART_BITS) - 1)).alias("_bit")
-    ).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    ).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_bits"), F.lit(bits).alias("_size"))
+    return written(made, "filter")
 
 
 def fresh(df: DataFrame, count: int) -> list[str]:
@@ -87,7 +96,8 @@ def maybe_in(df: DataFrame, key: str, bitmap: DataFrame, there: bool = True) ->
     The filter is broadcast: FILTER_BITS bounds its size. When it is full it passes every row, and the joins that follow
     are still right.
     """
-    slot = F.col(key).bitwiseAND(F.lit((1 << FILTER_BITS) - 1))
+    size = (bitmap.select("_size").first() or [_PART_BITS])[0]
+    slot = F.col(key).bitwiseAND(F.lit((1 << size) - 1))
     part, bit, bits = fresh(df, 3)
     own = df.withColumns({part: F.shiftright(slot, _PART_BITS), bit: slot.bitwiseAND(F.lit((1 << _PART_BITS) - 1))})
     joined = own.join(F.broadcast(bitmap.select(F.col("_part").alias(part), F.col("_bits").alias(bits))), part, "inner" if there else "left")
@@ -102,7 +112,7 @@ def without(docs: DataFrame, dropped: DataFrame, keys: list[Column]) -> DataFram
     """
     names = fresh(docs, len(keys) + 1)
     gone = written(dropped.toDF(*names[1:]).distinct(), "dropped")
-    bitmap = written(key_filter(gone.select(F.xxhash64(*names[1:]).alias("hashed")), "hashed"), "filter")
+    bitmap = key_filter(gone.select(F.xxhash64(*names[1:]).alias("hashed")), "hashed")
     keyed = docs.withColumns(dict(zip(names[1:], keys, strict=True))).withColumn(names[0], F.xxhash64(*names[1:]))
     stay = maybe_in(keyed, names[0], bitmap, there=False)
     rest = maybe_in(keyed, names[0], bitmap).join(gone, names[1:], "left_anti")

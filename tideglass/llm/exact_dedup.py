@@ -1,22 +1,23 @@
 """Exact dedup over an extendible-hash index of normalised texts.
 
-The index holds one small entry for each row (hash, size, digest, id), no text. A directory maps leading hash bits to
-buckets; it starts at the depth that the key count asks for, and while buckets are overfull those are split by one more
-bit each (the directory doubles when a bucket is as deep as the directory). Entries go to files on the shared folder in
-(bucket, key) ranges; the tasks that own a range find the keys that occur more than once there, whose rows form a chain
-when their sizes or digests differ. Only rows whose key may repeat are read again with their texts, and all texts of a
-chain link are compared byte by byte (least against greatest). Everything is DataFrame code.
-
-Skew: copies of one text share one key, and no directory depth can split them. The ranges end in doc_id, so their
-entries are spread over files; groups are counted, and their least and greatest text are taken, within each task before
-anything is shuffled.
+A directory maps leading hash bits to buckets; it starts at the depth that the key count asks for, and while buckets are
+overfull those are split by one more bit each (the directory doubles when a bucket is as deep as the directory). The
+index holds a small entry for each distinct text (hash, size, digest, rows, greatest id), no text. Entries go to files on
+the shared folder in (bucket, key) ranges, so that one task owns all entries of a key; it chains those that collide,
+numbering the key's links by size and digest. For links of more than one row the texts are read again and compared byte
+by byte (least against greatest); texts that differ under one digest part into links of their own. Rows then look up
+their link by directory cell, key, size and digest. Everything is DataFrame code.
+
+Skew: copies of one text share one key, and no directory depth can split them. They are counted, and their least and
+greatest text are taken, within each task before anything is shuffled, so that a text is one entry however many copies
+it has.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.llm.common import ascii_lower, drop_written, key_filter, maybe_in, text_of, without, written
@@ -56,62 +57,77 @@ def directory(keys: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     return cells.select("cell", "bucket", "depth", F.lit(depth).alias("directory_depth"))
 
 
-def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
-    """The index entries (bucket, key, n_bytes, text_sha256, id) as read from its files."""
+def _hash(norm: Column) -> Column:
+    return F.xxhash64(norm)
+
+
+def _digest(norm: Column) -> Column:
+    return F.sha2(norm, 256)
+
+
+def _entries(docs: DataFrame, id_col: str, text_col: str, key, digest) -> DataFrame:
     norm = ascii_lower(text_of(docs, text_col))
-    entries = written(
-        docs.select(
-            F.col(id_col).alias("id"), F.xxhash64(norm).alias("key"), F.octet_length(norm).cast("long").alias("n_bytes"), F.sha2(norm, 256).alias("text_sha256")
-        ),
-        "entries",
-    )
-    keys = written(entries.groupBy("key").agg(F.count("*").alias("n")), "keys")
-    found = written(directory(keys.select("key"), capacity), "cells")
-    depth = (found.agg(F.max("directory_depth")).first() or [0])[0] or 0
+    return written(docs.select(F.col(id_col).alias("id"), key(norm).alias("key"), F.octet_length(norm).cast("long").alias("n_bytes"), digest(norm).alias("text_sha256")), "entries")
+
+
+def _placed(rows: DataFrame, cells: DataFrame) -> DataFrame:
+    """rows with the bucket that the directory names for their key."""
+    depth = (cells.agg(F.max("directory_depth")).first() or [0])[0] or 0
     cell = F.shiftrightunsigned("key", 64 - depth) if depth else F.lit(0).cast("long")
-    # keys whose cell no bucket names do not exist; left keeps the plan right if one did
-    placed = entries.withColumn("cell", cell).join(found.select("cell", "bucket"), "cell", "left").drop("cell")
-    index = written(placed.repartitionByRange("bucket", "key", "id").sortWithinPartitions("bucket", "key", "id"), "index")
-    drop_written(entries)
-    return index
+    return rows.withColumn("cell", cell).join(cells.select("cell", "bucket"), "cell").drop("cell")
 
 
-def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:
+def build_index(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame, DataFrame]:
+    """(directory, index) of entries (id, key, n_bytes, text_sha256), as read from their files.
+
+    The index has (bucket, key, link, n_bytes, text_sha256, n, keep) for each distinct text: how many rows have it, and
+    the greatest of their ids. link numbers the texts of a key from 1.
+    """
+    texts = written(entries.groupBy("key", "n_bytes", "text_sha256").agg(F.count("*").alias("n"), F.max("id").alias("keep")), "texts")
+    cells = written(directory(texts.select("key").distinct(), capacity), "cells")
+    chain = Window.partitionBy("bucket", "key").orderBy("n_bytes", "text_sha256")
+    # the owner of a range has all entries of its keys: the window needs no further shuffle
+    owned = _placed(texts, cells).repartitionByRange("bucket", "key").withColumn("link", F.row_number().over(chain))
+    index = written(owned.select("bucket", "key", "link", "n_bytes", "text_sha256", "n", "keep"), "index")
+    drop_written(texts)
+    return cells, index
+
+
+def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, key=_hash, digest=_digest) -> DataFrame:
     """For each row of docs: doc_id, keep_id, group_size, kept, text_sha256.
 
     Texts are equal when identical after lower-casing A-Z; a null text equals an empty one. Of equal texts the row with
     the largest id stays. Rows that repeat an id with an equal text count in group_size each and share their flags.
     A null id loses against any other; a group of nulls only keeps them all. Other columns of docs are not read.
-    An empty table gives an empty result.
+    An empty table gives an empty result. key and digest hash a text for the index; whatever they are, only equal bytes
+    make a group.
     """
-    index = build_index(docs, id_col, text_col, capacity)
-    owned = index.groupBy("bucket", "key").agg(F.count("*").alias("n")).filter("n > 1")
+    entries = _entries(docs, id_col, text_col, key, digest)
+    cells, index = build_index(entries, capacity)
+    several = index.filter("n > 1")
     norm = ascii_lower(text_of(docs, text_col))
-    texts = docs.select(F.col(id_col).alias("id"), norm.alias("norm"), F.xxhash64(norm).alias("key"))
-    suspects = maybe_in(texts, "key", written(key_filter(owned, "key"), "filter"))
-    links = (
-        suspects.withColumn("text_sha256", F.sha2("norm", 256))
-        .groupBy("key", "text_sha256")
-        .agg(F.count("*").alias("n"), F.max("id").alias("keep"), F.min("norm").alias("least"), F.max("norm").alias("greatest"))
-        .filter("n > 1")
-        .select(
-            "key",
-            "text_sha256",
-            F.when(F.col("least") == F.col("greatest"), F.col("n")).otherwise(F.raise_error(F.lit("texts of one digest differ")).cast("long")).alias("n"),
-            "keep",
-        )
-    )
-    links = written(links, "links")
-    return (
-        index.join(links, ["key", "text_sha256"], "left")
-        .select(
-            F.col("id").alias("doc_id"),
-            F.when(F.col("n").isNull(), F.col("id")).otherwise(F.col("keep")).alias("keep_id"),
-            F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-            "text_sha256",
-        )
-        .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
+    texts = docs.select(F.col(id_col).alias("id"), norm.alias("norm"), key(norm).alias("key"))
+    suspects = maybe_in(texts, "key", key_filter(several.select("key"), "key")).withColumn("text_sha256", digest(F.col("norm")))
+    sizes = F.octet_length("norm").cast("long").alias("n_bytes")
+    compared = suspects.groupBy("key", sizes, "text_sha256").agg(F.min("norm").alias("least"), F.max("norm").alias("greatest"))
+    whole = written(compared.select("key", "n_bytes", "text_sha256", (F.col("least") == F.col("greatest")).alias("equal")), "compared")
+    link = ["key", "n_bytes", "text_sha256"]
+    links = written(several.join(whole.filter("equal"), link).select("bucket", *link, "n", "keep"), "links")
+    of_rows = lambda rows, n, keep: rows.select(
+        F.col("id").alias("doc_id"), F.when(n.isNull(), F.col("id")).otherwise(keep).alias("keep_id"), F.coalesce(n, F.lit(1)).cast("long").alias("group_size"), "text_sha256"
     )
+    looked_up, more = entries, []
+    if not (unlike := whole.filter("not equal").select(*link)).isEmpty():
+        # different texts under one digest: their rows are told apart by the texts themselves
+        apart = suspects.withColumn("n_bytes", sizes).join(unlike, link, "left_semi")
+        own = apart.groupBy(*link, "norm").agg(F.count("*").alias("n"), F.max("id").alias("keep"))
+        more.append(of_rows(apart.join(own, [*link, "norm"]), F.col("n"), F.col("keep")))
+        looked_up = entries.join(unlike, link, "left_anti")
+    found = _placed(looked_up, cells).join(links, ["bucket", *link], "left")
+    result = of_rows(found, F.col("n"), F.col("keep"))
+    for rows in more:
+        result = result.unionByName(rows)
+    return result.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY) -> DataFrame:

@@ -91,8 +91,9 @@ def with_next(rows: DataFrame) -> DataFrame:
     order = Window.partitionBy("coarse").orderBy(F.col("fine").desc())
     follow = heads.join(F.broadcast(after), "coarse").select("coarse", "fine", F.coalesce(F.lead("head").over(order), "behind").alias("next_key"))
     hashed = F.xxhash64("key").alias("hashed")
-    some = maybe_in(rows.select("key", "text", hashed), "hashed", written(key_filter(heads.select(F.xxhash64("head").alias("hashed")), "hashed"), "filter"))
-    texts = some.join(heads.select(F.col("head").alias("key")), "key", "left_semi").groupBy("key").agg(F.min("text").alias("head_text"))
+    some = maybe_in(rows.select("key", "text", hashed), "hashed", key_filter(heads.select(F.xxhash64("head").alias("hashed")), "hashed"))
+    # an inner join with distinct keys stays above the filter's; a semi join would be pushed below it
+    texts = some.join(heads.select(F.col("head").alias("key")).distinct(), "key").groupBy("key").agg(F.min("text").alias("head_text"))
     borders = written(follow.join(texts.withColumnRenamed("key", "next_key"), "next_key").select("coarse", "fine", "head_text"), "borders")
     within = Window.partitionBy("coarse", "fine").orderBy(F.col("key").desc(), "text")
     led = placed(rows).withColumn("led", F.lead("text").over(within))
