@@ -1,7 +1,9 @@
 """Licence notices in documents, by the Dice coefficient of word bigrams against templates.
 
-A document's sections are its lines and its paragraphs of more than one line. A section and a template compare only if
-their numbers of distinct bigrams allow the wanted coefficient: with n and m of them it is at most 2 min(n, m) / (n + m).
+A document's sections are its lines, its sentences (which may run over lines), its paragraphs of more than one line, and
+the document of more than one line as a whole. A section and a template compare only if their numbers of distinct bigrams
+allow the wanted coefficient: with n and m of them it is at most 2 min(n, m) / (n + m). Before bigrams are made, a section
+is set aside if it holds none of the templates' telling words: without all of them no template can reach the coefficient.
 All of it is DataFrame code; the templates are literals of the plan.
 """
 
@@ -13,7 +15,7 @@ from pyspark.sql import functions as F
 from tideglass.llm.common import text_of
 
 THRESHOLD = 0.8
-# fixed values: the usual short notices of public licences, one name may have several
+# fixed values: the usual short notices of public licences, and short licences as a whole; one name may have several
 TEMPLATES = (
     ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
@@ -36,42 +38,66 @@ TEMPLATES = (
     ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("MIT", "MIT License Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("proprietary", "All rights reserved."),
     ("proprietary", "All rights reserved. Unauthorized copying of this file, via any medium, is strictly prohibited."),
 )
-_NORMAL = "regexp_replace(lower({}), '[^\\\\p{{L}}\\\\p{{N}}\\n]+', ' ')"
+_NORMAL = "regexp_replace(regexp_replace(lower({}), '[.!?;]+([ \\t\\n])', '\x01$1'), '[^\\\\p{{L}}\\\\p{{N}}\\n\x01]+', ' ')"
 _BIGRAMS = "array_distinct(transform(sequence(0, greatest(size({0}) - 2, 0)), i -> concat(get({0}, i), ' ', get({0}, i + 1))))"
 
 
+def telling_words(grams: list[list[str]], threshold: float) -> list[str]:
+    """Words of which every section holds one that reaches the threshold with a template of these distinct bigrams.
+
+    With n and m bigrams, threshold * (n + m) / 2 must be shared, which is least for the least n that the size bound
+    allows. Words that stand in more of a template's bigrams than it can do without are enough; long ones come first.
+    """
+    chosen: set[str] = set()
+    for own in grams:
+        m = len(own)
+        spare = m - threshold * (m + m * threshold / (2 - threshold)) / 2
+        left = [set(g.split(" ")) for g in own if chosen.isdisjoint(g.split(" "))]
+        words = sorted({w for g in left for w in g}, key=lambda w: (-len(w), w))
+        while m - len(left) <= spare + 1e-9:
+            chosen.add(w := words.pop(0))
+            left = [g for g in left if w not in g]
+    return sorted(chosen)
+
+
 def _templates(docs: DataFrame, templates) -> DataFrame:
     """(license, grams, m) for the given notices: a local relation of fixed size."""
     rows = docs.sparkSession.createDataFrame([*templates], "license string, notice string")
-    words = rows.selectExpr("license", f"split(trim({_NORMAL.format('notice')}), ' ') AS w")
+    words = rows.selectExpr("license", f"split(trim(translate({_NORMAL.format('notice')}, '\x01', ' ')), ' +') AS w")
     return words.selectExpr("license", f"{_BIGRAMS.format('w')} AS grams").selectExpr("license", "grams", "size(grams) AS m")
 
 
 def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per match: doc_id, part ('line' or 'paragraph'), number (from 0 within the document), license, dice.
+    """Per match: doc_id, part ('line', 'sentence', 'paragraph', 'document'), number (from 0 within the document and part), license, dice.
 
-    Texts are lower-cased and all but letters, digits and line ends count as blanks. Of several templates of one licence
-    the best holds. Null and empty texts, and sections of one word, match nothing. Rows that repeat an id each give their
-    matches. Other columns are not read. An empty table gives an empty result.
+    Texts are lower-cased and all but letters, digits and line ends count as blanks; sentences end at one of . ! ? ; with
+    white space behind it, or with their paragraph. Of several templates of one licence the best holds. Null and empty
+    texts, and sections of one word, match nothing. Rows that repeat an id each give their matches. Other columns are not
+    read. An empty table gives an empty result.
     """
     # what a generator makes is computed once, however often later expressions name it
     text = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_of(docs, text_col).alias("text")).selectExpr("doc_id", f"explode(array({_NORMAL.format('text')})) AS norm")
-    lines = "transform(split(norm, '\\n'), (x, i) -> struct('line' AS part, i AS number, x AS body))"
-    paragraphs = "filter(transform(split(norm, '\\n *\\n'), (x, i) -> struct('paragraph' AS part, i AS number, x AS body)), s -> contains(s.body, '\\n'))"
-    bodies = text.selectExpr("doc_id", f"inline(concat({lines}, {paragraphs}))")
+    parts = lambda part, cuts: f"transform(split(norm, '{cuts}'), (x, i) -> struct('{part}' AS part, i AS number, x AS body))"
+    several = lambda sections: f"filter({sections}, s -> contains(s.body, '\\n'))"
+    whole = "array(struct('document' AS part, 0 AS number, norm AS body))"
+    bodies = text.selectExpr("doc_id", f"inline(concat({parts('line', chr(92) + 'n')}, {parts('sentence', chr(1) + '|' + chr(92) + 'n *' + chr(92) + 'n')}, {several(parts('paragraph', chr(92) + 'n *' + chr(92) + 'n'))}, {several(whole)}))")
     known = _templates(docs, templates).collect()  # as many rows as templates
     least = min(r["m"] for r in known) * threshold / (2 - threshold)
     most = max(r["m"] for r in known) * (2 - threshold) / threshold
     quote = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
     literal = ", ".join(f"named_struct('license', {quote(r['license'])}, 'grams', array({', '.join(map(quote, r['grams']))}), 'm', {r['m']})" for r in known)
-    sections = bodies.selectExpr("doc_id", "part", "number", "explode(array(split(trim(translate(body, '\\n', ' ')), ' +'))) AS w")
+    sections = bodies.selectExpr("doc_id", "part", "number", "explode(array(split(trim(translate(body, '\\n\x01', '  ')), ' +'))) AS w")
     # a section of n distinct bigrams has n + 1 words at least; those of fewer words than the least template drop out here
-    sized = sections.filter(F.size("w") - 1 >= max(1.0, least)).selectExpr("doc_id", "part", "number", f"explode(array({_BIGRAMS.format('w')})) AS b").filter(F.size("b").between(max(1.0, least), most))
+    telling = F.array(*map(F.lit, telling_words([r["grams"] for r in known], threshold)))
+    sized = sections.filter((F.size("w") - 1 >= max(1.0, least)) & F.arrays_overlap("w", telling)).selectExpr("doc_id", "part", "number", f"explode(array({_BIGRAMS.format('w')})) AS b").filter(F.size("b").between(max(1.0, least), most))
     bound = f"2.0D * least(size(b), t.m) / (size(b) + t.m) >= {threshold}D"
     pairs = sized.selectExpr("doc_id", "part", "number", "b", f"explode(filter(array({literal}), t -> {bound})) AS t")
     scored = pairs.selectExpr("doc_id", "part", "number", "t.license AS license", "2.0D * size(array_intersect(b, t.grams)) / (size(b) + t.m) AS dice")
@@ -95,16 +121,21 @@ def license_table(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
 def license_sql(threshold: float = THRESHOLD, templates=TEMPLATES) -> str:
     """The same table in DuckDB's SQL."""
     values = ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in t)) for t in templates)
-    norm = r"regexp_replace(lower({}), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g')"
+    norm = r"regexp_replace(regexp_replace(lower({}), '[.!?;]+([ \t\n])', chr(1) || '\1', 'g'), '[^\p{{L}}\p{{N}}\n\x01]+', ' ', 'g')"
     grams = "list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))"
-    return f"""
+    parts = lambda part, cut: f"SELECT doc_id, '{part}' AS part, unnest(range(len({cut}))) AS number, unnest({cut}) AS body FROM n"
+    cut = lambda pattern: f"regexp_split_to_array(norm, '{pattern}')"
+    words = "regexp_split_to_array(trim(translate({}, chr(10) || chr(1), '  ')), ' +') AS w"
+    return rf"""
         WITH n AS (SELECT doc_id, {norm.format("coalesce(text, '')")} AS norm FROM documents),
-        l AS (SELECT doc_id, 'line' AS part, unnest(range(len(string_split(norm, chr(10))))) AS number, unnest(string_split(norm, chr(10))) AS body FROM n),
-        p AS (SELECT doc_id, 'paragraph' AS part, unnest(range(len(regexp_split_to_array(norm, '\n *\n')))) AS number, unnest(regexp_split_to_array(norm, '\n *\n')) AS body FROM n),
-        s AS (SELECT doc_id, part, number, regexp_split_to_array(trim(replace(body, chr(10), ' ')), ' +') AS w
-              FROM (SELECT * FROM l UNION ALL SELECT * FROM p WHERE contains(body, chr(10)))),
-        b AS (SELECT doc_id, part, number, {grams} AS b FROM s WHERE len(w) BETWEEN 2 AND 200),
-        t AS (SELECT license, {grams} AS grams FROM (SELECT license, string_split(trim({norm.format("notice")}), ' ') AS w FROM (VALUES {values}) AS v(license, notice))),
+        l AS ({parts("line", "string_split(norm, chr(10))")}),
+        c AS ({parts("sentence", cut(r"\x01|\n *\n"))}),
+        p AS ({parts("paragraph", cut(r"\n *\n"))}),
+        s AS (SELECT doc_id, part, number, {words.format("body")}
+              FROM (SELECT * FROM l UNION ALL SELECT * FROM c UNION ALL SELECT * FROM p WHERE contains(body, chr(10))
+                    UNION ALL SELECT doc_id, 'document', 0, norm FROM n WHERE contains(norm, chr(10)))),
+        b AS (SELECT doc_id, part, number, {grams} AS b FROM s WHERE len(w) >= 2),
+        t AS (SELECT license, {grams} AS grams FROM (SELECT license, {words.format(norm.format("notice"))} FROM (VALUES {values}) AS v(license, notice))),
         d AS (SELECT doc_id, part, number, license, max(2.0::DOUBLE * len(list_intersect(b, grams)) / (len(b) + len(grams))) AS dice
               FROM b JOIN t ON 2.0::DOUBLE * least(len(b), len(grams)) / (len(b) + len(grams)) >= {threshold}
               GROUP BY ALL HAVING dice >= {threshold}),
