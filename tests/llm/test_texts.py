@@ -66,9 +66,20 @@ def test_licenses(spark, sf_dir, documents, hard, empty):
     assert cells(license_scan.license_table(documents).toPandas()) == cells(con.sql(license_scan.license_sql()).df())
     assert {r.n_matches for r in license_scan.license_table(hard).collect()} == {0}
     assert license_scan.license_table(empty).count() == 0
-    texts = [(1, "x\nReleased under the MIT License!\ny"), (2, "intro\n\nThis work is licensed under\nthe GNU General Public License, version 3.\n\nrest"), (3, "licensed work")]
+    texts = [(1, "x\nReleased under the MIT License!\ny"), (2, "intro\n\nThis work is licensed under\nthe GNU General Public License, version 3.\n\nrest"), (3, "licensed work"), (4, "Released under the MIT License. Copyright 2020 A B"), (5, "Copyright 2020 A B. All rights reserved."), (6, "More words before it. This work is licensed under the\nGNU General Public License, version 3. And after."), (7, "Released under the MIT License. " * 60)]
     found = {r.doc_id: (r.best_license, r.best_dice) for r in license_scan.license_table(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
-    assert found == {1: ("MIT", 1.0), 2: ("GPL-3.0", 1.0), 3: (None, None)}
+    assert found == {1: ("MIT", 1.0), 2: ("GPL-3.0", 1.0), 3: (None, None), 4: ("MIT", 1.0), 5: ("proprietary", 1.0), 6: ("GPL-3.0", 1.0), 7: ("MIT", 1.0)}
+
+
+def test_telling_words_lose_no_section():
+    rng = random.Random(3)
+    grams = [r["grams"] for r in license_scan._templates(pytest.importorskip("pyspark").sql.SparkSession.active().range(1), license_scan.TEMPLATES).collect()]
+    telling = set(license_scan.telling_words(grams, 0.8))
+    for own in grams:
+        for _ in range(30):  # the fewest shared bigrams that reach the threshold, those with telling words first to go
+            n = max(1, -(-len(own) * 2 // 3))
+            kept = sorted(own, key=lambda g: (not telling.isdisjoint(g.split(" ")), rng.random()))[:n]
+            assert 2 * n / (n + len(own)) < 0.8 or any(not telling.isdisjoint(g.split(" ")) for g in kept)
 
 
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -121,18 +132,37 @@ def test_added_spans():
 def test_every_loose_form_implies_the_hint():
     made = [
         ("email", "anna at example dot org"), ("email", "anna[at]example[dot]org"), ("email", "anna(at)example(dot)org"), ("ip", "a:bb:ccc:dddd:E:F:AA:ffff"), ("card", "4111.1111.1111.1111"), ("card", "3782 822463 10005"),
-        ("phone", "030 1234 5678"), ("id", "123-45-6789"), ("id", "DE89 3704 0044 0532 0130 00"), *(("secret", k + "ABCDEFGHIJKLMNOP") for k in ("AKIA", "ASIA")),
+        ("phone", "030 1234 5678"), ("phone", "(030) 1234 5678"), ("id", "123-45-6789"), ("id", "DE89 3704 0044 0532 0130 00"), *(("secret", k + "ABCDEFGHIJKLMNOP") for k in ("AKIA", "ASIA")),
         *(("secret", k + "abcdefghijklmnopqrst") for k in ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xoxa-", "xoxb-", "xoxp-", "xoxr-", "xoxs-")),
         *(("secret", k + "=abcdefgh") for k in ("password", "Passwd", "PWD", "token", "Secret", "apikey", "api_key", "API-key")),
     ]
     reached = set()
     for kind, t in made:
-        hit = [k for k, (own, pattern) in enumerate(pii._LOOSE) if own == kind and pattern.search(t)]
+        hit = [k for k, (own, _, pattern) in enumerate(pii._LOOSE) if own == kind and pattern.search(t)]
         reached.update(hit)
         assert hit and kind in {c[0] for c in pii.loose_candidates(f"see {t} there")}, t
     assert reached == set(range(len(pii._LOOSE)))
     select = pii.Selector(boosting.Boosted(), {k: 0.5 for k in pii.KINDS})
     assert [(c[1], c[2], c[3]) for c in select(["key sk-abcdefghijklmnopqrst"])[0]] == [("secret", 4, 27)]
+    assert [(c[1], c[2], c[3]) for c in select(["key sk-" + "aB3_" * 200])[0]] == [("secret", 4, 807)]  # whole, however long
+
+
+def test_added_spans_are_found(spark):
+    """Planted identity numbers and secrets among look-alikes: recall and precision of what the trees select."""
+    rng = random.Random(8)
+    chars = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    some = lambda n: "".join(rng.choice(chars) for _ in range(n))
+    rows, planted = [], {}
+    for k in range(1500):
+        kind = k % 5
+        number = f"{rng.randint(100, 665)}-{rng.randint(10, 99)}-{rng.randint(1000, 9999)}"
+        what = [f"ssn {number}", f"key ghp_{some(36)}", f"password = {some(12)}!", f"part {rng.randint(10, 99)}-{rng.randint(100, 999)}-{rng.randint(10, 99)}", "name some_long_identifier_of_code"][kind]
+        rows.append((k, f"words before {what} and words behind"))
+        if kind < 3:
+            planted[k] = what.split(" ", 1)[1] if kind < 2 else what
+    found = {r.doc_id: [rows[r.doc_id][1][s.start : s.end] for s in r.spans] for r in pii.find_spans(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(planted[k] in found[k] for k in planted) / len(planted) >= 0.95
+    assert sum(bool(found[k]) for k in found if k not in planted) == 0
 
 
 def test_long_texts_take_linear_time():

@@ -2,17 +2,21 @@
 
 Base spans follow fixed rules and are always kept. Looser generators propose more: telephone numbers without a country
 code, cards with other separators, mail addresses written out, addresses of IPv6, identity numbers, keys and passwords.
-Proposals may overlap each other. Trees are grown on a bounded sample of candidates: base spans that pass their checks
-against look-alikes that fail them, by features of format and context only. Per kind, the lowest threshold that is
-precise enough on the part of the sample kept back selects proposals; of overlapping ones the best scored stays, and
-none that overlaps a base span.
+Proposals may overlap each other. Trees are grown on a bounded sample of candidates by features of format and context
+only: spans that pass the checks of their kind against look-alikes that fail them. Checks are those of the base rules;
+number ranges and check digits for identity numbers; and for secrets, mixed characters, against plain words and
+identifiers in the same places. Per kind, the lowest threshold that is precise enough on the part of the sample kept back
+selects proposals; of overlapping ones the best scored stays, and none that overlaps a base span.
 """
 
 from __future__ import annotations
 
 import bisect
+import heapq
 import re
 import zlib
+from collections import defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,21 +39,24 @@ _CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-# looser forms; each quantifier is bounded or runs over one class, so that time stays linear
+_AT, _DOT = ("[at]", "(at)", " at "), ("[dot]", "(dot)", " dot ")
+_KEYS = ("ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox")
+_NAMES = ("password", "passwd", "pwd", "token", "secret", "api")
+# looser forms: kind, what a text that holds one has to hold, and the pattern, which starts with few characters of one
+# class, so that most of a text is passed over; each quantifier is bounded or runs over one class, so that time is linear
 _LOOSE = (
-    ("email", re.compile(r"\b[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63} ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,12}\b")),
-    ("ip", re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])")),
-    ("card", re.compile(r"(?<![0-9.])[0-9]{4}[./][0-9]{4}[./][0-9]{4}[./][0-9]{4}(?![0-9.])")),
-    ("card", re.compile(r"(?<![0-9])3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])")),
-    ("phone", re.compile(r"(?<![0-9+])\(?[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])")),
-    ("id", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")),
-    ("id", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b")),
-    ("secret", re.compile(r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b")),
-    ("secret", re.compile(r"\b(?:gh[pousr]_|sk-|xox[abprs]-)[A-Za-z0-9_-]{16,255}")),
-    ("secret", re.compile(r"(?i)\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,255}")),
+    ("email", lambda t: any(x in t for x in _AT) and any(x in t for x in _DOT), re.compile(r"\b[A-Za-z0-9._%+-]{1,64} ?(?:\[at\]|\(at\)| at ) ?[A-Za-z0-9-]{1,63} ?(?:\[dot\]|\(dot\)| dot ) ?[A-Za-z]{2,12}\b")),
+    ("ip", lambda t: t.count(":") >= 7, re.compile(r"[0-9A-Fa-f](?<![0-9A-Fa-f:].)[0-9A-Fa-f]{0,3}:(?:[0-9A-Fa-f]{1,4}:){6}[0-9A-Fa-f]{1,4}(?![0-9A-Fa-f:])", re.S)),
+    ("card", _DIGIT.search, re.compile(r"[0-9](?<![0-9.].)[0-9]{3}[./][0-9]{4}[./][0-9]{4}[./][0-9]{4}(?![0-9.])", re.S)),
+    ("card", _DIGIT.search, re.compile(r"3(?<![0-9].)[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5}(?![0-9])", re.S)),
+    ("phone", _DIGIT.search, re.compile(r"[0-9](?<![0-9+(].)[0-9]{1,3}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])", re.S)),
+    ("phone", _DIGIT.search, re.compile(r"\((?<![0-9+].)[0-9]{2,4}\)?[ .-][0-9]{3,4}[ .-][0-9]{3,4}(?![0-9])", re.S)),
+    ("id", _DIGIT.search, re.compile(r"[0-9](?<![0-9-].)[0-9]{2}-[0-9]{2}-[0-9]{4}(?![0-9-])", re.S)),
+    ("id", _DIGIT.search, re.compile(r"[A-Z](?<!\w.)[A-Z][0-9]{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?\b", re.S)),
+    ("secret", lambda t: "AKIA" in t or "ASIA" in t, re.compile(r"A(?<!\w.)(?:KIA|SIA)[A-Z0-9]{16}\b", re.S)),
+    ("secret", lambda t: any(x in t for x in _KEYS), re.compile(r"\b(?:gh[pousr]_|sk-|xox[abprs]-)[A-Za-z0-9_-]{16,}")),
+    ("secret", lambda t: any(map(t.lower().__contains__, _NAMES)), re.compile(r"\b(?:password|passwd|pwd|token|secret|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?[^\s\"']{6,}", re.I | re.A)),
 )
-#: A text can hold a looser form only if it holds one of these.
-_HINT = re.compile(r"[0-9]|(?i:password|passwd|pwd|token|secret|api[_-]?key)|[\[(]at[\])]| at |AKIA|ASIA|gh[pousr]_|sk-|xox[abprs]-|[A-Fa-f]:[A-Fa-f]")
 _CUES = ("mail", "contact", "write", "call", "tel", "phone", "fax", "mobile", "card", "visa", "account", "pay", "ip", "host", "server", "address", "ssn", "iban", "key", "pass", "token", "version", "isbn", "page", "id")
 _SHAPE = ("length", "digits", "letters", "upper", "groups", "longest", "shortest", "dots", "dashes", "blanks", "brackets", "plus", "at", "first_digit", "distinct", "before_letter", "before_digit", "after_letter", "after_digit", "after_dot", "line_start", "cue", "near_digits")
 _FEATURES = len(_SHAPE) + len(KINDS)
@@ -99,12 +106,55 @@ def base_candidates(text: str):
 
 def loose_candidates(text: str):
     """(kind, start, end) of the looser forms; they may overlap."""
-    if _HINT.search(text):
-        for kind, pattern in _LOOSE:
+    for kind, may, pattern in _LOOSE:
+        if may(text):
             for m in pattern.finditer(text):
                 yield kind, *m.span()
 
 
+def _id_check(body: str) -> bool:
+    """Number ranges of nine-digit identity numbers, check digits of account numbers."""
+    if body[0].isdigit():
+        area, group, serial = body.split("-")
+        return area not in ("000", "666") and area < "900" and group != "00" and serial != "0000"
+    code = body.replace(" ", "")
+    return int("".join(str(int(c, 36)) for c in code[4:] + code[:4])) % 97 == 1
+
+
+def _secret_check(body: str) -> bool:
+    """Whether a key or a password mixes at least two of capitals, small letters, digits and signs, and many characters."""
+    value = re.split(r"[=:]\s*[\"']?", body, maxsplit=1)[-1]
+    kinds = (str.isupper, str.islower, str.isdigit, lambda c: not c.isalnum())
+    return sum(any(map(k, value)) for k in kinds) >= 2 and len(set(value)) >= 5
+
+
+_CHECKS = {"id": _id_check, "secret": _secret_check}
+#: What stands in the places of identity numbers and secrets without being any: groups of digits, identifiers, plain values.
+_ALIKE = (
+    ("id", re.compile(r"[0-9](?<![0-9-].)[0-9]{1,3}-[0-9]{2,4}-[0-9]{2,4}(?![0-9-])", re.S), None),
+    ("secret", re.compile(r"[_-][A-Za-z0-9_-]{12,}"), re.compile(r"[A-Za-z0-9]+\Z")),
+    ("secret", re.compile(r"=\s{0,3}[\"']?[^\s\"']{6,}"), re.compile(r"[A-Za-z]+\s{0,3}\Z")),
+)
+
+
+def candidates(text: str):
+    """(kind, start, end, passes) of what trees learn from: base matches, checked proposals of the other kinds, look-alikes."""
+    yield from base_candidates(text)
+    seen = set()
+    for kind, a, e in loose_candidates(text):
+        if kind in _CHECKS:
+            seen.add(a)
+            yield kind, a, e, _CHECKS[kind](text[a:e])
+    for kind, pattern, lead in _ALIKE:
+        for m in pattern.finditer(text):
+            # what stands before a rare sign is looked for from there
+            near = max(0, m.start() - 24)
+            before = lead.search(text[near : m.start()]) if lead else None
+            start = near + before.start() if before else m.start()
+            if (before or not lead) and start not in seen:
+                yield kind, start, m.end(), False
+
+
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
     """Format and context of a span; no check that decides its kind is among them."""
     body, before, after = text[start:end], text[max(0, start - 40) : start], text[end : end + 12]
@@ -128,22 +178,34 @@ def _texts(batches):
 def fit(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> tuple[Boosted, dict[str, float]]:
     """The trees and each kind's threshold."""
 
+    each = sample // (2 * len(KINDS))
+
     def propose(batches):
         def rows():
+            # of each kind and label the lowest hashes of this task; only those need features
+            lowest: dict[tuple[str, bool], list] = defaultdict(list)
             for doc, text in _texts(batches):
-                for kind, a, b, good in base_candidates(text):
+                for kind, a, b, good in candidates(text):
                     # plain numbers of few digits are no look-alikes of cards
                     if good or kind != "card" or b - a >= 12:
-                        order = zlib.crc32(f"{doc}:{kind}:{a}".encode())
-                        yield 200, (order, KINDS.index(kind), int(good), features(text, kind, a, b))
-
-        yield from in_batches(rows(), {"order": pa.int64(), "kind": pa.int64(), "good": pa.int64(), "x": pa.list_(pa.float64())})
+                        held = lowest[kind, good]
+                        key = -zlib.crc32(f"{doc}:{kind}:{a}".encode()), -(doc or 0), -a
+                        if len(held) < each:
+                            heapq.heappush(held, (key, features(text, kind, a, b)))
+                        elif key > held[0][0]:
+                            heapq.heapreplace(held, (key, features(text, kind, a, b)))
+            for (kind, good), held in lowest.items():
+                for (order, doc, at), x in held:
+                    yield 200, (-order, -doc, KINDS.index(kind), -at, int(good), x)
+
+        yield from in_batches(rows(), {"order": pa.int64(), "doc": pa.int64(), "kind": pa.int64(), "at": pa.int64(), "good": pa.int64(), "x": pa.list_(pa.float64())})
 
     rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = written(rows.mapInArrow(propose, "order long, kind long, good long, x array<double>"), "candidates")
-    # a bounded sample of either label: those of lowest hash
-    one = lambda y: found.filter(F.col("good") == y).orderBy("order", "kind").limit(sample // 2)
-    t = one(0).unionByName(one(1)).toPandas().sort_values(["order", "kind", "good"], kind="stable")
+    found = written(rows.mapInArrow(propose, "order long, doc long, kind long, at long, good long, x array<double>"), "candidates")
+    # a bounded sample of either label and each kind: those of lowest hash
+    keys = ["order", "doc", "kind", "at"]
+    one = lambda k, y: found.filter((F.col("kind") == k) & (F.col("good") == y)).orderBy(*keys).limit(each)
+    t = reduce(DataFrame.unionByName, [one(k, y) for k in range(len(KINDS)) for y in (0, 1)]).toPandas().sort_values(keys, kind="stable")
     x = np.array(t["x"].tolist(), float).reshape(-1, _FEATURES)
     y, kind = t["good"].to_numpy(float), t["kind"].to_numpy(int)
     back = np.arange(len(t)) % 4 == 0
@@ -200,8 +262,7 @@ class Selector:
         for base, more in held:
             kept, taken = [], Covered()
             for s, kind, a, e in sorted(((next(scores), *c) for c in more), key=lambda c: (-c[0], c[2], c[3])):
-                # no base rule resembles keys and identity numbers, so there is nothing to learn them from: their form decides
-                if (kind not in BASE or s >= self.limits[kind]) and not taken.meets(a, e):
+                if s >= self.limits[kind] and not taken.meets(a, e):
                     taken.add(a, e)
                     kept.append((s, kind, a, e))
             out.append(sorted([(KINDS.index(k), k, a, e, True, 1.0) for k, a, e in base] + [(KINDS.index(k), k, a, e, False, s) for s, k, a, e in kept]))
