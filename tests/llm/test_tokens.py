@@ -37,11 +37,18 @@ def test_encoder(name):
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids, text[:80]
 
 
+def test_encoder_that_forgets():
+    path = vocabularies.path(FILES[0])
+    texts = [" ".join(str(x * x) + "ab" * (x % 9) for x in range(k, k + 400)) for k in range(0, 4000, 300)] + ["1\n" * 3000]
+    assert [*TextEncoder(path, room=100).encode_each(texts, 2000)] == [*TextEncoder(path).encode_each(texts)]
+
+
 def test_merges_without_proposals():
     m = TextEncoder(vocabularies.path(FILES[0])).merges
     words = [b" " + bytes(random.Random(k).choices(b"etaoinshr", k=k % 30 + 1)) for k in range(2000)] + [b"xy" * 200]
-    ids, sizes = m.encode(words)
-    exact, counts = m._merge(*m._symbols(words))
+    body, given = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words])
+    ids, sizes = m.encode(body, given)
+    exact, counts = m._merge(*m._symbols(body, given))
     assert (ids == exact).all() and (sizes == counts).all()
 
 

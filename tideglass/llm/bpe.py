@@ -10,17 +10,18 @@ from __future__ import annotations
 import heapq
 import json
 import re
-from itertools import filterfalse, islice
 
 import numpy as np
 import regex
 
+from tideglass.llm.words import WordTable, ranges
+
 _END = b"\xff"  # stands for the end-of-word mark: no UTF-8 text holds this byte
 _NONE = np.int32(np.iinfo(np.int32).max)
 #: Words up to so many symbols are merged together as rows of a matrix; longer ones one by one.
 _WIDE = 64
-#: Distinct pieces that a worker remembers.
-CACHE = 1 << 18
+#: Distinct words that a worker remembers.
+CACHE = 1 << 20
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -64,12 +65,6 @@ class _Table:
         return out
 
 
-def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The numbers start .. start + size - 1 of each range, one after another."""
-    ends = np.cumsum(sizes)
-    return np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 class Merges:
     """A vocabulary with its ranked merges."""
 
@@ -104,7 +99,7 @@ class Merges:
         made = self.rank >= 0
         self.ordered = bool((self.rank[self.left[made]] < self.rank[made]).all() and (self.rank[self.right[made]] < self.rank[made]).all())
         own = [(w, k) for k, w in enumerate(self.token_bytes) if w.removesuffix(_END)]
-        ids, sizes = self._merge(*self._symbols([w for w, _ in own]))
+        ids, sizes = self._merge(*self._symbols(np.frombuffer(b"".join(w for w, _ in own), np.uint8), np.array([len(w) for w, _ in own], np.int64)))
         first = np.cumsum(sizes) - sizes
         #: What greedy matching may propose: tokens that merging gives for their own bytes.
         self.proposals = {w: k for (w, k), n, at in zip(own, sizes.tolist(), first.tolist(), strict=True) if n == 1 and ids[at] == k}
@@ -151,12 +146,11 @@ class Merges:
             todo, a, b = todo[~bad], a[~bad], b[~bad]
         return good
 
-    def _symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The single-byte ids of all words in a row, and how many each has."""
-        sizes = np.fromiter(map(len, words), np.int64, len(words))
-        body = np.frombuffer(b"".join(words), np.uint8)
+    def _symbols(self, body: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The single-byte ids of words in a row, and how many each has."""
         ids = self.start[body]
         if self.suffix:
+            sizes = sizes.copy()
             ends = np.cumsum(sizes) - 1
             marked = ends[body[ends] == _END[0]]
             ids[marked - 1] = self.last[body[marked - 1]]
@@ -175,7 +169,7 @@ class Merges:
         for k in np.flatnonzero(sizes > _WIDE):
             ids = self._merge_one(flat[starts[k] : starts[k] + sizes[k]])
             slots[starts[k] : starts[k] + len(ids)], made[k] = ids, len(ids)
-        return slots[_ranges(starts, made)], made
+        return slots[ranges(starts, made)], made
 
     def _merge_rows(self, of: np.ndarray, starts: np.ndarray, sizes: np.ndarray, slots: np.ndarray, made: np.ndarray) -> None:
         width = int(sizes[of[-1]])
@@ -183,7 +177,7 @@ class Merges:
             return
         s = np.full((len(of), width + 1), -1, np.int32)
         inside = np.arange(width + 1) < sizes[of][:, None]
-        s[inside] = slots[_ranges(starts[of], sizes[of])]
+        s[inside] = slots[ranges(starts[of], sizes[of])]
         r = self.pair_ranks(s[:, :-1].ravel(), s[:, 1:].ravel()).reshape(len(of), width)
         cols = np.arange(width + 1)
         while len(s):
@@ -194,7 +188,7 @@ class Merges:
                 own, rows = of[done], s[done]
                 filled = rows >= 0
                 made[own] = filled.sum(axis=1)
-                slots[_ranges(starts[own], made[own])] = rows[filled]
+                slots[ranges(starts[own], made[own])] = rows[filled]
                 keep = ~done
                 s, r, p, best, of = s[keep], r[keep], p[keep], best[keep], of[keep]
                 if not len(s):
@@ -234,69 +228,97 @@ class Merges:
                         heapq.heappush(heap, (rank, x, *pair))
         return np.array([x for x in ids if x >= 0], np.int32)
 
-    def propose(self, body: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Greedy longest match: (ids in a row, how many each word has, which words it could not finish)."""
-        ends = np.cumsum(sizes)
-        owner = np.repeat(np.arange(len(sizes)), sizes)
-        end = ends[owner]
-        best, size = np.full(len(body), -1, np.int32), np.zeros(len(body), np.int64)
-        at, node, depth = np.arange(len(body)), np.zeros(len(body), np.int64), 0
-        while len(at):
-            node = self._step.get(node << 8 | body[at + depth])
+    def _longest(self, body: np.ndarray, at: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(id, size) of the longest token that starts at each place and ends before `end`; size 0 where there is none."""
+        best, size = np.full(len(at), -1, np.int32), np.zeros(len(at), np.int64)
+        who, node, depth = np.arange(len(at)), np.zeros(len(at), np.int64), 0
+        while len(who):
+            node = self._step.get(node << 8 | body[at[who] + depth])
             there = node >= 0
-            at, node, depth = at[there], node[there].astype(np.int64), depth + 1
+            who, node, depth = who[there], node[there].astype(np.int64), depth + 1
             token = self._token[node]
             ends_here = token >= 0
-            best[at[ends_here]], size[at[ends_here]] = token[ends_here], depth
-            inside = at + depth < end[at]
-            at, node = at[inside], node[inside]
+            best[who[ends_here]], size[who[ends_here]] = token[ends_here], depth
+            inside = at[who] + depth < end[who]
+            who, node = who[inside], node[inside]
+        return best, size
+
+    def propose(self, body: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Greedy longest match: (ids in a row, how many each word has, which words it could not finish).
+
+        All words take a step at once. Words of more than _WIDE bytes match at every place first, so that the number of
+        steps doesn't follow the longest word's tokens.
+        """
+        ends = np.cumsum(sizes)
+        best, size = np.full(len(body), -1, np.int32), np.zeros(len(body), np.int64)
+        wide = np.flatnonzero(sizes > _WIDE)
+        if len(wide):
+            own = ranges(ends[wide] - sizes[wide], sizes[wide])
+            best[own], size[own] = self._longest(body, own, np.repeat(ends[wide], sizes[wide]))
         taken, stuck = np.zeros(len(body), bool), np.zeros(len(sizes), bool)
-        at = (ends - sizes)[sizes > 0]
-        while len(at):
+        who = np.flatnonzero((sizes > 0) & (sizes <= _WIDE))
+        at = ends[who] - sizes[who]
+        while len(who):
+            best[at], size[at] = self._longest(body, at, ends[who])
             none = size[at] == 0
-            stuck[owner[at[none]]] = True
-            at = at[~none]
+            stuck[who[none]] = True
+            who, at = who[~none], at[~none]
             taken[at] = True
-            following = at + size[at]
-            at = following[following < end[at]]
-        return best[taken], np.bincount(owner[taken], minlength=len(sizes)), stuck
-
-    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all words in a row (words carry the end mark where the vocabulary has one), and how many each has."""
-        if not words:
+            at = at + size[at]
+            more = at < ends[who]
+            who, at = who[more], at[more]
+        for k in wide.tolist():
+            at, end = int(ends[k] - sizes[k]), int(ends[k])
+            steps, own = size[at:end].tolist(), []
+            p = 0
+            while p < len(steps) and steps[p]:
+                own.append(p)
+                p += steps[p]
+            stuck[k] = p < len(steps)
+            taken[at + np.array(own, np.int64)] = True
+        at = np.flatnonzero(taken)
+        cum = np.concatenate([[0], np.cumsum(taken)])
+        return best[at], cum[ends] - cum[ends - sizes], stuck
+
+    def encode(self, body: np.ndarray, given: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words that stand in a row in body, with so many bytes each (the end mark included where the
+        vocabulary has one): ids in a row, and how many each word has."""
+        if not len(given):
             return np.zeros(0, np.int32), np.zeros(0, np.int64)
         if not self.ordered:
-            return self._merge(*self._symbols(words))
-        given = np.fromiter(map(len, words), np.int64, len(words))
-        ids, sizes, failed = self.propose(np.frombuffer(b"".join(words), np.uint8), given)
-        owner = np.repeat(np.arange(len(words)), sizes)
+            return self._merge(*self._symbols(body, given))
+        ids, sizes, failed = self.propose(body, given)
+        owner = np.repeat(np.arange(len(given)), sizes)
         inner = np.flatnonzero(owner[1:] == owner[:-1])
         fine = self.compatible(ids[inner], ids[inner + 1])
         failed[owner[inner[~fine]]] = True
         again = np.flatnonzero(failed)
-        exact, counts = self._merge(*self._symbols([words[k] for k in again.tolist()])) if len(again) else (ids[:0], sizes[:0])
+        starts = np.cumsum(given) - given
+        exact, counts = self._merge(*self._symbols(body[ranges(starts[again], given[again])], given[again])) if len(again) else (ids[:0], sizes[:0])
         total = sizes.copy()
         total[again] = counts
         starts, out = np.cumsum(total) - total, np.empty(int(total.sum()), np.int32)
-        out[_ranges(starts[~failed], total[~failed])] = ids[~failed[owner]]
-        out[_ranges(starts[again], counts)] = exact
+        out[ranges(starts[~failed], total[~failed])] = ids[~failed[owner]]
+        out[ranges(starts[again], counts)] = exact
         return out, total
 
 
 _WS = "\t-\r \x85\xa0  -     　"  # fixed: what \s matches in the vocabularies' patterns
 _WS_CHARS = [" ", *(chr(c) for c in range(0x3001) if chr(c) != " " and re.match(f"[{_WS}]", chr(c)))]
-_BLOCK = 1 << 20  # characters of a text that are cut into pieces at once
-_CUT = re.compile(f"(?<=[^{_WS}]) (?=[^{_WS}])")
-_EDGE = re.compile(f"[{_WS}]")
-_PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
-_FAR = re.compile("[^\x00-ɏ]")
-_loaded: dict[tuple[str, str], TextEncoder] = {}
+_BLOCK = 1 << 20  # characters of a text that are cut into words at once
+_CUT = re.compile(f"(?<=[^{_WS}])[ \n](?=[^{_WS}])")
+_LATIN = 0x250  # characters below are classed here, those from here on by the library's own tables
+_BLANK, _LETTER, _NUMBER, _OTHER, _EDGE, _UNKNOWN = range(6)
+_loaded: dict[str, TextEncoder] = {}
 
 
 class TextEncoder:
-    """Texts to ids for one vocabulary file; remembers distinct pieces between the batches of a worker."""
+    """Texts to ids for one vocabulary file; remembers distinct words between the batches of a worker.
 
-    def __init__(self, path: str):
+    Characters are classed, and texts cut into words where classes change, for a whole batch at once.
+    """
+
+    def __init__(self, path: str, room: int = CACHE):
         from tokenizers import Tokenizer
 
         self.lib = Tokenizer.from_file(path)
@@ -306,45 +328,99 @@ class TextEncoder:
         self.special = {t["content"]: np.array([t["id"]], "<u4").tobytes() for t in spec["added_tokens"]}
         self._split = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.spaces = not self.merges.suffix  # whether white space makes ids
-        self._words = regex.compile(
-            r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+" if self.spaces else r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-        )
-        self._chars = _byte_alphabet()
-        self.literal: dict[str, bytes] = {}
-        self.spaced: dict[str, bytes] = {}
+        self.words = WordTable(room)
+        self._class = np.full(0x110000, _UNKNOWN, np.uint8)
+        for c in map(chr, range(_LATIN)):
+            self._class[ord(c)] = _BLANK if c in _WS_CHARS else _LETTER if regex.match(r"\p{L}", c) else _NUMBER if regex.match(r"\p{N}", c) else _OTHER
 
     @classmethod
     def of(cls, path: str) -> TextEncoder:
         return _loaded.get(path) or _loaded.setdefault(path, cls(path))
 
-    def _cut(self, piece: str) -> list[str | bytes]:
-        """The words of a piece; characters beyond the Latin blocks are classed by the library's own tables."""
+    def _ask(self, c: str) -> int:
+        """The class of a character, as the library's cutting shows it."""
+        cuts = lambda lead: [span for _, span in self.lib.pre_tokenizer.pre_tokenize_str(lead + c)]
+        for lead, kind in (("a", _LETTER), ("!", _OTHER)):
+            if (0, 2) in cuts(lead):
+                return kind
+        return _NUMBER if (0, 2) in cuts("1") or not self.spaces and (1, 2) in cuts("a") else _BLANK
+
+    def _classes(self, chars: np.ndarray) -> np.ndarray:
+        found = self._class[chars]
+        unknown = np.unique(chars[found == _UNKNOWN])
+        if len(unknown):
+            self._class[unknown] = [self._ask(chr(c)) for c in unknown.tolist()]
+            found = self._class[chars]
+        return found
+
+    def _starts(self, chars: np.ndarray, kind: np.ndarray) -> np.ndarray:
+        """Where words start; an edge is a word, and so is white space."""
+        start = np.ones(len(chars), bool)
+        np.not_equal(kind[1:], kind[:-1], out=start[1:])
+        if self.spaces:
+            # the last of several blanks is by itself, unless it ends the text; a space there belongs to what follows
+            last = np.flatnonzero((kind[:-1] == _BLANK) & start[1:])
+            last = last[kind[last + 1] != _EDGE]
+            start[last] = True
+            start[last[chars[last] == 32] + 1] = False
+        else:
+            start |= kind == _NUMBER
+        # a word that starts with an apostrophe and one of these ends with them: s t m d re ve ll
+        at = np.flatnonzero(chars == 39)
+        at = at[start[at]]
+        at = at[kind[at + 1] == _LETTER]
+        if len(at):
+            one, two = chars[at + 1], chars[np.minimum(at + 2, len(chars) - 1)]
+            size = np.where(np.isin(one, [*map(ord, "stmd")]), 2, 0)
+            for a, b in ("re", "ve", "ll"):
+                size[(one == ord(a)) & (two == ord(b))] = 3
+            at, size = at[size > 0], size[size > 0]
+            start[at + 1] = False
+            start[at + size] = True
+        return start
+
+    def _cut(self, blocks: list[str]) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+        """(UTF-8 bytes of all blocks, where their words begin, their sizes, the number of words up to each block's end)."""
         if not self.spaces:
-            piece = piece.lower() if piece.isascii() or not _FAR.search(piece) else self.lib.normalizer.normalize_str(piece)
-        if not piece.isascii() and _FAR.search(piece):
-            return [bytes(map(self._chars.__getitem__, w)) for w, _ in self.lib.pre_tokenizer.pre_tokenize_str(piece)]
-        return self._words.findall(piece)
-
-    def _learn(self, new: set[str], cache: dict[str, bytes], lead: str) -> None:
-        """Adds pieces that cache lacks."""
-        number: dict[str | bytes, int] = {}
-        find, lower = number.setdefault, not self.spaces
-        of: list = []
-        for p in new:
-            q = p.lower() if lower else p
-            latin = q.isascii() or max(q) < "\u0250"
-            if latin and q.isalpha():  # most are one word, or one and a sign behind it
-                of.append(find(lead + q, len(number)))
-            elif latin and q[-1] in ".," and q[:-1].isalpha():
-                of.append((find(lead + q[:-1], len(number)), find(q[-1], len(number))))
-            else:
-                of.append([find(w, len(number)) for w in self._cut(lead + p)])
-        end = _END if lower else b""
-        ids, sizes = self.merges.encode([(w.encode() if isinstance(w, str) else w) + end for w in number])
-        raw, ends = ids.astype("<u4").tobytes(), (np.cumsum(sizes) * 4).tolist()
-        made = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        for p, k in zip(new, of, strict=True):
-            cache[p] = made[k] if type(k) is int else b"".join([made[x] for x in k])
+            latin = all(map(str.isascii, blocks)) or int(np.frombuffer("".join(blocks).encode("utf-32-le", "surrogatepass"), "<u4").max()) < _LATIN
+            blocks = [b.lower() if latin or b.isascii() or ord(max(b)) < _LATIN else self.lib.normalizer.normalize_str(b) for b in blocks]
+        joined = "\0".join(blocks) + "\0"
+        data = joined.encode("utf-8", "surrogatepass") + bytes(16)
+        ascii_ = len(data) == len(joined) + 16
+        chars = np.frombuffer(data, np.uint8)[: len(joined)] if ascii_ else np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        kind = self._classes(chars)
+        edges = np.cumsum(np.fromiter(map(len, blocks), np.int64, len(blocks)) + 1) - 1
+        kind[edges] = _EDGE
+        begin = np.flatnonzero(self._starts(chars, kind))
+        end = np.append(begin[1:], len(chars))
+        real = kind[begin] != _EDGE
+        if not self.spaces:
+            real &= kind[begin] != _BLANK
+        begin, end = begin[real], end[real]
+        upto = np.searchsorted(begin, edges)
+        if not ascii_:
+            place = np.zeros(len(chars) + 1, np.int64)
+            np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000), out=place[1:])
+            begin, end = place[begin], place[end]
+        return data, begin, end - begin, upto
+
+    def _encode_words(self, data: bytes, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(data, np.uint8)
+        if not self.spaces:
+            # an end mark behind each word
+            body = np.full(int(sizes.sum()) + len(sizes), _END[0], np.uint8)
+            body[ranges(np.cumsum(sizes + 1) - sizes - 1, sizes)] = raw[ranges(at, sizes)]
+            return self.merges.encode(body, sizes + 1)
+        return self.merges.encode(raw[ranges(at, sizes)], sizes)
+
+    def _ids(self, data: bytes, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and where each word's end."""
+        room = self.words.room
+        learn = lambda at, sizes: self._encode_words(data, at, sizes)
+        made = [self.words.lists(data, at[k : k + room], sizes[k : k + room], learn) for k in range(0, max(1, len(at)), room)]
+        if len(made) == 1:
+            return made[0][0], np.cumsum(made[0][1])
+        return np.concatenate([ids for ids, _ in made]), np.cumsum(np.concatenate([n for _, n in made]))
 
     def _blocks(self, text: str):
         at, n = 0, len(text)
@@ -353,39 +429,29 @@ class TextEncoder:
             at = m.start()
         yield text[at:]
 
-    def _parts(self, text: str):
-        """(pieces, cache): what a text consists of, in order."""
-        for part in self._split.split(text) if self._split else [text]:
-            if part in self.special:
-                yield part, None
-            elif not self.spaces:
-                for block in self._blocks(part):
-                    yield [p for p in _EDGE.split(block) if p], self.literal
-            else:
-                for block in self._blocks(part):
-                    spaces = [c for c in _WS_CHARS if c in block]
-                    if any(c + " " in block or " " + c in block for c in spaces) or block[:1] in spaces[1:] or block[-1:] in spaces:
-                        yield _PIECE.findall(block), self.literal  # white space beside a space
-                        continue
-                    chunks = block.split(" ")  # each but the first stood behind one space
-                    if first := chunks.pop(0):
-                        yield [first], self.literal
-                    yield chunks, self.spaced
-
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        if len(self.literal) + len(self.spaced) > CACHE:  # the older half goes
-            self.literal, self.spaced = (dict(islice(c.items(), len(c) // 2, None)) for c in (self.literal, self.spaced))
-        cut = [[*self._parts(t)] for t in texts]
-        for cache, lead in ((self.literal, ""), (self.spaced, " ")):
-            new: set[str] = set()
-            for pieces in (pieces for c in cut for pieces, of in c if of is cache):
-                new.update(filterfalse(cache.__contains__, pieces))
-            if new:
-                self._learn(new, cache, lead)
-        return [b"".join([self.special[pieces] if of is None else b"".join(map(of.__getitem__, pieces)) for pieces, of in c]) for c in cut]
-
-    def encode_each(self, texts, most: int = 1 << 21):
+        blocks, parts = [], []  # parts: a block's number, or the id of a special token
+        for text in texts:
+            own: list[int | bytes] = []
+            for part in self._split.split(text) if any(s in text for s in self.special) else (text,):
+                if part in self.special:
+                    own.append(self.special[part])
+                    continue
+                for block in self._blocks(part):
+                    own.append(len(blocks))
+                    blocks.append(block)
+            parts.append(own)
+        if not blocks:
+            return [b"".join(own) for own in parts]
+        data, at, sizes, upto = self._cut(blocks)
+        ids, ends = self._ids(data, at, sizes)
+        raw = memoryview(ids.astype("<u4", copy=False).tobytes())
+        ends = (np.concatenate([[0], ends])[upto] * 4).tolist()
+        made = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        return [bytes(made[own[0]]) if len(own) == 1 and type(own[0]) is int else b"".join(x if type(x) is bytes else made[x] for x in own) for own in parts]
+
+    def encode_each(self, texts, most: int = 1 << 20):
         """encode_batch over groups of so many characters, one result for each text."""
         group, size = [], 0
         for t in texts:
