@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from tideglass.llm.bpe_codec import in_batches
 from tideglass.llm.common import small_batches, written
 from tideglass.llm.label_model import LabelModel, Logistic
+from tideglass.llm.words import WordTable
 
 FOLDS = 5
 #: Labelled rows of each label, at most, from which marks are learned; as many other rows with and without votes join them for the classifier.
@@ -38,7 +39,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _INSULTS = frozenset("idiot moron stupid dumb loser scum trash garbage worthless pathetic disgusting clown fool jerk creep coward liar vermin filth pig".split())
 _AT_SOMEBODY = re.compile(r"\b(?:you|your|youre|u)\b(?:\W+\w+){0,3}?\W+(?:" + "|".join(sorted(_INSULTS)) + r")\b")
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b")
-_WORD_CACHE = 1 << 16
+_WORD_CACHE = 1 << 18
+_AT_ONCE = 1 << 20  # characters of texts that are looked at together
 _NAMES = [f"marks_{k}" for k in range(_GROUPS)] + ["insults", "many_insults", "at_somebody", "dense_marks", "shouting"]
 
 
@@ -54,8 +56,28 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0
 
 
+def _letters() -> np.ndarray:
+    """Which characters words consist of."""
+    return np.array([bool(_WORD.match(chr(c))) for c in range(0x110000)])
+
+
+_tables: list[np.ndarray] = []
+
+
+class Found:
+    """What a batch of texts holds: the number of words of each text, and the marks in a row with the text of each."""
+
+    def __init__(self, words: np.ndarray, of: np.ndarray, marks: np.ndarray):
+        self.words, self.of, self.marks = words, of, marks
+
+    def counts(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(text, mark, how often), ascending."""
+        both, n = np.unique(self.of * width + self.marks, return_counts=True)
+        return both // width, both % width, n
+
+
 class Marker:
-    """Counts the chosen marks of texts; remembers the marks of distinct words.
+    """Counts the chosen marks of texts, a batch at once; remembers the marks of distinct words.
 
     A group of marks votes for a text in which they are more than its cut of the words.
     """
@@ -64,40 +86,69 @@ class Marker:
         self.cuts = np.zeros(_GROUPS) if cuts is None else cuts
         self.index = {int(c): k for k, c in enumerate(chosen)}
         self.group = np.array([(int(c) * 2654435761 >> 7) % _GROUPS for c in chosen], np.int64)
-        self.known: dict[str, tuple[int, ...]] = {}
-
-    def _of(self, word: str) -> tuple[int, ...]:
-        if len(self.known) > _WORD_CACHE:
-            self.known.clear()
-        found = self.known[word] = tuple(k for x in marks_of(word) if (k := self.index.get(x)) is not None)
-        return found
-
-    def _hits(self, words: list[str]) -> list[int]:
-        known, hits = self.known, []
-        for w in words:
-            found = known[w] if w in known else self._of(w)
-            if found:
-                hits += found
-        return hits
-
-    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """(indices of the chosen marks in a text, how often each occurs)."""
-        return np.unique(np.array(self._hits(_WORD.findall(text.lower())), np.int64), return_counts=True)
-
-    def density(self, words: list[str], hits: list[int]) -> np.ndarray:
-        """Each group's marks as a share of the words."""
-        return np.bincount(self.group[hits], minlength=_GROUPS) / len(words) if hits else np.zeros(_GROUPS)
-
-    def votes(self, text: str) -> int:
-        """The votes on a text as bits."""
-        low = text.lower()
-        words = _WORD.findall(low)
-        hits, rude = self._hits(words), 0
-        if not _INSULTS.isdisjoint(words):
-            rude = sum(w in _INSULTS for w in words)
-        upper = sum(1 for _ in _SHOUT.finditer(text))
-        votes = [*(self.density(words, hits) > self.cuts), rude > 0, rude > 2, rude > 0 and bool(_AT_SOMEBODY.search(low)), len(hits) >= 3 and len(hits) > 0.01 * len(words), upper > 5 and upper > 0.2 * len(words)]
-        return sum(int(b) << k for k, b in enumerate(votes))
+        self.known = WordTable(_WORD_CACHE)
+        if not _tables:
+            _tables.append(_letters())
+
+    def _of(self, word: str) -> list[int]:
+        """The numbers of a word's marks; an insult has the number behind the last besides."""
+        found = [k for x in marks_of(word) if (k := self.index.get(x)) is not None]
+        return found + [len(self.index)] * (word in _INSULTS)
+
+    def find(self, texts: list[str]) -> tuple[Found, np.ndarray]:
+        """What texts hold of marks, and each text's number of insults."""
+        low = [t.lower() for t in texts]
+        joined = "\0".join(low) + "\0"
+        data = joined.encode("utf-8", "surrogatepass") + bytes(16)
+        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        inside = np.zeros(len(chars) + 1, np.int8)
+        inside[:-1] = _tables[0][chars]
+        turn = np.diff(inside, prepend=np.int8(0))
+        begin, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+        edges = np.cumsum(np.fromiter(map(len, low), np.int64, len(low)) + 1) - 1
+        of_word = np.searchsorted(edges, begin)
+        if len(data) != len(joined) + 16:
+            place = np.zeros(len(chars) + 1, np.int64)
+            np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000), out=place[1:])
+            begin, end = place[begin], place[end]
+
+        def learn(at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            made = [self._of(data[a : a + n].decode("utf-8", "surrogatepass")) for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
+            return np.array([k for m in made for k in m], np.int32), np.array([len(m) for m in made], np.int64)
+
+        room, parts = self.known.room, []
+        for k in range(0, len(begin), room):
+            parts.append(self.known.lists(data, begin[k : k + room], (end - begin)[k : k + room], learn))
+        hits = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
+        of = np.repeat(of_word, np.concatenate([p[1] for p in parts])) if parts else hits
+        rude = hits == len(self.index)
+        return Found(np.bincount(of_word, minlength=len(texts)), of[~rude], hits[~rude]), np.bincount(of[rude], minlength=len(texts))
+
+    def density(self, found: Found) -> np.ndarray:
+        """Each group's marks as a share of the words, for each text."""
+        n = len(found.words)
+        return np.bincount(found.of * _GROUPS + self.group[found.marks], minlength=n * _GROUPS).reshape(n, _GROUPS) / np.maximum(found.words, 1)[:, None]
+
+    def votes(self, texts: list[str]) -> np.ndarray:
+        """The votes on each text as bits."""
+        found, rude = self.find(texts)
+        hits = np.bincount(found.of, minlength=len(texts))
+        at_somebody, shouting = np.zeros(len(texts), bool), np.zeros(len(texts), bool)
+        for k in np.flatnonzero(rude).tolist():
+            at_somebody[k] = bool(_AT_SOMEBODY.search(texts[k].lower()))
+        for k, text in enumerate(texts):
+            upper = len(_SHOUT.findall(text))
+            shouting[k] = upper > 5 and upper > 0.2 * found.words[k]
+        dense = (hits >= 3) & (hits > 0.01 * found.words)
+        votes = np.column_stack([self.density(found) > self.cuts, rude > 0, rude > 2, at_somebody, dense, shouting])
+        return votes @ (np.int64(1) << np.arange(votes.shape[1]))
+
+    def scores(self, texts: list[str], weights: np.ndarray, bias: float) -> np.ndarray:
+        """Each text's chance to be toxic, by a linear classifier of its counts of marks."""
+        found, _ = self.find(texts)
+        text, mark, n = found.counts(max(1, len(self.index)))
+        z = np.bincount(text, weights[mark] * _values(n), len(texts)) + bias
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def _values(counts: np.ndarray) -> np.ndarray:
@@ -110,19 +161,32 @@ def _texts(batches, columns: int):
         yield from zip(*(b.column(k).to_pylist() for k in range(columns)), (t.as_py() or "" for t in b.column(columns)), strict=True)
 
 
+def _groups(batches, columns: int):
+    """(one list a column, texts) of bounded size; a text by itself may be longer."""
+    rows, size = [], 0
+    for row in _texts(batches, columns):
+        rows.append(row)
+        size += len(row[-1])
+        if size >= _AT_ONCE:
+            yield [*map(list, zip(*rows, strict=True))]
+            rows, size = [], 0
+    if rows:
+        yield [*map(list, zip(*rows, strict=True))]
+
+
 def choose_marks(sample: DataFrame, marks: int = MARKS, judge=None) -> np.ndarray:
     """The marks whose share of toxic texts lies surest above that of clean ones, by documents of the sample (toxic, text).
 
-    judge() makes a function that gives a text's chance to be toxic, in _UNITS; without it the sample's labels hold.
+    judge() makes a function that gives the chances of texts to be toxic, in _UNITS; without it the sample's labels hold.
     """
 
     def count(batches):
         n, sizes, chance = np.zeros((2, 1 << _BITS), np.int64), np.zeros(2, np.int64), judge and judge()
-        for label, text in _texts(batches, 1):
-            toxic = chance(text) if chance else label * _UNITS
-            sizes += (_UNITS - toxic, toxic)
-            found = {m for w in set(_WORD.findall(text.lower())) for m in marks_of(w)}
-            n[:, list(found)] += np.array([[_UNITS - toxic], [toxic]])
+        for labels, texts in _groups(batches, 1):
+            for toxic, text in zip(chance(texts).tolist() if chance else [y * _UNITS for y in labels], texts, strict=True):
+                sizes += (_UNITS - toxic, toxic)
+                found = {m for w in set(_WORD.findall(text.lower())) for m in marks_of(w)}
+                n[:, list(found)] += np.array([[_UNITS - toxic], [toxic]])
         used = np.flatnonzero(n.any(axis=0))
         # mark -1 counts the documents
         yield pa.RecordBatch.from_arrays([pa.array([-1, *used], pa.int64()), *(pa.array([size, *own], pa.int64()) for size, own in zip(sizes, n[:, used], strict=True))], ["mark", "clean", "toxic"])
@@ -147,9 +211,9 @@ def choose_cuts(sample: DataFrame, chosen: np.ndarray) -> np.ndarray:
         marker = Marker(chosen)
 
         def made():
-            for toxic, text in _texts(batches, 1):
-                words = _WORD.findall(text.lower())
-                yield 8 * _GROUPS, (toxic, marker.density(words, marker._hits(words)).astype("<f8").tobytes())
+            for labels, texts in _groups(batches, 1):
+                for toxic, own in zip(labels, marker.density(marker.find(texts)[0]).astype("<f8"), strict=True):
+                    yield 8 * _GROUPS, (toxic, own.tobytes())
 
         yield from in_batches(made(), {"toxic": pa.int64(), "density": pa.binary()})
 
@@ -183,7 +247,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = M
 
     def vote(batches):
         marker = Marker(voting, cuts)
-        yield from in_batches(((16, (doc, marker.votes(text))) for doc, text in _texts(batches, 1)), {"doc_id": pa.int64(), "votes": pa.int64()})
+        for ids, texts in _groups(batches, 1):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marker.votes(texts), pa.int64())], ["doc_id", "votes"])
 
     votes = written(rows.mapInArrow(vote, "doc_id long, votes long"), "votes")
     # one row for each pattern of votes and label: 3 * 2**13 at most
@@ -205,7 +270,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = M
 
     def judge():
         marker = Marker(voting, cuts)
-        return lambda text: chance[marker.votes(text)]
+        return lambda texts: np.array([chance[v] for v in marker.votes(texts).tolist()], np.int64)
 
     judged = written(rows.join(F.broadcast(used), "doc_id").select(F.lit(0).alias("toxic"), "doc_id", "text"), "judged")
     chosen = choose_marks(judged, marks, judge)
@@ -214,9 +279,11 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = M
         marker, likely = Marker(chosen), judge()
 
         def made():
-            for doc, text in _texts(batches, 1):
-                at, count = marker.counts(text)
-                yield 8 * len(at) + 16, (doc, likely(text), at.astype("<i4").tobytes(), count.astype("<i4").tobytes())
+            for ids, texts in _groups(batches, 1):
+                of, mark, n = marker.find(texts)[0].counts(max(1, len(chosen)))
+                ends = np.searchsorted(of, np.arange(len(texts) + 1)).tolist()
+                for doc, p, a, z in zip(ids, likely(texts).tolist(), ends, ends[1:], strict=False):
+                    yield 8 * (z - a) + 16, (doc, p, mark[a:z].astype("<i4").tobytes(), n[a:z].astype("<i4").tobytes())
 
         yield from in_batches(made(), {"doc_id": pa.int64(), "toxic": pa.int64(), "at": pa.binary(), "count": pa.binary()})
 
@@ -243,14 +310,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ma
 
     def score(batches):
         marker = Marker(chosen)
-
-        def made():
-            for doc, text in _texts(batches, 1):
-                at, count = marker.counts(text)
-                z = float(np.clip(weights[at] @ _values(count) + bias, -30, 30))
-                yield 16, (doc, float(1 / (1 + np.exp(-z))))
-
-        yield from in_batches(made(), {"doc_id": pa.int64(), "score": pa.float64()})
+        for ids, texts in _groups(batches, 1):
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marker.scores(texts, weights, bias))], ["doc_id", "score"])
 
     scored = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(score, "doc_id long, score double")
     return scored.select("doc_id", F.coalesce(held_out(F.col("doc_id")), F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
@@ -263,8 +324,9 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks:
 
     def keep(batches):
         marker = Marker(chosen)
-        for b in batches:
-            found = (marker.counts(t.as_py() or "") for t in b.column(at_col))
-            yield b.filter(pa.array([bool(weights[at] @ _values(count) + bias < 0) for at, count in found], pa.bool_()))
+        for whole in batches:
+            for k in range(0, whole.num_rows, 250):
+                b = whole.slice(k, 250)
+                yield b.filter(pa.array(marker.scores([t.as_py() or "" for t in b.column(at_col)], weights, bias) < 0.5, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
