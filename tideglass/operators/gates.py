@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideglass.operators.analysis import uncovered
 from tideglass.spec import DatasetSpec
 
 
@@ -124,3 +125,16 @@ def accounting(physical: DataFrame, accepted: DataFrame, rejected: DataFrame, sl
     records = F.expr(f"accepted_rows div {slots}")
     lines = records - F.col("recovered") + F.col("rejected")
     return counts.select("physical", records.alias("records"), "rejected", "recovered", ((F.col("physical") == lines) & (F.col("accepted_rows") % slots == 0)).alias("balanced"))
+
+
+def refuse_shrinking(prior: DataFrame, new: DataFrame, mode: str = "checked") -> DataFrame:
+    """(entity_id, start, end) ranges that `prior` covers and `new` doesn't; under 'checked' one of them ends the job.
+
+    Modes 'allowed', 'rebuild' and 'replay' let a replacement cover less.
+    """
+    if mode not in ("checked", "allowed", "rebuild", "replay"):
+        raise GateError(f"unknown mode {mode!r}")
+    lost = uncovered(prior, new, "entity_id")
+    if mode == "checked" and (bad := lost.limit(3).collect()):
+        raise GateError(f"the replacement leaves out {[tuple(map(str, r)) for r in bad]}")
+    return lost

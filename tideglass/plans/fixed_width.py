@@ -73,17 +73,35 @@ def _day_text(record: Column, layout: Layout) -> Column:
     return text if layout.date == "yyyyMMdd" else F.concat(text, F.lit("01"))
 
 
+def _fields(record: Column, layout: Layout) -> list[Column]:
+    """The trimmed value of each slot, as plain substrings that code generation takes."""
+    return [F.trim(F.substring(record, F.lit(layout.front + 1 + h * (layout.value + 1)), F.lit(layout.value))) for h in range(layout.slots)]
+
+
+def _slots_fine(record: Column, code: Column, layout: Layout, elements: tuple[Element, ...]) -> Column:
+    """Whether all slots hold numbers or markers: one regular expression over all of them, chosen by the element."""
+    joined = F.array_join(F.array(*_fields(record, layout)), "\x1f")
+    number = NUMBER.strip("^$")
+
+    def pattern(marks: tuple[str, ...]) -> str:
+        field = "(?:" + "|".join([number, *(rf"\Q{m}\E" for m in (layout.missing, *marks))]) + ")"
+        return rf"^{field}(?:\x1f{field}){{{layout.slots - 1}}}$"
+
+    fine = joined.rlike(pattern(()))
+    for marks in sorted({e.missing for e in elements if e.missing}):
+        fine = F.when(code.isin([e.code for e in elements if e.missing == marks]), joined.rlike(pattern(marks))).otherwise(fine)
+    return fine
+
+
 def structural_error(record: Column, layout: Layout, elements: tuple[Element, ...]) -> Column:
     """The first thing wrong with a record of any length: width, station, date, element, a slot; null if none."""
     day, code = _day_text(record, layout), _part(record, layout.station + len(layout.date), layout.element)
-    slots = F.transform(F.sequence(F.lit(0), F.lit(layout.slots - 1)), lambda h: F.trim(F.substring(record, F.lit(layout.front + 1) + h * (layout.value + 1), F.lit(layout.value))))
-    marks = F.array_distinct(F.concat(F.array(F.lit(layout.missing)), *(F.when(code == e.code, F.array(*map(F.lit, e.missing))).otherwise(F.array().cast("array<string>")) for e in elements if e.missing)))
     return first_reason(
         ("width", F.char_length(record) != layout.width),
         ("station", F.trim(_part(record, 0, layout.station)) == ""),
         ("date", ~day.rlike(r"^\d{8}$") | F.try_to_timestamp(day, F.lit("yyyyMMdd")).isNull()),
         ("element", ~code.isin([e.code for e in elements])),
-        ("slot", F.exists(slots, lambda v: ~(v.rlike(NUMBER) | F.array_contains(marks, v)))),
+        ("slot", ~_slots_fine(record, code, layout, elements)),
     )
 
 
@@ -113,16 +131,17 @@ def route_lines(lines: DataFrame, layout: Layout, elements: tuple[Element, ...],
     # the scan over all offsets is for malformed lines alone
     over = F.col("full").isNull() & (n > w)
     classed = seen.withColumns({"error": error, "offsets": F.when(over, salvage_offsets(F.col("raw"), layout, elements)).otherwise(F.array().cast("array<int>"))})
-    whole = classed.filter("full IS NOT NULL AND error IS NULL").select("source", "line_number", F.lit(0).alias("offset"), F.col("full").alias("record"), "raw")
-    inside = classed.filter(F.size("offsets") > 0).select("source", "line_number", F.explode("offsets").alias("offset"), "raw")
-    inside = inside.select("source", "line_number", "offset", F.expr(f"substring(raw, offset + 1, {w})").alias("record"), F.expr(f"substring(raw, offset + 1, {w})").alias("raw"))
+    fine = F.array(F.struct(F.lit(0).alias("offset"), F.col("full").alias("record"), F.col("raw").alias("raw")))
+    inside = F.transform("offsets", lambda k: F.struct(k.alias("offset"), F.substring(F.col("raw"), k + 1, F.lit(w)).alias("record"), F.substring(F.col("raw"), k + 1, F.lit(w)).alias("raw")))
+    kept = F.when(F.col("full").isNull(), inside).when(F.col("error").isNull(), fine)
+    records = classed.select("source", "line_number", F.inline(kept))
     lost = classed.filter("full IS NULL OR error IS NOT NULL")
     found = F.size("offsets")
     reason = F.when(F.col("full").isNotNull(), "invalid_fixed_width_record").when(n < w, "truncated_fixed_width_record").when(found > 0, "extra_bytes_around_valid_fixed_width_records").otherwise("invalid_fixed_width_record")
     key = F.when(F.col("full").isNotNull(), "invalid-record").when(n < w, "truncated-record").otherwise("malformed-physical-line")
     details = F.struct(F.lit(w).alias("expected_width"), F.col("error").alias("structural_error"), F.when(over, F.col("offsets")).alias("recovered_offsets"), F.when(over, n - found * w).alias("discarded_character_count"))
     locator = F.concat(F.lit("line:"), F.col("line_number").cast("string"))
-    return whole.unionByName(inside), lost.select(*rejection(F.col("source"), locator, key, reason, F.col("raw"), found, details))
+    return records, lost.select(*rejection(F.col("source"), locator, key, reason, F.col("raw"), found, details))
 
 
 def _element_table(df: DataFrame, elements: tuple[Element, ...]) -> DataFrame:
@@ -131,9 +150,8 @@ def _element_table(df: DataFrame, elements: tuple[Element, ...]) -> DataFrame:
 
 
 def _slots(records: DataFrame, layout: Layout) -> DataFrame:
-    size = layout.value + 1
-    at = lambda h, skip, n: F.substring("record", F.lit(layout.front + 1 + skip) + h * size, F.lit(n))
-    slots = F.transform(F.sequence(F.lit(0), F.lit(layout.slots - 1)), lambda h: F.struct(h.alias("slot"), F.trim(at(h, 0, layout.value)).alias("text"), F.trim(at(h, layout.value, 1)).alias("quality_flag")))
+    flag = lambda h: F.trim(F.substring("record", layout.front + 1 + h * (layout.value + 1) + layout.value, 1))
+    slots = F.array(*(F.struct(F.lit(h).alias("slot"), text.alias("text"), flag(h).alias("quality_flag")) for h, text in enumerate(_fields(F.col("record"), layout))))
     return records.select("*", F.inline(slots))
 
 
@@ -155,7 +173,7 @@ def parse_hourly(lines: DataFrame, zones: DataFrame, elements: tuple[Element, ..
         F.try_to_timestamp(_day_text(F.col("record"), layout), F.lit("yyyyMMdd")).cast("date").alias("day"), _part(F.col("record"), layout.station + len(layout.date), layout.element).alias("source_element"),
     )
     known = known.filter(F.col("entity_id").isin(stations)) if stations else known
-    placed = with_standard_offsets(known.join(F.broadcast(zones.select("entity_id", "zone").filter("zone IS NOT NULL")), "entity_id", "left"), "zone", "day")
+    placed = with_standard_offsets(known.join(zones.select("entity_id", "zone").filter("zone IS NOT NULL"), "entity_id", "left"), "zone", "day")
     reason = F.when(F.col("zone").isNull(), "missing_station_timezone").when(F.col("is_transition"), "standard_timezone_transition")
     placed = placed.withColumn("reason", reason)
     if policy == "error":

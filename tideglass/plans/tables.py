@@ -82,13 +82,17 @@ def select_members(members: DataFrame, areas: DataFrame, station: str, limit: fl
     return classed.filter("class = 'selected'").select(*members.columns), counts
 
 
-def selection_fingerprint(members: DataFrame, columns: Sequence[str], parameters: dict) -> DataFrame:
-    """One row with a digest of member rows, in whatever order they come, and parameters."""
+def selection_fingerprint(members: DataFrame, columns: Sequence[str], parameters: dict, prefix: int = 2) -> DataFrame:
+    """One row with a digest of member rows, in whatever order they come, and parameters.
+
+    Row digests are sorted and digested for each of 16**prefix leading texts; the digests of those, in order, make the result.
+    """
     import json
 
-    row = F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256)
-    rows = F.array_join(F.sort_array(F.collect_list(row)), ",")
-    return members.agg(F.sha2(F.concat_ws("|", rows, F.lit(json.dumps(parameters, sort_keys=True, default=str))).cast("binary"), 256).alias("fingerprint"))
+    rows = members.select(F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256).alias("row"))
+    part = rows.groupBy(F.substring("row", 1, prefix).alias("lead")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("row")), ",").cast("binary"), 256).alias("digest"))
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("lead", "digest"))), lambda x: x["digest"]), ",")
+    return part.agg(F.sha2(F.concat_ws("|", whole, F.lit(json.dumps(parameters, sort_keys=True, default=str))).cast("binary"), 256).alias("fingerprint"))
 
 
 def parse_unit_values(rows: DataFrame, station: Column, qualifier_at: int = 5) -> DataFrame:
@@ -99,23 +103,77 @@ def parse_unit_values(rows: DataFrame, station: Column, qualifier_at: int = 5) -
     return rows.select(station.alias("entity_id"), fine.alias("time_start"), strict_number(F.nullif(F.trim(cell(2)), F.lit("")), "value").alias("value"), cell(3).alias("approval"), cell(4).alias("grade"), qualifiers_json(F.col("cells"), qualifier_at).alias("qualifiers"))
 
 
-def check_page_rows(rows: DataFrame, requested: str = "climate_id") -> DataFrame:
+def check_page_rows(rows: DataFrame, requested: str = "climate_id", parts: Sequence[str] = (), key: str | None = None, coordinates: tuple[str, str, str, str] | None = None) -> DataFrame:
     """Page rows (source, row_number, climate_id, local_date, window_start, window_end, ...) with their first fault.
 
     local is the parsed clock. A row must be of the requested station, parse, stand on a whole minute inside its window,
-    and be the only one of its hour in the window.
+    and be the only one of its hour in the window. parts names columns of year, month, day and hour, and key a composed id
+    station.year.month.day.hour, that must say the same; coordinates names longitude, latitude and those published.
     """
-    clock = F.try_to_timestamp("local_date", F.lit("yyyy-MM-dd HH:mm:ss"))
-    seen = rows.withColumn("local", clock)
     from pyspark.sql import Window
 
-    twice = F.count("*").over(Window.partitionBy("window_start", requested, "local")) > 1
-    seen = seen.withColumn("_twice", twice)
-    fault = first_reason(
+    from tideglass.functions.scalars import same_coordinate, whole_within
+
+    seen = rows.withColumn("local", F.try_to_timestamp("local_date", F.lit("yyyy-MM-dd HH:mm:ss")))
+    seen = seen.withColumn("_twice", F.count("*").over(Window.partitionBy("window_start", requested, "local")) > 1)
+    clock = [f("local") for f in (F.year, F.month, F.dayofmonth, F.hour)]
+    rules = [
         ("other_station", F.col("station_id") != F.col(requested)), ("unreadable_date", F.col("local").isNull()), ("not_a_whole_minute", F.second("local") != 0),
         ("outside_window", ~((F.col("local") >= F.col("window_start")) & (F.col("local") < F.col("window_end")))), ("repeated_hour", F.col("_twice")),
-    )
-    return seen.withColumn("fault", fault).drop("_twice")
+        *((f"{c}_disagrees", ~whole_within(F.col(c), 0, 9999) | (F.col(c).try_cast("int") != at)) for c, at in zip(parts, clock, strict=False)),
+    ]
+    if key:
+        rules.append(("key_disagrees", F.format_string("%s.%d.%d.%d.%d", F.col("station_id"), *clock) != F.col(key)))
+    if coordinates:
+        x, y, own_x, own_y = map(F.col, coordinates)
+        rules.append(("coordinates_disagree", ~(same_coordinate(x, own_x) & same_coordinate(y, own_y))))
+    return seen.withColumn("fault", first_reason(*rules)).drop("_twice")
+
+
+def refuse_faults(checked: DataFrame) -> DataFrame:
+    """The rows of check_page_rows; one with a fault ends the job and names its page and row."""
+    stop = F.raise_error(F.concat_ws(" ", F.col("source"), F.lit("row"), F.col("row_number").cast("string"), "fault")).cast("timestamp")
+    return checked.withColumn("local", F.when(F.col("fault").isNull(), F.col("local")).otherwise(stop)).drop("fault")
+
+
+def scoped_values(rows: DataFrame, numbers: Sequence[str], markers: dict[str, Sequence[str]]) -> DataFrame:
+    """rows with columns as strict numbers; a text marker gives null in the columns that it is named for and ends the job elsewhere."""
+    if unknown := {c for own in markers.values() for c in own} - {*numbers}:
+        raise DeclarationError(f"markers for undeclared columns: {sorted(unknown)}")
+    scope = lambda c: [m for m, own in markers.items() if c in own]
+    text = lambda c: F.when(~F.trim(c).isin([*scope(c), ""]), F.trim(c)) if c in rows.columns else F.lit(None).cast("string")
+    return rows.withColumns({c: strict_number(text(c), c) for c in numbers})
+
+
+def verify_counts(counts: DataFrame, pages: DataFrame, keys: Sequence[str]) -> None:
+    """Ends the job, with up to three examples, unless the rows of each window are as many as were published."""
+    if bad := reconcile_windows(counts, pages, keys).filter(~F.col("complete")).limit(3).collect():
+        raise GateError(f"pages and counts differ: {[tuple(map(str, r)) for r in bad]}")
+
+
+def page_accounts(result: ParseResult, rows: DataFrame, page: str = "source") -> DataFrame:
+    """Per page: physical rows, published ones, those set aside and for which reason, and whether the sums agree."""
+    total = rows.groupBy(page).agg(F.count("*").alias("physical"))
+    out = result.accepted.groupBy(page).agg(F.count("*").alias("published"))
+    lost = result.rejected.groupBy("source", "reason").agg(F.count("*").alias("n")).groupBy("source").agg(F.sum("n").alias("set_aside"), F.array_join(F.sort_array(F.collect_list(F.concat_ws(":", "reason", F.col("n").cast("string")))), ",").alias("reasons"))
+    joined = total.join(out, page, "left").join(lost.withColumnRenamed("source", page), page, "left")
+    n = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    made = joined.select(page, "physical", n("published"), n("set_aside"), F.coalesce("reasons", F.lit("")).alias("reasons"))
+    return made.withColumn("balanced", F.col("physical") == F.col("published") + F.col("set_aside"))
+
+
+def value_counts(rows: DataFrame, page: str, columns: Sequence[str]) -> DataFrame:
+    """(page, column, value, n) of the non-blank values of the given columns."""
+    cells = rows.select(page, F.inline(F.array(*(F.struct(F.lit(c).alias("column"), F.trim(F.col(c).cast("string")).alias("value")) for c in columns))))
+    return cells.filter("value <> ''").groupBy(page, "column", "value").agg(F.count("*").alias("n"))
+
+
+def refuse_varying(rows: DataFrame, page: str, constants: Sequence[str]) -> None:
+    """Ends the job if a column that has to be constant in a page holds several values."""
+    several = [F.count_distinct(c).alias(c) for c in constants]
+    bad = rows.groupBy(page).agg(*several).filter(" OR ".join(f"`{c}` > 1" for c in constants)).limit(3).collect()
+    if bad:
+        raise GateError(f"columns vary within pages: {[r.asDict() for r in bad]}")
 
 
 def place_page_rows(rows: DataFrame, zones: DataFrame, duration: str = "1 hour", publisher_utc: str | None = None) -> ParseResult:
@@ -125,7 +183,7 @@ def place_page_rows(rows: DataFrame, zones: DataFrame, duration: str = "1 hour",
     instant isn't the publisher's are set aside.
     """
     begin = F.col("local") - F.expr(f"INTERVAL {duration}")
-    both = rows.withColumns({"_begin": begin, "_day": F.to_date(begin), "_end_day": F.to_date("local")}).join(F.broadcast(zones.select("entity_id", "zone")), "entity_id", "left")
+    both = rows.withColumns({"_begin": begin, "_day": F.to_date(begin), "_end_day": F.to_date("local")}).join(zones.select("entity_id", "zone"), "entity_id", "left")
     placed = with_standard_offsets(both, "zone", "_day").withColumnsRenamed({"offset_start": "_own", "offset_end": "_next"}).drop("is_transition")
     end_offset = F.when(F.col("_end_day") > F.col("_day"), F.col("_next")).otherwise(F.col("_own"))
     start, end = shift_to_utc(F.col("_begin"), F.col("_own")), shift_to_utc(F.col("local"), end_offset)
@@ -149,6 +207,22 @@ def page_windows(requests: DataFrame) -> DataFrame:
     return years.select("entity_id", F.greatest("start", edge(F.col("y"))).alias("window_start"), F.least("end", edge(F.col("y") + 1)).alias("window_end"))
 
 
+def retrieval_order(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """rows with place: their number from 1 in the order of the keys. Rows are counted by ranges; no task sorts them all."""
+    from pyspark.sql import Window
+
+    dealt = rows.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
+    from tideglass.session import shared_path
+
+    path = shared_path(rows.sparkSession, "ordered")  # written, as ranges are sampled anew whenever a plan runs
+    dealt.write.parquet(path)
+    kept = rows.sparkSession.read.parquet(path)
+    counts = kept.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = counts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*keys))
+    return kept.withColumn("_place", place).join(before, "_part").withColumn("place", (F.col("_base") + F.col("_place")).cast("long")).drop("_part", "_place", "_base")
+
+
 def settled(end: Column, retrieved: Column, days: int) -> Column:
     return retrieved >= end + F.expr(f"INTERVAL '{days}' DAY")
 

@@ -47,11 +47,17 @@ def query(sql: str | None = None):
     return register
 
 
+def _registered() -> None:
+    from tideglass import job_queries  # noqa: F401 - registers its own
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    _registered()
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    _registered()
     return dict(_SQL)
 
 
@@ -366,7 +372,7 @@ _ZONED = "lpad(CAST(user_id AS VARCHAR), 6, '0') AS entity_id, ts, CASE user_id
 @query(f"""SELECT entity_id, {_sql_text('ts')} AS local, {_sql_text('ts - to_minutes(m)')} AS utc, m * 60 AS offset_start, false AS is_transition FROM (SELECT {_ZONED} FROM events)""")
 def standard_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Local standard clocks to UTC, with each distinct zone and day resolved once."""
-    rows = events_long(spark, sf_dir).join(F.broadcast(recast.user_zones(spark, sf_dir)), "entity_id").withColumn("day", F.to_date("time_start"))
+    rows = events_long(spark, sf_dir).join(recast.user_zones(spark, sf_dir), "entity_id").withColumn("day", F.to_date("time_start"))
     placed = with_standard_offsets(rows, "zone", "day")
     return placed.select("entity_id", _text("time_start", "local"), _text(shift_to_utc(F.col("time_start"), F.col("offset_start")), "utc"), "offset_start", "is_transition")
 
@@ -520,8 +526,8 @@ def headed_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV whose header stands behind disclaimer lines, read as text and typed."""
     suppliers = table(spark, sf_dir, "supplier")
     text = F.concat_ws(",", F.concat(F.lit('"'), F.col("s_suppkey").cast("string"), F.lit('.0"')), "s_name", F.col("s_acctbal").cast("string"))
-    body = suppliers.groupBy("s_nationkey").agg(F.array_join(F.sort_array(F.collect_list(text)), "\n").alias("rows"))
-    files = body.select(F.col("s_nationkey").cast("string").alias("source"), F.concat(F.lit("Disclaimer\n,,\n\nStation ID,Name,Balance\n"), "rows", F.lit("\n")).alias("text"))
+    body = suppliers.groupBy(F.expr("s_suppkey div 500").alias("block")).agg(F.array_join(F.sort_array(F.collect_list(text)), "\n").alias("rows"))
+    files = body.select(F.col("block").cast("string").alias("source"), F.concat(F.lit("Disclaimer\n,,\n\nStation ID,Name,Balance\n"), "rows", F.lit("\n")).alias("text"))
     cells = sources.named_cells(sources.headed_csv(sources.lines_of(files, "source", "text"), "Station ID", 3), ["Station ID", "Name", "Balance"])
     found = tables.parse_inventory(cells, {"entity_id": "Station ID", "name": "Name", "balance": "Balance"}, ["balance"])
     return found.select(F.col("entity_id").cast("long").alias("s_suppkey"), "name", "balance")
@@ -540,11 +546,11 @@ def unit_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.parse_unit_values(rows, F.col("metadata")["Station"]).select("entity_id", _text("time_start"), "value", "approval", "qualifiers")
 
 
-@query("SELECT n_name, CAST(n_nationkey * 10 AS BIGINT) AS matched FROM nation")
+@query("SELECT o_orderkey, CAST(o_custkey * 10 AS BIGINT) AS matched FROM orders")
 def hits_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts out of count responses."""
-    body = F.concat(F.lit('{"type":"FeatureCollection","features":[],"numberMatched":'), (F.col("n_nationkey") * 10).cast("string"), F.lit("}"))
-    return table(spark, sf_dir, "nation").select("n_name", sources.hits_count(body).alias("matched"))
+    body = F.concat(F.lit('{"type":"FeatureCollection","features":[],"numberMatched":'), (F.col("o_custkey") * 10).cast("string"), F.lit("}"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", sources.hits_count(body).alias("matched"))
 
 
 _PAGE_SQL = f"SELECT {_ZONED}, event_id FROM events"
@@ -553,7 +559,7 @@ _PAGE_SQL = f"SELECT {_ZONED}, event_id FROM events"
 @query(f"""SELECT event_id, entity_id, {_sql_text("date_trunc('minute', ts) - INTERVAL 1 HOUR - to_minutes(m)")} AS time_start, {_sql_text("date_trunc('minute', ts) - to_minutes(m)")} AS time_end FROM ({_PAGE_SQL})""")
 def api_page_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages of CSV with an exact header to UTC intervals, checked against the publisher's own instant."""
-    e = table(spark, sf_dir, "events").join(F.broadcast(recast.user_zones(spark, sf_dir)), F.lpad(F.col("user_id").cast("string"), 6, "0") == F.col("entity_id"))
+    e = table(spark, sf_dir, "events").join(recast.user_zones(spark, sf_dir), F.lpad(F.col("user_id").cast("string"), 6, "0") == F.col("entity_id"))
     offset = F.get(F.array(*(F.lit(int(h * 60)) for _, h in recast.ZONES)), (F.col("user_id") % 5).cast("int"))
     local = F.date_trunc("minute", F.col("ts").cast("timestamp"))
     line = F.concat_ws(",", "entity_id", F.date_format(local, "yyyy-MM-dd HH:mm:ss"), F.date_format(shift_to_utc(local, offset * 60), "yyyy-MM-dd HH:mm:ss"), F.col("event_id").cast("string"))
@@ -583,10 +589,11 @@ def manifest_proof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.check_manifest(manifest, 5).select("climate_id", "matched", "n_pages", "fault")
 
 
-@query()
+@query("""WITH r AS (SELECT sha256('{"c_custkey":' || CAST(c_custkey AS VARCHAR) || ',"c_mktsegment":"' || c_mktsegment || '"}') AS d FROM customer), p AS (SELECT substr(d, 1, 2) AS lead, sha256(string_agg(d, ',' ORDER BY d)) AS g FROM r GROUP BY 1)
+    SELECT sha256(string_agg(g, ',' ORDER BY lead) || '|{"limit": 10}') AS fingerprint FROM p""")
 def selection_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One digest of the member rows, in whatever order they come."""
-    return tables.selection_fingerprint(table(spark, sf_dir, "nation"), ["n_nationkey", "n_name"], {"limit": 10})
+    return tables.selection_fingerprint(table(spark, sf_dir, "customer"), ["c_custkey", "c_mktsegment"], {"limit": 10})
 
 
 # metadata and snapshots

@@ -53,7 +53,7 @@ def headed_csv(lines: DataFrame, header_cell: str, width: int) -> DataFrame:
     """(source, line_number, header, cells): what follows the first line of each source that has the header cell."""
     cells = lines.withColumn("cells", _cells(F.col("raw"), width)).filter(F.trim("raw") != "")
     heads = cells.filter(F.array_contains(F.transform("cells", lambda c: F.trim(c)), header_cell)).groupBy("source").agg(F.min(F.struct("line_number", "cells")).alias("h"))
-    below = cells.join(F.broadcast(heads), "source").filter(F.col("line_number") > F.col("h.line_number"))
+    below = cells.join(heads, "source").filter(F.col("line_number") > F.col("h.line_number"))
     return below.select("source", "line_number", F.transform("h.cells", lambda c: F.trim(c)).alias("header"), "cells")
 
 
@@ -78,7 +78,7 @@ def commented_csv(lines: DataFrame, header: Sequence[str], required: Sequence[st
     wanted = ",".join(header)
     fine = (F.regexp_replace("h.raw", r"\s*,\s*", ",") == wanted) & F.forall(F.array(*map(F.lit, required)), lambda k: F.col("metadata")[k].isNotNull())
     heads = heads.select("source", F.when(fine, F.col("h.line_number")).otherwise(F.raise_error(F.concat(F.lit("preamble or header not as declared: "), F.col("source"))).cast("long")).alias("at"), "metadata")
-    below = mark.filter(~F.col("comment")).join(F.broadcast(heads), "source").filter(F.col("line_number") > F.col("at"))
+    below = mark.filter(~F.col("comment")).join(heads, "source").filter(F.col("line_number") > F.col("at"))
     cells = below.select("source", "line_number", "metadata", F.filter(_cells(F.col("raw"), width), lambda c: c.isNotNull()).alias("cells"))
     return cells.filter(F.exists("cells", lambda c: F.trim(c) != ""))
 

@@ -107,12 +107,12 @@ class Store:
             raise StoreError(f"{dataset_id}: no snapshot {snapshot or 'is committed'}")
         return found[0]
 
-    def publish(self, df: DataFrame, dataset_id: str, source_id: str, version: str, rejected: DataFrame | None = None, kind: str = "ingestion", parents: Sequence[str] = (), query: str | None = None) -> str:
+    def publish(self, df: DataFrame, dataset_id: str, source_id: str, version: str, rejected: DataFrame | None = None, kind: str = "ingestion", parents: Sequence[str] = (), query: str | None = None, inputs: DataFrame | None = None) -> str:
         """Gates df, writes it and makes it the dataset's newest snapshot; its id.
 
         An append snapshot takes over the fragments of the newest one, a replacing one starts anew. The same data from
         the same source under the same version and declaration is published once: its snapshot is returned. A failed run
-        leaves no readable trace.
+        leaves no readable trace. inputs: (input_key, source_id, input_role, details_json) of what else the run has read.
         """
         spec = self.registry.get(dataset_id).require_ready()
         same = (F.col("dataset_id") == dataset_id) & (F.col("source_id") == source_id) & (F.col("version") == version) & (F.col("dataset_digest") == spec.digest())
@@ -139,6 +139,8 @@ class Store:
             raise
         if rejected is not None:
             self._append("rejections", rejected.withColumns({"run_id": F.lit(run), "dataset_id": F.lit(dataset_id)}).dropDuplicates(["run_id", "source", "rejection_key"]))
+        if inputs is not None:
+            self._append("run_inputs", inputs.withColumn("run_id", F.lit(run)).dropDuplicates(["run_id", "input_key"]))
         edges = [(snapshot, parent, "append_base", None, version)] if parent else []
         edges += [(snapshot, p, "derivation", query, version) for p in parents]
         if edges:
@@ -274,6 +276,50 @@ class Store:
         wrote = self.meta("fragments").join(at, "snapshot_id", "left_semi").groupBy("run_id").agg(F.count_distinct("relative_path").alias("n_fragments"))
         return wrote.join(self.runs(), "run_id").join(preferred_names(self.meta("source_aliases")), "source_id", "left").select("run_id", "dataset_id", "version", "n_fragments", "original_name")
 
+    def latest_inputs(self, dataset_id: str, role: str) -> DataFrame:
+        """(input_key, source_id, details_json): inputs of one role behind the live snapshot's own run."""
+        run = self.snapshots().filter(F.col("snapshot_id") == self.live_snapshot(dataset_id)).select("run_id")
+        return self.meta("run_inputs").filter(F.col("input_role") == role).join(run, "run_id", "left_semi").select("input_key", "source_id", "details_json")
+
+    def published_sources(self) -> DataFrame:
+        """(dataset_id, source_id) that a committed run was made of, as its source or one of its inputs."""
+        runs = self.runs().filter("state = 'committed'")
+        more = self.meta("run_inputs").select("run_id", "source_id").join(runs.select("run_id", "dataset_id"), "run_id").select("dataset_id", "source_id")
+        return runs.select("dataset_id", "source_id").unionByName(more).distinct()
+
+    def runs_in(self, *states: str) -> DataFrame:
+        return self.runs().filter(F.col("state").isin([*states]))
+
+    def fragment_inventory(self, dataset_id: str | None = None, states: Sequence[str] = ("committed",)) -> DataFrame:
+        """One row a stored fragment, however many snapshots share it: the snapshots' number, first and last time of commit."""
+        at = self.snapshots().filter(F.col("state").isin([*states])).select("snapshot_id", "at")
+        rows = self.meta("fragments") if dataset_id is None else self.meta("fragments").filter(F.col("dataset_id") == dataset_id)
+        keys = ["dataset_id", "relative_path", "year", "entity_bucket"]
+        return rows.join(at, "snapshot_id").groupBy(*keys).agg(F.max("row_count").alias("row_count"), F.count_distinct("snapshot_id").alias("n_snapshots"), F.min("at").alias("first_at"), F.max("at").alias("last_at"))
+
+    def code_summary(self) -> DataFrame:
+        """One row: committed runs, those without a version of their code, those of uncommitted code (a version ending in +dirty)."""
+        return self.runs_in("committed").agg(F.count("*").alias("committed"), F.count_if(F.coalesce("version", F.lit("")) == "").alias("without_version"), F.count_if(F.col("version").endswith("+dirty")).alias("uncommitted_code"))
+
+    def rejection_audit(self) -> DataFrame:
+        """Rejections of committed runs with the name of their run's source."""
+        runs = self.runs_in("committed").select("run_id", "source_id", "version")
+        return self.meta("rejections").join(runs, "run_id").join(preferred_names(self.meta("source_aliases")), "source_id", "left").select("dataset_id", "run_id", "source_id", "original_name", "source", "record_locator", "reason", "raw_length", "recovered_count")
+
+    def replay(self, dataset_id: str, job: Callable[[str, str], str]) -> DataFrame:
+        """(source_id, original_name, snapshot_id, error): job(source_id, path) for each registered source, in order of names.
+
+        A source that fails is reported and the next one goes on.
+        """
+        known = preferred_names(self.meta("source_aliases")).join(self.meta("source_files"), "source_id").join(self.published_sources().filter(F.col("dataset_id") == dataset_id), "source_id", "left_semi")
+        done = []
+        for r in known.orderBy("original_name", "source_id").select("source_id", "original_name", "path").collect():  # a row a file
+            try:
+                done.append((r["source_id"], r["original_name"], job(r["source_id"], r["path"]), None))
+            except Exception as fault:  # noqa: BLE001 - reported
+                done.append((r["source_id"], r["original_name"], None, str(fault)[:2000]))
+        return self.spark.createDataFrame(done, "source_id string, original_name string, snapshot_id string, error string")
+
     def overview(self) -> DataFrame:
         """Per declared dataset: committed and superseded snapshots."""
         count = lambda s: F.count_distinct(F.when(F.col("state") == s, F.col("snapshot_id"))).alias(s)
