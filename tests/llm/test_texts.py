@@ -237,13 +237,29 @@ def test_every_operator_is_registered():
     assert numbers == set(range(1, 11)) and set(registered.oracle_sql()) <= set(registered.queries())
 
 
-def test_pipeline(spark, documents, sf_dir, hard):
+def test_pipeline(spark, documents, sf_dir, hard, empty):
+    """Each stage against the rows of its operator, on its own input."""
     pipeline = pytest.importorskip("corpus_pipeline")
-    stages = dict(pipeline.STAGES)
-    kept = stages["exact_dedup"](spark, documents, sf_dir)
-    texts = [r.text.encode().lower() for r in kept.collect()]
-    assert len(texts) == len(set(texts)) == documents.selectExpr("count(distinct translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'))").first()[0]
+    stages, labels = dict(pipeline.STAGES), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    ids = lambda df: sorted(r.doc_id for r in df.select("doc_id").collect())
+    texts = {r.doc_id: r.text for r in documents.collect()}
+    assert ids(stages["toxicity"](spark, documents, sf_dir)) == ids(toxicity.score_documents(documents, labels).filter("score < 0.5"))
+    last = {}
+    for i in sorted(texts):
+        last[texts[i].encode().lower()] = i
+    assert ids(stages["exact_dedup"](spark, documents, sf_dir)) == sorted(last.values())
+    from tests.llm.test_dedup import plain_near
+
+    assert ids(stages["simhash_dedup"](spark, documents, sf_dir)) == sorted({*plain_near(texts.items()).values()})
+    spans = {r.doc_id: r.spans for r in pii.find_spans(documents).collect()}
+    for r in stages["pii"](spark, documents, sf_dir).collect():
+        text, at, out = texts[r.doc_id], 0, []
+        for s in sorted(spans[r.doc_id], key=lambda s: (s.start, s.end)):
+            if s.start >= at:
+                out += [text[at : s.start], f"<{s.kind.upper()}>"]
+            at = max(at, s.end)
+        assert r.text == "".join(out) + text[at:] and r.n_chars == len(r.text)
     for name, stage in pipeline.STAGES[:-1]:
-        assert stage(spark, documents, sf_dir).columns == documents.columns, name
+        assert stage(spark, empty, sf_dir).count() == 0 and stage(spark, hard, sf_dir).columns == hard.columns, name
         stage(spark, hard, sf_dir).count()
     assert pipeline.run(spark, sf_dir).filter("length > 4096 or length < 1").count() == 0

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.common import without, written
+from tideglass.llm.common import small_batches, written
 from tideglass.llm.components import components
 
 BUCKET = 16
@@ -69,7 +69,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             made = np.array([fingerprint(t.as_py(), width) for t in b.column(1)], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made)], ["doc_id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fp long")
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(run, "doc_id long, fp long")
 
 
 def near_links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
@@ -109,9 +109,3 @@ def simhash_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = written(fps.join(labels.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "rep", F.coalesce("label", "fp").alias("root")), "rooted")
     of_fp = rooted.join(rooted.groupBy("root").agg(F.min("rep").alias("component_id")), "root").select("fp", "component_id")
     return made.join(of_fp, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one document of each group: the one of least id; all columns as they are."""
-    gone = simhash_dedup(docs, id_col, text_col).filter("doc_id <> component_id").select("doc_id")
-    return without(docs, gone, [F.col(id_col).cast("long")])
