@@ -9,8 +9,10 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tideglass.llm import exact_dedup as E
+from tideglass.llm import near_copies as N
 from tideglass.llm import simhash as H
 from tideglass.llm import suffix_dedup as U
+from tideglass.llm.common import without
 from tideglass.llm.components import components
 
 
@@ -53,6 +55,16 @@ def test_exact_collisions(hard, digest):
     assert sorted((str(r.doc_id), str(r.keep_id), r.group_size, r.kept) for r in found.collect()) == wanted
 
 
+def test_whole_rows_are_not_shuffled(spark, tmp_path):
+    """Rows outside the filter take part in no shuffle: the join with what is dropped stays above the filter's."""
+    spark.range(5000).selectExpr("id AS doc_id", "repeat(cast(id as string), 50) AS text").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    kept = without(docs, spark.range(0, 5000, 50).select("id"), [F.col("doc_id")])
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == [k for k in range(5000) if k % 50]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "LeftOuter" in plan
+
+
 def test_directory(spark):
     keys = spark.range(2000).selectExpr("xxhash64(id) AS key")
     cells = E.directory(keys, 50).collect()
@@ -133,7 +145,68 @@ def test_simhash_hard(hard, empty):
     assert {r.component_id for k in (1, 2, 3) for r in by[k]} == {1} and by[1][0].fingerprint == "0" * 16
     assert {r.component_id for k in (5, 6, 7) for r in by[k]} == {5}
     assert H.simhash_dedup(empty).count() == 0
-    assert H.drop_near_copies(hard).columns == hard.columns
+
+
+def plain_near(texts):
+    """Least id of each group of texts whose sets of five-word shingles have a Jaccard coefficient of 0.8 or more."""
+    sets = {}
+    for i, t in texts:
+        w = low(t).split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set())
+    parent = {i: i for i in sets}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(sorted(sets), 2):
+        x, y = sets[a], sets[b]
+        if min(len(x), len(y)) >= 0.8 * max(len(x), len(y)) and len(x & y) >= 0.8 * len(x | y):
+            x, y = sorted((root(a), root(b)))
+            parent[y] = x
+    return {i: root(i) for i in sets}
+
+
+def test_near_copies(spark):
+    rng = __import__("random").Random(6)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    rows = []
+    for _ in range(150):
+        text = rng.choices(words, k=rng.choice([3, 30, 90, 400]))
+        for edits in (0, 0, 1, 2, 4, 9)[: rng.randint(1, 6)]:
+            own = text[:]
+            for at in rng.sample(range(len(own)), min(edits, len(own) // 20)):
+                own[at] = rng.choice(words)
+            rows.append((len(rows), " ".join(own)))
+    passage = " ".join(rng.choices(words, k=60))  # in many texts that have little else in common
+    rows += [(len(rows) + k, passage + " " + " ".join(rng.choices(words, k=60))) for k in range(80)]
+    wanted = plain_near(rows)
+    found = {r.doc_id: r.component_id for r in N.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    linked = [i for i in wanted if wanted[i] != i]
+    assert sum(found[i] == wanted[i] for i in linked) >= 0.99 * len(linked) and not [i for i in wanted if wanted[i] == i and found[i] != i]
+
+
+def test_near_copies_of_a_family(spark):
+    """Far more copies than an entry's nodes meet each other: all belong to the text that they come from."""
+    rng = __import__("random").Random(9)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9))) for _ in range(3000)]
+    text, rows = rng.choices(words, k=200), []
+    for k in range(400):
+        own = text[:]
+        for at in rng.sample(range(200), 3 if k else 0):
+            own[at] = rng.choice(words)
+        rows.append((k, " ".join(own)))
+    assert {r.component_id for r in N.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
+
+
+def test_near_copies_hard(hard, empty):
+    found = N.near_copies(hard)
+    assert found.count() == hard.count() and N.near_copies(empty).count() == 0
+    kept = N.drop_near(hard)
+    assert kept.columns == hard.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert ids.count(None) == 2 and ids.count(14) == 3 and 1 in ids and not {2, 3, 6, 7} & {*ids}
 
 
 def test_components(spark):

@@ -108,12 +108,14 @@ def maybe_in(df: DataFrame, key: str, bitmap: DataFrame, there: bool = True) ->
 def without(docs: DataFrame, dropped: DataFrame, keys: list[Column]) -> DataFrame:
     """docs without the rows whose keys, in order, are a row of `dropped`; keys with nulls match nothing.
 
-    Only rows that a filter of the dropped keys passes go through the join; all others stay where they are.
+    Only rows whose first key a filter passes go through the join; all others stay where they are. The join is a left
+    one with a mark: an anti join would be pushed below the filter, and all rows would be shuffled.
     """
-    names = fresh(docs, len(keys) + 1)
-    gone = written(dropped.toDF(*names[1:]).distinct(), "dropped")
-    bitmap = key_filter(gone.select(F.xxhash64(*names[1:]).alias("hashed")), "hashed")
-    keyed = docs.withColumns(dict(zip(names[1:], keys, strict=True))).withColumn(names[0], F.xxhash64(*names[1:]))
-    stay = maybe_in(keyed, names[0], bitmap, there=False)
-    rest = maybe_in(keyed, names[0], bitmap).join(gone, names[1:], "left_anti")
+    first, mark, *names = fresh(docs, len(keys) + 2)
+    gone = written(dropped.toDF(*names).distinct(), "dropped")
+    bitmap = key_filter(gone.select(F.xxhash64(names[0]).alias("hashed")).distinct(), "hashed")
+    keyed = docs.withColumn(first, F.xxhash64(keys[0]))
+    stay = maybe_in(keyed, first, bitmap, there=False)
+    near = maybe_in(keyed, first, bitmap).withColumns(dict(zip(names, keys, strict=True)))
+    rest = near.join(gone.withColumn(mark, F.lit(True)), names, "left").filter(F.col(mark).isNull())
     return stay.select(*docs.columns).unionByName(rest.select(*docs.columns))
