@@ -21,7 +21,7 @@ _NONE = np.int32(np.iinfo(np.int32).max)
 #: Words up to so many symbols are merged together as rows of a matrix; longer ones one by one.
 _WIDE = 64
 #: Distinct words that a worker remembers.
-CACHE = 1 << 20
+CACHE = 1 << 19
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -305,7 +305,7 @@ class Merges:
 
 _WS = "\t-\r \x85\xa0  -     　"  # fixed: what \s matches in the vocabularies' patterns
 _WS_CHARS = [" ", *(chr(c) for c in range(0x3001) if chr(c) != " " and re.match(f"[{_WS}]", chr(c)))]
-_BLOCK = 1 << 20  # characters of a text that are cut into words at once
+_BLOCK = 1 << 19  # characters of a text that are cut into words at once
 _CUT = re.compile(f"(?<=[^{_WS}])[ \n](?=[^{_WS}])")
 _LATIN = 0x250  # characters below are classed here, those from here on by the library's own tables
 _BLANK, _LETTER, _NUMBER, _OTHER, _EDGE, _UNKNOWN = range(6)
@@ -451,7 +451,7 @@ class TextEncoder:
         made = [raw[a:b] for a, b in zip([0, *ends], ends, strict=False)]
         return [bytes(made[own[0]]) if len(own) == 1 and type(own[0]) is int else b"".join(x if type(x) is bytes else made[x] for x in own) for own in parts]
 
-    def encode_each(self, texts, most: int = 1 << 20):
+    def encode_each(self, texts, most: int = 1 << 19):
         """encode_batch over groups of so many characters, one result for each text."""
         group, size = [], 0
         for t in texts:

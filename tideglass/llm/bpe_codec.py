@@ -10,7 +10,7 @@ from tideglass.llm.bpe import TextEncoder, Vocabulary
 from tideglass.llm.common import small_batches
 
 #: Bytes of a batch that a task hands on at once.
-_OUT = 8 << 20
+_OUT = 4 << 20
 
 
 def in_batches(rows, types: dict[str, pa.DataType]):
@@ -25,6 +25,8 @@ def in_batches(rows, types: dict[str, pa.DataType]):
             yield make()
             cols, size = [[] for _ in types], 0
     yield make()
+    cols.clear()
+    pa.default_memory_pool().release_unused()  # workers live on, and others share the executor's memory
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -39,8 +39,8 @@ _WORD = re.compile(r"[^\W\d_]+")
 _INSULTS = frozenset("idiot moron stupid dumb loser scum trash garbage worthless pathetic disgusting clown fool jerk creep coward liar vermin filth pig".split())
 _AT_SOMEBODY = re.compile(r"\b(?:you|your|youre|u)\b(?:\W+\w+){0,3}?\W+(?:" + "|".join(sorted(_INSULTS)) + r")\b")
 _SHOUT = re.compile(r"\b[A-Z]{4,}\b")
-_WORD_CACHE = 1 << 18
-_AT_ONCE = 1 << 20  # characters of texts that are looked at together
+_WORD_CACHE = 1 << 17
+_AT_ONCE = 1 << 19  # characters of texts that are looked at together
 _NAMES = [f"marks_{k}" for k in range(_GROUPS)] + ["insults", "many_insults", "at_somebody", "dense_marks", "shouting"]
 
 
@@ -172,6 +172,7 @@ def _groups(batches, columns: int):
             rows, size = [], 0
     if rows:
         yield [*map(list, zip(*rows, strict=True))]
+    pa.default_memory_pool().release_unused()
 
 
 def choose_marks(sample: DataFrame, marks: int = MARKS, judge=None) -> np.ndarray:
@@ -325,8 +326,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks:
     def keep(batches):
         marker = Marker(chosen)
         for whole in batches:
-            for k in range(0, whole.num_rows, 250):
-                b = whole.slice(k, 250)
+            for k in range(0, whole.num_rows, 100):
+                b = whole.slice(k, 100)
                 yield b.filter(pa.array(marker.scores([t.as_py() or "" for t in b.column(at_col)], weights, bias) < 0.5, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
