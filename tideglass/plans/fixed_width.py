@@ -119,14 +119,16 @@ def route_lines(lines: DataFrame, layout: Layout, elements: tuple[Element, ...],
         raise DeclarationError(f"unknown policy {policy!r}")
     n, w = F.char_length("raw"), layout.width
     full = F.when(n == w - 1, F.concat("raw", F.lit(" "))).when((n >= w) & (F.trim(F.substring("raw", F.lit(w + 1), n)) == ""), F.substring("raw", F.lit(1), F.lit(w)))
-    seen = lines.filter(F.trim("raw") != "").withColumn("full", full)
+    # what a generator makes is computed once, however often the many expressions over slots name it
+    once = lines.select("source", "line_number", F.explode(F.array("raw")).alias("raw")).filter(F.trim("raw") != "")
+    seen = once.select("*", F.explode(F.array(full)).alias("full"))
     error = F.when(F.col("full").isNotNull(), structural_error(F.col("full"), layout, elements))
     if policy == "error":
         # conditions that the optimizer derives from later joins may run before the filter of blank lines
         bad = F.when(F.trim("raw") == "", F.lit(None)).when(F.col("full").isNull(), F.when(n < w, F.lit("truncated")).otherwise(F.lit("overlong"))).otherwise(error)
         checked = seen.withColumn("bad", bad)
         fine = F.when(F.col("bad").isNull(), F.col("full")).otherwise(F.raise_error(F.concat(F.lit("line "), F.col("line_number").cast("string"), F.lit(": "), F.col("bad"))).cast("string"))
-        records = checked.select("source", "line_number", F.lit(0).alias("offset"), fine.alias("record"), "raw")
+        records = checked.select("source", "line_number", F.lit(0).alias("offset"), F.explode(F.array(fine)).alias("record"), "raw")
         return records, seen.filter(F.lit(False)).select(*rejection(F.col("source"), F.lit(""), F.lit(""), F.lit(""), F.col("raw"), F.lit(0), F.struct(F.lit(w).alias("expected_width"))))
     # the scan over all offsets is for malformed lines alone
     over = F.col("full").isNull() & (n > w)
