@@ -250,6 +250,19 @@ def test_suffix_periodic_and_common(spark):
     assert found == plain_repeats([(k, t.encode()) for k, t in enumerate(texts)], 100)
 
 
+def test_suffix_many_buckets(spark, documents, monkeypatch):
+    whole = {tuple(r) for r in U.repeat_digests(documents).collect()}
+    monkeypatch.setattr(U, "BUCKET_ROWS", 5000)
+    assert {tuple(r) for r in U.repeat_digests(documents).collect()} == whole
+
+
+def test_multikey_order():
+    draw = np.random.default_rng(7)
+    for n, kinds in ((0, 1), (1, 1), (700, 1), (700, 3), (5000, 40), (5000, 1 << 40)):
+        tokens = [draw.integers(-kinds, kinds, n) for _ in range(4)]
+        assert U.multikey_order(tokens, small=8).tolist() == np.lexsort(tokens[::-1]).tolist()
+
+
 def test_suffix_hard(hard, empty):
     rows = U.repeat_digests(hard).collect()
     assert len(rows) == hard.count()

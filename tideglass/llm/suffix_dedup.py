@@ -7,8 +7,8 @@ share an anchor as their context. A suffix has two leading tokens: the hash of w
 (its core) and the hash of all that they cover (its context).
 
 Suffixes are dealt to buckets by splitters sampled over (core, context, document, place); as the place is part of the
-order, a token that fills a third of all rows is cut into many buckets. Each bucket is sorted by itself, token by token,
-later ones only where earlier ones tie. Of equal contexts all but the first are repeated in full. A context that is first
+order, a token that fills a third of all rows is cut into many buckets. Their number follows the number of suffixes, so a
+bucket's size is bounded. Each bucket is sorted by itself, by multikey quicksort. Of equal contexts all but the first are repeated in full. A context that is first
 but shares its core with others is undecided; contexts that share their core with none drop out. What the first and last
 core of a bucket need to know of its neighbours comes from one table with two rows a bucket.
 
@@ -26,11 +26,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.llm.bpe_codec import in_batches
-from tideglass.llm.common import text_of, written
+from tideglass.llm.common import drop_written, text_of, written
 
 SIZE = 100
 GRAM = 32
 STEP = 8
+#: Suffixes to a bucket, on average; segments of so many rows or fewer are sorted at once.
+BUCKET_ROWS, _SMALL = 1 << 19, 1 << 12
 _CHUNK = 1 << 17  # bytes that are hashed at once
 _PLACE = 21  # bits of a place inside a chunk
 _ITEM = "core long, context long, doc long, at long, span long"
@@ -172,6 +174,31 @@ def _next_level(size: int, step: int):
     return run
 
 
+def multikey_order(tokens: list[np.ndarray], small: int = _SMALL) -> np.ndarray:
+    """The order of rows by their tokens, of equal rows as they came, by multikey quicksort.
+
+    A segment is parted about a pivot of its token: lesser and greater rows go on at the same token, equal ones at the
+    next. Small segments are sorted at once by the tokens that are left.
+    """
+    by = np.arange(len(tokens[0]))
+    segments = [(0, len(by), 0)]
+    while segments:
+        lo, hi, depth = segments.pop()
+        if hi - lo < 2 or depth == len(tokens):
+            continue
+        rows = by[lo:hi]
+        if hi - lo <= small:
+            by[lo:hi] = rows[np.lexsort([t[rows] for t in reversed(tokens[depth:])])]
+            continue
+        x = tokens[depth][rows]
+        pivot = np.sort(x[:: len(x) // 64 + 1])[len(x) // (len(x) // 64 + 1) // 2]
+        less, more = x < pivot, x > pivot
+        a, z = lo + np.count_nonzero(less), hi - np.count_nonzero(more)
+        by[lo:hi] = np.concatenate([rows[less], rows[~(less | more)], rows[more]])
+        segments += [(lo, a, depth), (a, z, depth + 1), (z, hi, depth)]
+    return by
+
+
 def _sort_bucket(batches):
     """Sorts a bucket and keeps what is repeated, undecided, or of the bucket's first and last core."""
     bucket = TaskContext.get().partitionId()
@@ -180,21 +207,7 @@ def _sort_bucket(batches):
     core, context, doc, at, span = cols
     if not len(core):
         return
-    # token by token: a later one orders only the rows that tie so far
-    by = np.argsort(core, kind="stable")
-    for k, token in enumerate((context, doc, at)):
-        before = [core, context, doc][: k + 1]
-        ties = np.zeros(len(by), bool)
-        same = np.ones(len(by) - 1, bool)
-        for t in before:
-            same &= t[by[1:]] == t[by[:-1]]
-        ties[1:] |= same
-        ties[:-1] |= same
-        run = np.cumsum(~np.concatenate([[False], same]))
-        tied = np.flatnonzero(ties)
-        if not len(tied):
-            break
-        by[tied] = by[tied][np.lexsort((token[by[tied]], run[tied]))]
+    by = multikey_order([core, context, doc, at])
     core, context, doc, at, span = (c[by] for c in cols)
     new_core = np.concatenate([[True], core[1:] != core[:-1]])
     new = new_core | np.concatenate([[True], context[1:] != context[:-1]])
@@ -213,7 +226,11 @@ def _sort_bucket(batches):
 def _sorted_suffixes(items: DataFrame, label: str) -> DataFrame:
     """(doc, at, span, repeated): of items, the repeated and (repeated = false) the undecided ones."""
     kept = f"bucket long, {_ITEM}, repeated boolean, many boolean, lead boolean, edge boolean"
-    t = written(items.repartitionByRange("core", "context", "doc", "at").mapInArrow(_sort_bucket, kept), label)
+    # written first: sampling the splitters and dealing the rows would each run the Python code behind them
+    items = written(items, f"{label}-items")
+    buckets = items.count() // BUCKET_ROWS + 1
+    t = written(items.repartitionByRange(buckets, "core", "context", "doc", "at").mapInArrow(_sort_bucket, kept), label)
+    drop_written(items)
     # two rows a bucket at most
     edges = written(t.filter("edge").groupBy("bucket", "core").agg(F.min("context").alias("least"), F.max("context").alias("most")), f"{label}-edges")
     shared = edges.groupBy("core").agg((F.min("least") < F.max("most")).alias("shared")).filter("shared")
