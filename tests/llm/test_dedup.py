@@ -199,6 +199,22 @@ def test_near_copies_of_a_family(spark):
         rows.append((k, " ".join(own)))
     assert {r.component_id for r in N.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == {0}
 
+def test_near_copies_away_from_the_hub(spark):
+    """Texts near a member of a crowded family, but not near those that stand in most entries, are still linked."""
+    pick = __import__("random").Random(3)
+    base = [f"w{pick.randrange(10**6)}" for _ in range(300)]
+
+    def edited(words, count):
+        own = [*words]
+        for k in pick.sample(range(len(own)), count):
+            own[k] = f"e{pick.randrange(10**6)}"
+        return own
+
+    near = [edited(base, 3) for _ in range(60)]
+    rows = [(k, " ".join(w)) for k, w in enumerate([base, *near, *(edited(w, 5) for w in near)])]
+    found = {r.doc_id: r.component_id for r in N.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == plain_near(rows)
+
 
 def test_near_copies_hard(hard, empty):
     found = N.near_copies(hard)
