@@ -119,3 +119,25 @@ def without(docs: DataFrame, dropped: DataFrame, keys: list[Column]) -> DataFram
     near = maybe_in(keyed, first, bitmap).withColumns(dict(zip(names, keys, strict=True)))
     rest = near.join(gone.withColumn(mark, F.lit(True)), names, "left").filter(F.col(mark).isNull())
     return stay.select(*docs.columns).unionByName(rest.select(*docs.columns))
+
+
+def in_order(df: DataFrame, order: list[Column], place: str = "place") -> DataFrame:
+    """df with the number of each row, from 1, in the given order; equal rows are numbered in whatever order they stand.
+
+    Ranges of sampled splitters are sorted apart, and numbered from the rows of the ranges before: one shuffle, no task
+    with all rows. df has to be read from a written table: splitters are sampled from it first, and rows that tie are
+    dealt to several ranges by where they stand in it.
+    """
+    spark = df.sparkSession
+    at, part, base, tied = fresh(df, 4)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [*order, F.col(tied)]
+    dealt = df.withColumn(tied, F.xxhash64(F.monotonically_increasing_id())).repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    kept = written(dealt.withColumn(at, F.monotonically_increasing_id()), "ordered")
+    split = kept.withColumns({part: F.shiftright(at, 33), at: F.col(at).bitwiseAND(F.lit((1 << 33) - 1))})
+    counts, rows, before = split.groupBy(part).agg(F.max(at)).orderBy(part).collect(), [], 0  # a row a range
+    for r in counts:
+        rows.append((r[0], before))
+        before += r[1] + 1
+    bases = spark.createDataFrame(rows, f"{part} long, {base} long")
+    return split.join(F.broadcast(bases), part).withColumn(place, F.col(base) + F.col(at) + 1).select(*df.columns, place)
