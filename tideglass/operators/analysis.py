@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tideglass.operators import ranges
+
 
 def compare_sources(left: DataFrame, right: DataFrame, keys: Sequence[str], variables: Sequence[str], digits: int | None = None) -> DataFrame:
     """(variable, class, n): per variable, how many keys are equal, differ, stand left only or right only, or are null in both."""
@@ -32,10 +34,12 @@ def flag_distribution(df: DataFrame, pattern: str) -> DataFrame:
 
 
 def value_profile(df: DataFrame, by: str, value: str, quantiles: Sequence[float] = (0.5, 0.9, 0.99)) -> DataFrame:
-    """Per group: n, least, most and exact quantiles named p50 and so on."""
-    counted = df.filter(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("c"))
-    cuts = [F.expr(f"percentile(`{value}`, {q!r}D, c)").alias(f"p{round(q * 100)}") for q in quantiles]
-    return counted.groupBy(by).agg(F.sum("c").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"), *cuts)
+    """Per group: n, least, most and exact quantiles named p50 and so on; see ranges.quantiles."""
+    found = ranges.quantiles(df, by, value, quantiles)
+    cuts = [F.max(F.when(F.col("q") == float(q), F.col("measured"))).alias(f"p{round(q * 100)}") for q in quantiles]
+    whole = df.filter(F.col(value).isNotNull()).groupBy(by).agg(F.count("*").alias("n"), F.min(value).alias("least"), F.max(value).alias("most"))
+    wide = found.groupBy(F.col(by).alias("_by")).agg(*cuts)
+    return whole.join(wide, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
 
 
 def coverage(df: DataFrame, time: str, by: Sequence[str], value: str, period: str = "year") -> DataFrame:
@@ -43,51 +47,71 @@ def coverage(df: DataFrame, time: str, by: Sequence[str], value: str, period: st
     return df.groupBy(*by, F.date_trunc(period, time).alias("period")).agg(F.count("*").alias("n_rows"), F.count(value).alias("n_values"))
 
 
-def gaps(df: DataFrame, entity: str, start: str, end: str) -> DataFrame:
-    """(entity, gap_start, gap_end): between the end of an interval and the next one's later start."""
-    order = Window.partitionBy(entity).orderBy(start, end)
-    reached = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, 0))
-    rows = df.select(entity, reached.alias("gap_start"), F.lead(start).over(order).alias("gap_end"))
-    return rows.filter("gap_end > gap_start")
+def _spans(df: DataFrame, entity: str, start: str, end: str, every: str) -> DataFrame:
+    """(entity, start, end, _range) of whole spans."""
+    rows = df.select(F.col(entity), F.col(start).alias("start"), F.col(end).alias("end")).filter("start IS NOT NULL AND end IS NOT NULL")
+    return ranges.segments(rows, "start", every)
+
+
+def gaps(df: DataFrame, entity: str, start: str, end: str, every: str = "day") -> DataFrame:
+    """(entity, gap_start, gap_end): between the end of an interval and the next one's later start.
+
+    An entity's spans are dealt to tasks by the calendar day (or `every` else) that they start on; what was reached
+    before a day, and the next day's first start, are carried over. The same holds for merged_spans and overlaps. Spans
+    without start or end count as none.
+    """
+    rows = ranges.carry(_spans(df, entity, start, end, every), entity, _reached=(F.max("end"), "max_before"), _next=(F.min("start"), "next"))
+    order = ranges.in_segment(entity, "start", "end")
+    reached = F.greatest(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, 0)), "_reached")
+    found = rows.select(entity, reached.alias("gap_start"), F.coalesce(F.lead("start").over(order), "_next").alias("gap_end"))
+    return found.filter("gap_end > gap_start")
+
 
+def _before(rows: DataFrame, entity: str) -> DataFrame:
+    """rows of _spans with earlier_end: the greatest end of the entity's spans before."""
+    order = ranges.in_segment(entity, "start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    return ranges.carry(rows, entity, _reached=(F.max("end"), "max_before")).withColumn("earlier_end", F.greatest(F.max("end").over(order), "_reached")).drop("_reached")
 
-def merged_spans(df: DataFrame, entity: str, start: str, end: str) -> DataFrame:
+
+def merged_spans(df: DataFrame, entity: str, start: str, end: str, every: str = "day") -> DataFrame:
     """(entity, start, end): spans that overlap or touch, as one."""
-    order = Window.partitionBy(entity).orderBy(start, end)
-    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.select(entity, F.col(start).alias("start"), F.col(end).alias("end"), F.when(before.isNull() | (F.col(start) > before), 1).otherwise(0).alias("opens"))
-    island = F.sum("opens").over(Window.partitionBy(entity).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, 0))
-    return marked.withColumn("island", island).groupBy(entity, "island").agg(F.min("start").alias("start"), F.max("end").alias("end")).drop("island")
+    seen = _before(_spans(df, entity, start, end, every), entity)
+    opens = F.when(F.col("earlier_end").isNull() | (F.col("start") > F.col("earlier_end")), F.col("start"))
+    order = ranges.in_segment(entity, "start", "end").rowsBetween(Window.unboundedPreceding, 0)
+    marked = seen.withColumn("_opened", F.max(opens).over(order))
+    since = ranges.carry(marked, entity, _since=(F.max("_opened"), "last")).withColumn("_island", F.coalesce("_opened", "_since"))
+    return since.groupBy(entity, "_island").agg(F.max("end").alias("end")).select(entity, F.col("_island").alias("start"), "end")
 
 
-def overlaps(df: DataFrame, entity: str, start: str, end: str) -> DataFrame:
+def overlaps(df: DataFrame, entity: str, start: str, end: str, every: str = "day") -> DataFrame:
     """(entity, start, end, earlier_end): spans that start before an earlier one of the same entity has ended."""
-    order = Window.partitionBy(entity).orderBy(start, end)
-    before = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return df.select(entity, F.col(start).alias("start"), F.col(end).alias("end"), before.alias("earlier_end")).filter("start < earlier_end")
-
+    return _before(_spans(df, entity, start, end, every), entity).select(entity, "start", "end", "earlier_end").filter("start < earlier_end")
 
-def uncovered(published: DataFrame, selection: DataFrame, entity: str) -> DataFrame:
-    """Published (entity, start, end) that lie in no merged span of the selection."""
-    spans = merged_spans(selection, entity, "start", "end").withColumnsRenamed({entity: "_entity", "start": "_start", "end": "_end"})
-    inside = [F.col(entity) == F.col("_entity"), F.col("start") >= F.col("_start"), F.col("end") <= F.col("_end")]
-    return published.join(spans, inside, "left_anti")
 
+def uncovered(published: DataFrame, selection: DataFrame, entity: str, every: str = "day") -> DataFrame:
+    """Published (entity, start, end) that lie in no merged span of the selection.
 
-def onset_contrast(df: DataFrame, entity: str, time: str, wet: str, others: Sequence[str], step: str = "1 hour") -> DataFrame:
-    """One row: how many periods are wet behind a dry one, and the mean changes of other variables around them."""
-    order = Window.partitionBy(entity).orderBy(time)
-    beside = (F.lag(time).over(order) == F.col(time) - F.expr(f"INTERVAL {step}")) & (F.lead(time).over(order) == F.col(time) + F.expr(f"INTERVAL {step}"))
-    rows = df.select(
-        beside.alias("beside"), (F.col(wet) > 0).alias("wet"), (F.lag(wet).over(order) == 0).alias("dry_before"),
-        *(x for v in others for x in ((F.col(v) - F.lag(v).over(order)).alias(f"{v}_change"), (F.lead(v).over(order) - F.col(v)).alias(f"{v}_after"))),
-    )
-    onsets = rows.filter("beside and wet and dry_before")
-    return onsets.agg(F.count("*").alias("n"), *(F.avg(f"{v}_{k}").alias(f"{v}_{k}") for v in others for k in ("change", "after")))
+    Merged spans are apart, so only the last one that starts no later than a range can hold it: both stand in one order,
+    and the last span before a day is carried into it.
+    """
+    spans = merged_spans(selection, entity, "start", "end", every).select(entity, F.col("start").alias("_at"), F.struct("start", "end").alias("_span"), F.lit(None).cast(published.select(F.struct("*")).schema[0].dataType).alias("_row"))
+    asked = published.select(entity, F.col("start").alias("_at"), F.lit(None).cast(spans.schema["_span"].dataType).alias("_span"), F.struct("*").alias("_row"))
+    both = ranges.carry(ranges.segments(spans.unionByName(asked), "_at", every), entity, _carried=(F.max("_span"), "last"))
+    order = ranges.in_segment(entity, "_at", F.col("_row").isNotNull()).rowsBetween(Window.unboundedPreceding, 0)
+    held = both.withColumn("_in", F.coalesce(F.last("_span", ignorenulls=True).over(order), "_carried")).filter("_row IS NOT NULL")
+    inside = (F.col("_row.start") >= F.col("_in.start")) & (F.col("_row.end") <= F.col("_in.end"))
+    return held.filter(~F.coalesce(inside, F.lit(False))).select("_row.*")
 
 
-def _distances(aim: Column):
-    return lambda x: F.struct(F.abs(x - aim).alias("d"), x.alias("x"))
+def onset_contrast(df: DataFrame, entity: str, time: str, wet: str, others: Sequence[str], step: str = "1 hour", every: str = "day") -> DataFrame:
+    """One row: how many periods are wet behind a dry one, and the mean changes of other variables around them."""
+    names = [*dict.fromkeys((wet, *others))]
+    rows = ranges.neighbours(df.select(entity, time, *names), entity, time, names, every)
+    span = F.expr(f"INTERVAL {step}")
+    beside = (F.col(f"_before.{time}") == F.col(time) - span) & (F.col(f"_after.{time}") == F.col(time) + span)
+    onsets = rows.filter(beside & (F.col(wet) > 0) & (F.col(f"_before.{wet}") == 0))
+    changes = lambda v: {f"{v}_change": F.col(v) - F.col(f"_before.{v}"), f"{v}_after": F.col(f"_after.{v}") - F.col(v)}
+    return onsets.agg(F.count("*").alias("n"), *(F.avg(c).alias(name) for v in others for name, c in changes(v).items()))
 
 
 def _corner(axis: str):
@@ -97,16 +121,15 @@ def _corner(axis: str):
 def nearest_grid(grid: DataFrame, targets: DataFrame, axes: Sequence[tuple[str, str]]) -> DataFrame:
     """targets with the grid's rows at the nearest coordinates of each axis; of two equally near the lower one.
 
-    axes: (grid column, target column). Targets are few (stations); so are an axis's distinct coordinates.
+    axes: (grid column, target column). Each axis is one join of orders (ranges.nearest_values), the rest are joins by
+    equal coordinates. Targets without a coordinate find nothing.
     """
     at = targets
     for g, t in axes:
-        axis = grid.select(F.col(g).alias(f"_{g}")).distinct().agg(F.sort_array(F.collect_set(f"_{g}")).alias("axis"))
-        aim = F.col(t)
-        near = F.array_sort(F.transform("axis", _distances(aim)))
-        at = at.crossJoin(F.broadcast(axis)).withColumn(f"near_{g}", F.get(near, F.lit(0))["x"]).drop("axis")
-    on = [grid[g] == at[f"near_{g}"] for g, _ in axes]
-    return grid.join(F.broadcast(at), on).drop(*(f"near_{g}" for g, _ in axes))
+        near = ranges.nearest_values(grid.select(g), targets.select(t)).withColumnsRenamed({"aim": f"aim_{g}", "near": f"near_{g}"})
+        at = at.join(near, F.col(t).cast("double") == F.col(f"aim_{g}")).drop(f"aim_{g}")
+    on = [grid[g].cast("double") == at[f"near_{g}"] for g, _ in axes]
+    return grid.join(at, on).drop(*(f"near_{g}" for g, _ in axes))
 
 
 def in_polygon(x: Column, y: Column, ring: Column) -> Column:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideglass.operators import ranges
 from tideglass.operators.analysis import uncovered
 from tideglass.spec import DatasetSpec
 
@@ -85,16 +86,7 @@ def band_quantiles(df: DataFrame, spec: DatasetSpec) -> DataFrame:
         values = df.select(F.inline(F.array(*(F.struct(F.lit(v.name).alias("variable"), F.col(v.name).alias("value")) for v in banded))))
     zero = [v.name for v in banded if v.band.ignore_zeros]
     kept = values.filter(F.col("value").isNotNull() & ~(F.col("variable").isin(zero) & (F.col("value") == 0)) if zero else F.col("value").isNotNull())
-    q = F.lit(None).cast("double")
-    for v in banded:
-        q = F.when(F.col("variable") == v.name, F.lit(v.band.quantile)).otherwise(q)
-    counted = kept.groupBy("variable", "value").agg(F.count("*").alias("c"))  # copies of a value meet as one weighted row
-    wanted = sorted({v.band.quantile for v in banded})
-    spread = counted.groupBy("variable").agg(F.sum("c").alias("n"), *(F.expr(f"percentile(value, {p!r}D, c)").alias(f"p{k}") for k, p in enumerate(wanted)))
-    measured = F.lit(None).cast("double")
-    for k, p in enumerate(wanted):
-        measured = F.when(q == p, F.col(f"p{k}")).otherwise(measured)
-    return spread.select("variable", q.alias("q"), measured.alias("measured"), "n")
+    return ranges.quantiles(kept, "variable", "value", {v.name: [v.band.quantile] for v in banded})
 
 
 def check_plausible(df: DataFrame, spec: DatasetSpec) -> None:
