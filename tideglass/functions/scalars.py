@@ -46,14 +46,17 @@ def clean_identifier(text: Column) -> Column:
 
 
 def signed_longitude(value: Column, convention: str) -> Column:
-    """Degrees east in [-180, 180) or as given; a value outside its convention's range ends the job."""
+    """Degrees east in [-180, 180) or as given; what lies outside [-180, 180] then ends the job.
+
+    '0_360' wraps any number of turns; 'signed' takes the value as it is.
+    """
     if convention == "0_360":
-        fine, out = value.between(0, 360), F.pmod(value + 180.0, F.lit(360.0)) - 180.0
+        out = F.pmod(value + 180.0, F.lit(360.0)) - 180.0
     elif convention == "signed":
-        fine, out = value.between(-180, 180), value
+        out = value
     else:
         raise ValueError(f"unknown longitude convention {convention!r}")
-    return F.when(value.isNull() | fine, out).otherwise(F.raise_error(F.concat(F.lit("longitude out of range: "), value.cast("string"))).cast("double"))
+    return F.when(value.isNull() | out.between(-180, 180), out).otherwise(F.raise_error(F.concat(F.lit("longitude out of range: "), value.cast("string"))).cast("double"))
 
 
 def days_in_month(year: Column, month: Column) -> Column:
