@@ -10,6 +10,7 @@ from tideglass.functions import scalars as S
 from tideglass.functions.station_time import civil_to_utc, instant_offset, shift_to_utc
 from tideglass.operators import gates
 from tideglass.plans import tables
+from tideglass.plans.pages import Collected, PageLayout, collect_pages
 from tideglass.queries import _BUCKET, _ORDER_DAYS, _ZONED, _order_days, _sql_text, _text, query
 from tideglass.recast import table
 from tideglass.session import shared_path
@@ -40,57 +41,50 @@ def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.when(k % 7 == 0, "M").otherwise(F.col("value").cast("string")), F.when(k % 5 == 0, "E").otherwise(""), k.cast("string"),
     )
     source = F.concat(F.lit("page"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd"))
-    made = alone.groupBy(source.alias("source"), station.alias("climate_id"), day.alias("day")).agg(F.array_join(F.collect_list(line), "\r\n").alias("rows"), F.count("*").alias("n"))  # a page a user and day
+    made = alone.groupBy(source.alias("source"), station.alias("climate_id"), day.alias("day")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("local", line.alias("line")))), lambda x: x["line"]), "\r\n").alias("rows"), F.count("*").alias("n"))  # a page a user and day
     body = F.concat(F.lit(",".join(_PAGE) + "\r\n"), "rows", F.lit("\r\n"))
     hits = F.concat(F.lit('{"type":"FeatureCollection","features":[],"numberMatched":'), F.col("n").cast("string"), F.lit("}"))
     return made.select("source", body.alias("body")), made.select("source", "climate_id", "day", sources.hits_count(hits).alias("matched"))
 
 
-def _page_job(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, tables.ParseResult]:
-    """(checked rows, result): counts verified, rows checked, markers and clocks resolved."""
+_LAYOUT = PageLayout(
+    _PAGE, "STATION", "LOCAL_DATE", "UTC_DATE", ["LOCAL_YEAR", "LOCAL_MONTH", "LOCAL_DAY", "LOCAL_HOUR"], "ID", constants=["STATION"], numbers=["VALUE"], markers={"M": ["VALUE"]}, flags=["VALUE_FLAG"],
+)
+
+
+def _collected(spark: SparkSession, sf_dir: str) -> Collected:
     pages, counts = _pages(spark, sf_dir)
-    rows = sources.api_pages(pages, _PAGE)
-    window = F.col("day").cast("timestamp")
-    known = rows.join(counts.select("source", "climate_id", window.alias("window_start"), (window + F.expr("INTERVAL '1' DAY")).alias("window_end")), "source")
-    tables.verify_counts(counts, rows, ["source"])
-    tables.refuse_varying(rows, "source", ["STATION"])
-    named = known.withColumnsRenamed({"STATION": "station_id", "LOCAL_DATE": "local_date"})
-    checked = tables.refuse_faults(tables.check_page_rows(named, parts=["LOCAL_YEAR", "LOCAL_MONTH", "LOCAL_DAY", "LOCAL_HOUR"], key="ID"))
-    typed = tables.scoped_values(checked, ["VALUE"], {"M": ["VALUE"]}).withColumnRenamed("station_id", "entity_id")
-    return typed, tables.place_page_rows(typed, recast.user_zones(spark, sf_dir), publisher_utc="UTC_DATE")
+    start = F.col("day").cast("timestamp")
+    return collect_pages(pages, counts.select("source", "climate_id", start.alias("window_start"), (start + F.expr("INTERVAL '1' DAY")).alias("window_end"), "matched"), recast.user_zones(spark, sf_dir), _LAYOUT)
 
 
 @query(f"""WITH {_PAGE_SQL} SELECT event_id, entity_id, {_sql_text("date_trunc('minute', ts) - INTERVAL 1 HOUR - to_minutes(m)")} AS time_start, {_sql_text("date_trunc('minute', ts) - to_minutes(m)")} AS time_end,
     CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value, CASE WHEN event_id % 5 = 0 THEN 'E' END AS flag FROM p WHERE event_id % 50 <> 0""")
 def page_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages in one job: counts, constant columns, record keys, windows, markers in their scope, zones, publisher's clocks."""
-    _, result = _page_job(spark, sf_dir)
-    return result.accepted.select(F.col("EVENT").cast("long").alias("event_id"), "entity_id", _text("time_start"), _text("time_end"), F.col("VALUE").alias("value"), F.col("VALUE_FLAG").alias("flag"))
+    return _collected(spark, sf_dir).result.accepted.select(F.col("EVENT").cast("long").alias("event_id"), "entity_id", _text("time_start"), _text("time_end"), F.col("VALUE").alias("value"), F.col("VALUE_FLAG").alias("flag"))
 
 
 @query(f"""WITH {_PAGE_SQL} SELECT source, count(*) AS physical, count(*) FILTER (event_id % 50 <> 0) AS published, count(*) FILTER (event_id % 50 = 0) AS set_aside,
     CASE WHEN count(*) FILTER (event_id % 50 = 0) > 0 THEN 'publisher_utc_mismatch:' || CAST(count(*) FILTER (event_id % 50 = 0) AS VARCHAR) ELSE '' END AS reasons, true AS balanced FROM p GROUP BY source""")
 def page_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each page gave: published, set aside and why; both are all its rows."""
-    rows, result = _page_job(spark, sf_dir)
-    return tables.page_accounts(result, rows)
+    return _collected(spark, sf_dir).accounts
 
 
 @query(f"""WITH {_PAGE_SQL} SELECT source, 'VALUE_FLAG' AS "column", 'E' AS value, count(*) AS n FROM p WHERE event_id % 5 = 0 GROUP BY source""")
 def page_value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flags of each page and how often they occur."""
-    return tables.value_counts(sources.api_pages(_pages(spark, sf_dir)[0], _PAGE), "source", ["VALUE_FLAG"])
+    return _collected(spark, sf_dir).flags
 
 
 @query(f"""WITH {_PAGE_SQL} SELECT count(DISTINCT entity_id) AS stations, min(strftime(ts, '%Y-%m-%d')) AS first_day, max(strftime(ts, '%Y-%m-%d')) AS last_day, count(DISTINCT source) AS pages, count(*) AS matched,
     count(*) FILTER (event_id % 50 <> 0) AS published, count(*) FILTER (event_id % 50 = 0) AS set_aside FROM p""")
 def collection_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row on the whole collection, as a run keeps it."""
-    rows, result = _page_job(spark, sf_dir)
-    counts = _pages(spark, sf_dir)[1]
-    whole = counts.agg(F.count_distinct("climate_id").alias("stations"), F.min("day").cast("string").alias("first_day"), F.max("day").cast("string").alias("last_day"), F.count("*").alias("pages"), F.sum("matched").alias("matched"))
-    accounts = tables.page_accounts(result, rows).agg(F.sum("published").alias("published"), F.sum("set_aside").alias("set_aside"))
-    return whole.join(accounts)  # a row each
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    last = day(F.col("last_window") - F.expr("INTERVAL '1' DAY"))
+    return _collected(spark, sf_dir).record.select("stations", day("first_window").alias("first_day"), last.alias("last_day"), "pages", "matched", "published", "set_aside")
 
 
 @query("""WITH p AS (SELECT o_custkey, min(o_orderdate) AS s, max(o_orderdate) AS e FROM orders GROUP BY 1), c AS (SELECT o_custkey, min(o_orderdate) AS cs, max(o_orderdate) AS ce FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1)

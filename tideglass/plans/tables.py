@@ -12,6 +12,7 @@ from tideglass.functions.station_time import civil_to_utc, shift_to_utc, with_st
 from tideglass.operators.analysis import nearest_grid, point_zones
 from tideglass.operators.gates import GateError, first_reason
 from tideglass.plans.result import ParseResult, rejection
+from tideglass.session import kept, shared_path
 from tideglass.sources.lines import month_matrix, require_columns
 from tideglass.spec import DatasetSpec, DeclarationError
 
@@ -73,8 +74,12 @@ def parse_grid(grid: DataFrame, targets: DataFrame, value: str, unit_col: str, u
 def select_members(members: DataFrame, areas: DataFrame, station: str, limit: float | None = None) -> tuple[DataFrame, DataFrame]:
     """(selected members, one row of counts): members by drainage area; without a limit all are selected.
 
-    Counts are disjoint: selected, unmatched (no such station), unknown_area, excluded.
+    Counts are disjoint: selected, unmatched (no such station), unknown_area, excluded. Station ids of the areas have to
+    be of the members' type, and text unless the members' are numbers by declaration; one station has one area.
     """
+    own, theirs = dict(members.dtypes)[station], dict(areas.dtypes)["station"]
+    if own != theirs:
+        raise DeclarationError(f"station ids of members are {own}, those of areas {theirs}")
     joined = members.join(areas.select(F.col("station").alias(station), "area", F.lit(True).alias("matched")), station, "left")
     kind = F.lit("selected") if limit is None else F.when(F.col("matched").isNull(), "unmatched").when(F.col("area").isNull(), "unknown_area").when(F.col("area") <= limit, "selected").otherwise("excluded")
     classed = joined.withColumn("class", kind)
@@ -82,17 +87,28 @@ def select_members(members: DataFrame, areas: DataFrame, station: str, limit: fl
     return classed.filter("class = 'selected'").select(*members.columns), counts
 
 
-def selection_fingerprint(members: DataFrame, columns: Sequence[str], parameters: dict, prefix: int = 2) -> DataFrame:
+def selection_fingerprint(members: DataFrame, columns: Sequence[str], parameters: dict, prefix: int = 2, most: int = 4096) -> DataFrame:
     """One row with a digest of member rows, in whatever order they come, and parameters.
 
-    Row digests are sorted and digested for each of 16**prefix leading texts; the digests of those, in order, make the result.
+    A tree of digests: a leaf digests the sorted row digests that share their leading hexadecimal digits, an inner node
+    the digests of its children, down to nodes of `prefix` digits, whose digests in order make the result. Leaves get as
+    many digits more as it takes to hold about `most` distinct rows, so no group grows with the table. Equal rows are
+    counted with their digest, so that many of them are one entry; a row that occurs once is its digest alone.
     """
     import json
 
-    rows = members.select(F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256).alias("row"))
-    part = rows.groupBy(F.substring("row", 1, prefix).alias("lead")).agg(F.sha2(F.array_join(F.sort_array(F.collect_list("row")), ",").cast("binary"), 256).alias("digest"))
-    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("lead", "digest"))), lambda x: x["digest"]), ",")
-    return part.agg(F.sha2(F.concat_ws("|", whole, F.lit(json.dumps(parameters, sort_keys=True, default=str))).cast("binary"), 256).alias("fingerprint"))
+    digests = members.select(F.sha2(F.to_json(F.struct(*columns)).cast("binary"), 256).alias("row")).groupBy("row").agg(F.count("*").alias("n"))
+    counted = kept(digests.select(F.when(F.col("n") == 1, F.col("row")).otherwise(F.concat_ws("*", "row", F.col("n").cast("string"))).alias("row")), "digests")
+    rows, depth = counted.count(), prefix
+    while rows > most * 16**depth:
+        depth += 1
+    joined = lambda key: F.sha2(F.array_join(F.sort_array(F.collect_list(key)), ",").cast("binary"), 256)
+    level = counted.groupBy(F.substring("row", 1, depth).alias("lead")).agg(joined("row").alias("digest"))
+    for digits in range(depth - 1, prefix - 1, -1):
+        children = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("lead", "digest"))), lambda x: x["digest"]), ",")  # 16 at most
+        level = level.groupBy(F.substring("lead", 1, digits).alias("_lead")).agg(F.sha2(children.cast("binary"), 256).alias("digest")).withColumnRenamed("_lead", "lead")
+    whole = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("lead", "digest"))), lambda x: x["digest"]), ",")  # 16 ** prefix
+    return level.agg(F.sha2(F.concat_ws("|", whole, F.lit(json.dumps(parameters, sort_keys=True, default=str))).cast("binary"), 256).alias("fingerprint"))
 
 
 def parse_unit_values(rows: DataFrame, station: Column, qualifier_at: int = 5) -> DataFrame:
@@ -176,11 +192,11 @@ def refuse_varying(rows: DataFrame, page: str, constants: Sequence[str]) -> None
         raise GateError(f"columns vary within pages: {[r.asDict() for r in bad]}")
 
 
-def place_page_rows(rows: DataFrame, zones: DataFrame, duration: str = "1 hour", publisher_utc: str | None = None) -> ParseResult:
-    """Rows with a local standard clock at their interval's end to UTC intervals.
+def placed_rows(rows: DataFrame, zones: DataFrame, duration: str = "1 hour", publisher_utc: str | None = None) -> DataFrame:
+    """Rows with a local standard clock at their interval's end, with time_start, time_end and the reason to set them aside.
 
     Each end gets its own day's offset. Rows without zone, rows whose interval would change its length, and rows whose
-    instant isn't the publisher's are set aside.
+    instant isn't the publisher's have a reason, all others none.
     """
     begin = F.col("local") - F.expr(f"INTERVAL {duration}")
     both = rows.withColumns({"_begin": begin, "_day": F.to_date(begin), "_end_day": F.to_date("local")}).join(zones.select("entity_id", "zone"), "entity_id", "left")
@@ -192,28 +208,47 @@ def place_page_rows(rows: DataFrame, zones: DataFrame, duration: str = "1 hour",
     rules = [("missing_station_timezone", F.col("zone").isNull()), ("standard_timezone_transition", changed)]
     if publisher_utc:
         rules.append(("publisher_utc_mismatch", F.try_to_timestamp(F.col(publisher_utc), F.lit("yyyy-MM-dd HH:mm:ss")) != F.col("time_end")))
-    placed = placed.withColumn("reason", first_reason(*rules)).drop("_begin", "_day", "_end_day", "_own", "_next")
-    aside = placed.filter("reason IS NOT NULL")
+    return placed.withColumn("reason", first_reason(*rules)).drop("_begin", "_day", "_end_day", "_own", "_next")
+
+
+def split_by_reason(placed: DataFrame) -> ParseResult:
+    """placed_rows as a result: those with a reason are rejections, located by their row."""
     locator = F.concat(F.lit("row:"), F.col("row_number").cast("string"))
-    lost = aside.select(*rejection(F.col("source"), locator, F.lit("row"), F.col("reason"), F.col("local").cast("string"), F.lit(0), F.struct("entity_id")))
+    lost = placed.filter("reason IS NOT NULL").select(*rejection(F.col("source"), locator, F.lit("row"), F.col("reason"), F.col("local").cast("string"), F.lit(0), F.struct("entity_id")))
     return ParseResult(placed.filter("reason IS NULL").drop("reason"), lost)
 
 
+def place_page_rows(rows: DataFrame, zones: DataFrame, duration: str = "1 hour", publisher_utc: str | None = None) -> ParseResult:
+    """Rows with a local standard clock at their interval's end to UTC intervals; see placed_rows for what is set aside."""
+    return split_by_reason(placed_rows(rows, zones, duration, publisher_utc))
+
+
 def page_windows(requests: DataFrame) -> DataFrame:
-    """(entity_id, window_start, window_end) of requests (entity_id, start, end), split at each 1 January."""
-    last = F.year(F.col("end") - F.expr("INTERVAL '1' SECOND"))
-    years = requests.distinct().withColumn("y", F.explode(F.sequence(F.year("start"), last)))
+    """(entity_id, window_start, window_end) of requests (entity_id, start, end), split at each 1 January.
+
+    The same request counts once. A request without id, with a bound off the whole hour, or without a later end ends the
+    job. The end is exclusive; inclusive_end gives the last second that a publisher's inclusive request names.
+    """
+    whole = lambda c: F.date_trunc("hour", F.col(c)) == F.col(c)
+    fault = first_reason(("no_id", F.col("entity_id").isNull() | (F.trim("entity_id") == "")), ("not_a_whole_hour", ~(whole("start") & whole("end"))), ("end_not_behind_start", ~(F.col("end") > F.col("start"))))
+    named = requests.distinct().withColumn("_fault", fault)
+    stop = F.raise_error(F.concat_ws(" ", F.lit("request"), F.coalesce("entity_id", F.lit("without id")), F.col("start").cast("string"), F.col("end").cast("string"), "_fault")).cast("timestamp")
+    fine = named.withColumn("start", F.when(F.col("_fault").isNull(), F.col("start")).otherwise(stop))
+    years = fine.withColumn("y", F.explode(F.sequence(F.year("start"), F.year(inclusive_end(F.col("end"))))))
     edge = lambda y: F.make_timestamp(y, F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     return years.select("entity_id", F.greatest("start", edge(F.col("y"))).alias("window_start"), F.least("end", edge(F.col("y") + 1)).alias("window_end"))
 
 
+def inclusive_end(end: Column) -> Column:
+    """The last second before an exclusive end."""
+    return end - F.expr("INTERVAL '1' SECOND")
+
+
 def retrieval_order(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """rows with place: their number from 1 in the order of the keys. Rows are counted by ranges; no task sorts them all."""
     from pyspark.sql import Window
 
     dealt = rows.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id())
-    from tideglass.session import shared_path
-
     path = shared_path(rows.sparkSession, "ordered")  # written, as ranges are sampled anew whenever a plan runs
     dealt.write.parquet(path)
     kept = rows.sparkSession.read.parquet(path)
