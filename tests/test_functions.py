@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideglass.functions import scalars as S
-from tideglass.functions.station_time import civil_to_utc, standard_offsets
+from tideglass.functions.station_time import civil_to_utc, standard_offsets, with_civil_instants, zone_periods
 from tideglass.spec import SentinelRule
 
 
@@ -29,8 +29,9 @@ def test_longitudes(spark):
     assert one(spark, S.signed_longitude(F.lit(-79.9), "signed")) == -79.9
     with pytest.raises(ValueError):
         S.signed_longitude(F.lit(1.0), "other")
+    assert one(spark, S.signed_longitude(F.lit(370.0), "0_360")) == 10 and one(spark, S.signed_longitude(F.lit(180.0), "0_360")) == -180
     with pytest.raises(Exception, match="out of range"):
-        one(spark, S.signed_longitude(F.lit(400.0), "0_360"))
+        one(spark, S.signed_longitude(F.lit(400.0), "signed"))
 
 
 def test_calendar(spark):
@@ -63,6 +64,30 @@ def test_civil_time(spark):
         at("2024-03-10 02:30:00")
 
 
+@pytest.mark.parametrize("zone, local, fault", [("Antarctica/Troll", "2023-10-29 01:30:00", "ambiguous"), ("Antarctica/Troll", "2023-03-26 02:30:00", "no such"), ("Australia/Lord_Howe", "2023-04-02 01:45:00", "ambiguous"), ("Australia/Lord_Howe", "2023-10-01 02:15:00", "no such"), ("Pacific/Apia", "2011-12-30 10:00:00", "no such")])
+def test_civil_time_of_any_shift(spark, zone, local, fault):
+    with pytest.raises(Exception, match=fault):
+        one(spark, civil_to_utc(F.lit(local).cast("timestamp"), zone))
+    rows = spark.createDataFrame([(zone, local), (zone, "2023-07-01 02:30:00"), (None, local), (zone, None), (zone, "1999-01-01 00:00:00")], "zone string, local string").withColumn("local", F.col("local").cast("timestamp"))
+    found = [(r.instant, r.fault) for r in with_civil_instants(rows, "zone", "local", "2010", "2024").orderBy(F.col("local").isNull(), F.col("zone").isNull(), "local").collect()]
+    assert found[0] == (None, "outside_known_years") and sorted(str(f[1]) for f in found[1:]) == sorted(["None", "None", "None", "ambiguous_local_time" if fault == "ambiguous" else "no_such_local_time"])
+
+
+def test_periods_equal_the_zone_rules(spark):
+    from datetime import timedelta, timezone
+    from zoneinfo import ZoneInfo
+
+    names = ["America/Toronto", "Antarctica/Troll", "Australia/Lord_Howe", "Asia/Kathmandu", "Pacific/Apia", "UTC"]
+    periods = zone_periods(spark.createDataFrame([(n,) for n in [*names, "UTC"]] + [(None,)], "zone string"), "2009-01-01", "2014-01-01").collect()
+    for name in names:
+        own = sorted((p for p in periods if p.zone == name), key=lambda p: (p.since is not None, p.since))
+        at = datetime(2009, 1, 2)
+        while at < datetime(2014, 1, 1):
+            [now] = [p for p in own if (p.since is None or p.since <= at) and (p.until is None or at < p.until)]
+            assert at.replace(tzinfo=timezone.utc).astimezone(ZoneInfo(name)).utcoffset().total_seconds() == now.seconds
+            at += timedelta(hours=7)
+
+
 def test_standard_offsets(spark):
     rows = [("America/Toronto", date(2018, 7, 1)), ("America/Toronto", date(1943, 1, 1)), ("America/Dawson", date(2020, 10, 31)), ("America/Dawson", date(2020, 7, 1)), ("America/Inuvik", date(2004, 10, 31)), (None, date(2020, 1, 1))]
     found = {(r.zone, r.day): (r.offset_start // 3600, r.offset_end // 3600, r.is_transition) for r in standard_offsets(spark.createDataFrame(rows, "zone string, day date")).collect()}

@@ -139,3 +139,56 @@ def test_sources(spark, store, tmp_path):
     assert store.register_sources(str(tmp_path / "x")).select("source_id").distinct().count() == 1
     store.register_sources(str(tmp_path / "x"))
     assert store.meta("source_files").count() == 1 and store.meta("source_aliases").count() == 2
+
+
+def test_closure_stays_off_the_driver(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    from tideglass.store import closure
+
+    edges = spark.createDataFrame([("d", "b"), ("d", "c"), ("b", "a"), ("c", "a"), ("a", None), ("x", "y"), ("a", "d")], "snapshot_id string, parent_snapshot_id string")
+    with monkeypatch.context() as m:
+        m.setattr(type(edges), "collect", lambda self: pytest.fail("collected"))
+        found = closure(edges, spark.createDataFrame([("d",)], "snapshot_id string"))
+    assert isinstance(found, DataFrame) and {tuple(r) for r in found.collect()} == {("d", 0), ("b", 1), ("c", 1), ("a", 2)}
+    chain = spark.range(12).selectExpr("string(id) AS snapshot_id", "string(id + 1) AS parent_snapshot_id")
+    assert closure(chain, spark.createDataFrame([("0",)], "snapshot_id string")).agg({"depth": "max"}).first()[0] == 12
+
+
+def test_rejections_of_a_run_are_one_set(spark, store):
+    from pyspark.sql import functions as F
+
+    from tideglass.plans.tables import rejection
+
+    lost = lambda *rows: spark.createDataFrame([*rows], "line int, why string").select(*rejection(F.lit("f"), F.concat(F.lit("line:"), F.col("line").cast("string")), F.lit("row"), F.col("why"), F.lit("raw"), F.lit(0), F.struct("line")))
+    store.record_rejections("r1", "wide", lost((1, "a"), (2, "b")))
+    store.record_rejections("r2", "wide", lost((1, "other")))
+    for _ in range(2):
+        store.record_rejections("r1", "wide", lost((2, "c"), (3, "d")))
+    found = sorted((r.run_id, r.record_locator, r.reason) for r in store.meta("rejections").collect())
+    assert found == [("r1", "line:1", "a"), ("r1", "line:2", "c"), ("r1", "line:3", "d"), ("r2", "line:1", "other")]
+
+
+def test_result_and_many_entities(spark, store):
+    rows = wide_rows(spark, *((f"e{k:04}", datetime(2024, 1, 1), float(k)) for k in range(400)))
+    store.publish(rows, "wide", "1", "1")
+    found = store.result("wide", entity=[f"e{k:04}" for k in range(300)], limit=5)
+    assert found.units == {"power": "kW"} and found.limit == 5 and found.rows.count() == 5 and found.snapshot_id == store.live_snapshot("wide")
+    assert found.rows.schema["power"].metadata == {"dataset_id": "wide", "snapshot_id": found.snapshot_id, "unit": "kW"}
+    many = store.load("wide", entity=[f"e{k:04}" for k in range(300)] + ["absent"])
+    assert many.count() == 300 and "e0123" not in many._jdf.queryExecution().optimizedPlan().toString().split("LocalRelation")[0]
+    named = store.load("wide", entity=spark.createDataFrame([("e0001",), ("e0002",), ("e0001",)], "entity_id string"))
+    assert named.count() == 2
+    assert store.load("wide", entity=spark.createDataFrame([], "entity_id string")).count() == 0
+    with pytest.raises(DeclarationError):
+        store.load("wide", entity=spark.createDataFrame([(1,)], "entity_id long"))
+
+
+def test_no_local_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from tideglass.session import shared_path
+
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        shared_path(spark, "x")

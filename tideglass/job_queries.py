@@ -2,21 +2,26 @@
 
 from __future__ import annotations
 
+import gzip
+import lzma
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideglass import recast
 from tideglass.functions import scalars as S
-from tideglass.functions.station_time import civil_to_utc, instant_offset, shift_to_utc
-from tideglass.operators import gates
-from tideglass.plans import tables
+from tideglass.functions.station_time import civil_to_utc, instant_offset, shift_to_utc, with_civil_instants, with_standard_offsets
+from tideglass.operators import gates, views
+from tideglass.plans import members, tables
 from tideglass.plans.pages import Collected, PageLayout, collect_pages
 from tideglass.queries import _BUCKET, _ORDER_DAYS, _ZONED, _order_days, _sql_text, _text, query
-from tideglass.recast import table
-from tideglass.session import shared_path
+from tideglass.recast import EVENTS, events_long, table
+from tideglass.session import kept, shared_path
 from tideglass.sources import lines as sources
 from tideglass.spec import DatasetSpec, Registry, VariableSpec
 from tideglass.store import Store, StoreError
+from tideglass.streaming.files import ingest_new_files
 
 # pages: the events of a user and day as CSV, with the parts of the date, a composed key, a publisher's UTC clock and a flag
 
@@ -171,11 +176,166 @@ def grid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("entity_id").agg(F.count("*").alias("n"), F.min("price").alias("least"), F.min(F.date_format("time_start", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("time_start"))
 
 
+def _packed(name: str, text: str) -> bytes:
+    return lzma.compress(text.encode(), preset=0) if name.endswith(".xz") else gzip.compress(text.encode(), 1) if name.endswith(".gz") else text.encode()
+
+
+def _unit_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(file_name, content): a customer's orders as corrected unit values, every third file as xz, every third as gzip."""
+    o, station = table(spark, sf_dir, "orders"), F.lpad(F.col("o_custkey").cast("string"), 7, "0")
+    line = F.concat_ws(",", F.date_format("o_orderdate", "yyyy-MM-dd'T'00:00:00'Z'"), F.lit("local"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.when(F.col("o_orderstatus") == "P", "Provisional").otherwise("Approved"), F.lit("20"), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.col("o_orderpriority")))
+    body = o.groupBy("o_custkey").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("o_orderdate", "o_orderkey", line.alias("line")))), lambda x: x["line"]), "\r\n").alias("rows"), F.date_format(F.min("o_orderdate"), "yyyyMMdd").alias("day"))  # a customer's orders make one file
+    suffix = F.element_at(F.array(F.lit(".xz"), F.lit(".gz"), F.lit("")), (F.col("o_custkey") % 3 + 1).cast("int"))
+    name = F.concat(F.lit("unit_"), station, F.lit("_"), "day", F.lit(".csv"), suffix)
+    text = F.concat(F.lit("# Station: "), station, F.lit("\r\n# Unit: USD\r\nUTC, Local, Value, Approval, Grade, Qualifiers\r\n"), "rows", F.lit("\r\n,,,,,\r\n"))
+
+    def pack(batches):
+        for b in batches:
+            made = [_packed(n, t) for n, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(made, pa.binary())], names=["file_name", "content"])
+
+    return kept(body.select(name.alias("file_name"), text.alias("text")).mapInArrow(pack, "file_name string, content binary"), "members")
+
+
+@query(f"""WITH n AS (SELECT o_custkey, strftime(min(o_orderdate), '%Y%m%d') AS d FROM orders GROUP BY 1)
+    SELECT lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS entity_id, {_sql_text('o_orderdate')} AS time_start, o_totalprice AS value, CASE WHEN o_orderstatus = 'P' THEN 'Provisional' ELSE 'Approved' END AS approval, CASE WHEN o_orderkey % 3 = 0 THEN '[]' ELSE '["' || o_orderpriority || '"]' END AS qualifiers,
+    'unit_' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') || '_' || d || '.csv' || CASE o_custkey % 3 WHEN 0 THEN '.xz' WHEN 1 THEN '.gz' ELSE '' END AS file_name, 3 + row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS line_number
+    FROM orders JOIN n USING (o_custkey) JOIN customer ON c_custkey = o_custkey WHERE c_acctbal <= 5000""")
+def member_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Compressed files of a manifest, their sizes and digests proven, those of small stations read as one table with the file and line of each value."""
+    files = _unit_files(spark, sf_dir)
+    manifest = kept(members.file_digests(files), "manifest")
+    areas = table(spark, sf_dir, "customer").select(F.lpad(F.col("c_custkey").cast("string"), 7, "0").alias("station"), F.col("c_acctbal").cast("double").alias("area"))
+    found = members.corrected_values(files, manifest, r"^unit_(\d{7})_(\d{8})\.csv(?:\.xz|\.gz)?$", ["UTC", "Local", "Value", "Approval", "Grade", "Qualifiers"], areas=areas, limit=5000.0, width=8)
+    return found.accepted.select("entity_id", _text("time_start"), "value", "approval", "qualifiers", "file_name", "line_number")
+
+
+@query("""WITH m AS (SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, row_number() OVER (ORDER BY strftime(o_orderdate, '%Y-%m')) AS k FROM orders GROUP BY 1)
+    SELECT month, CASE k % 28 WHEN 0 THEN 'missing_file' WHEN 7 THEN 'size_differs' WHEN 14 THEN 'digest_differs' WHEN 21 THEN 'bad_digest' END AS fault FROM m""")
+def listed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of each month's orders on disk against a manifest that is wrong on every seventh."""
+    o = table(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    line = F.concat_ws(",", F.lpad(F.col("o_orderkey").cast("string"), 12, "0"), F.col("o_custkey").cast("string"))
+    text = o.groupBy("month").agg(F.array_join(F.sort_array(F.collect_list(line)), "\n").alias("text"))  # a month makes one file
+    k = F.row_number().over(Window.orderBy("month"))  # months
+    made = kept(text.withColumn("k", k), "months")
+    path = shared_path(spark, "listed")
+    made.filter("k % 28 <> 0").select("month", "text").repartition("month").write.partitionBy("month").text(path)
+    body = F.concat("text", F.lit("\n")).cast("binary")
+    digest = F.when(F.col("k") % 28 == 14, F.sha2(F.col("month").cast("binary"), 256)).when(F.col("k") % 28 == 21, F.lit("none")).otherwise(F.sha2(body, 256))
+    manifest = made.select(F.col("month").alias("file_name"), (F.octet_length(body) + F.when(F.col("k") % 28 == 7, 1).otherwise(0)).alias("size_bytes"), digest.alias("sha256"))
+    files = members.read_files(spark, f"{path}/*/*.txt").select(F.regexp_extract("path", "month=([^/]+)/", 1).alias("file_name"), "content")
+    return members.check_listed(manifest, members.file_digests(files)).select(F.col("file_name").alias("month"), "fault")
+
+
+@query("""WITH w AS (SELECT o_custkey, year(o_orderdate) AS y, count(*) AS n FROM orders GROUP BY ALL), p AS (SELECT o_custkey FROM w GROUP BY 1)
+    SELECT o_custkey AS climate_id, y, n AS matched, CASE o_custkey % 9 WHEN 0 THEN 'bad_digest' WHEN 2 THEN 'unsafe_name' WHEN 4 THEN 'not_within_a_year' WHEN 6 THEN 'repeated_name' WHEN 8 THEN CASE WHEN n > 1 THEN 'pages_incomplete' END END AS fault FROM w""")
+def manifest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of a year whose pages are named, digested and numbered wrongly by the customer's number."""
+    c = F.col("climate_id")
+    w = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("climate_id"), F.year("o_orderdate").alias("y")).agg(F.count("*").alias("n"))
+    offsets = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(1).cast("long"))
+    pages = w.select("climate_id", "y", "n", F.lit("page").alias("role"), F.explode(offsets).alias("page_offset")).filter(~((c % 9 == 8) & (F.col("page_offset") == F.col("n") - 1) & (F.col("n") > 1)))
+    rows = pages.unionByName(w.select("climate_id", "y", "n", F.lit("hits").alias("role"), F.lit(None).cast("long").alias("page_offset")))
+    name = F.concat_ws("-", "role", c.cast("string"), F.when(c % 9 == 6, F.lit("all")).otherwise(F.col("y").cast("string")), F.when(c % 9 == 6, F.lit("x")).otherwise(F.coalesce(F.col("page_offset").cast("string"), F.lit("n"))))
+    start = F.make_timestamp("y", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    end = F.make_timestamp(F.col("y") + 1, F.lit(1), F.when(c % 9 == 4, 2).otherwise(1), F.lit(0), F.lit(0), F.lit(0))
+    digest = F.sha2(name.cast("binary"), 256)
+    manifest = rows.select(
+        "climate_id", "role", "page_offset", F.col("n").alias("number_matched"), start.alias("window_start"), end.alias("window_end"),
+        F.concat(F.when(c % 9 == 2, F.lit("../")).otherwise(""), name, F.lit(".csv")).alias("file_name"), F.when(c % 9 == 0, F.substring(digest, 1, 63)).otherwise(digest).alias("sha256"),
+    )
+    return tables.check_manifest(manifest, 1).select("climate_id", F.year("window_start").cast("long").alias("y"), "matched", "fault")
+
+
+@query("""SELECT doc, count(*) AS n_lines, CAST(sum(k * o_orderkey) AS BIGINT) AS weight FROM (SELECT year(o_orderdate) * 100 + month(o_orderdate) AS doc, o_orderkey, row_number() OVER (PARTITION BY year(o_orderdate), month(o_orderdate) ORDER BY o_orderkey) AS k FROM orders) GROUP BY 1""")
+def streamed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each month's orders, as they arrive: half of them in a first call, the rest in a second, each once."""
+    doc = (F.year("o_orderdate") * 100 + F.month("o_orderdate")).cast("long").alias("doc")
+    orders = table(spark, sf_dir, "orders").select(doc, F.col("o_orderkey").cast("string").alias("value"), "o_orderkey")
+    inbox, out, checkpoint = (shared_path(spark, x) for x in ("inbox", "lines", "checkpoint"))
+
+    def handle(lines: DataFrame, batch: int) -> None:
+        lines.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    for half in (0, 1):
+        orders.filter(F.col("doc") % 2 == half).repartition("doc").sortWithinPartitions("doc", "o_orderkey").drop("o_orderkey").write.mode("append").partitionBy("doc").text(inbox)
+        ingest_new_files(spark, f"{inbox}/*", checkpoint, handle, "*.txt")
+    lines = spark.read.schema("source string, line_number long, raw string").parquet(out)
+    return lines.groupBy(F.regexp_extract("source", "doc=([0-9]+)/", 1).cast("long").alias("doc")).agg(F.count("*").alias("n_lines"), F.sum(F.col("line_number") * F.col("raw").cast("long")).alias("weight"))
+
+
+@query("""SELECT count(*) AS n_lines, CAST(sum(n * length(raw)) AS BIGINT) AS weight FROM (SELECT row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS n, c_name || ' ' || c_mktsegment AS raw FROM customer)""")
+def stored_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files with numbered lines, dealt over blocks."""
+    c, path = table(spark, sf_dir, "customer"), shared_path(spark, "text")
+    c.repartition("c_nationkey").sortWithinPartitions("c_nationkey", "c_custkey").select("c_nationkey", F.concat_ws(" ", "c_name", "c_mktsegment").alias("value")).write.partitionBy("c_nationkey").text(path)
+    lines = sources.read_lines(spark, f"{path}/*", "*.txt")
+    return lines.agg(F.count("*").alias("n_lines"), F.sum(F.col("line_number") * F.char_length("raw")).alias("weight"))
+
+
+# clocks on days on which they change
+
+
+@query(f"""WITH c AS (SELECT o_orderkey, o_orderkey % 3 AS z, CASE o_orderkey % 3 WHEN 0 THEN TIMESTAMP '2023-11-04' WHEN 1 THEN TIMESTAMP '2023-03-11' ELSE TIMESTAMP '2023-10-28' END + to_minutes(CAST(o_orderkey // 3 % 4320 AS INTEGER)) AS t FROM orders),
+    d AS (SELECT *, CASE z WHEN 0 THEN CASE WHEN t < TIMESTAMP '2023-11-05 01:00' THEN 240 WHEN t >= TIMESTAMP '2023-11-05 02:00' THEN 300 END WHEN 1 THEN CASE WHEN t < TIMESTAMP '2023-03-12 02:00' THEN 300 WHEN t >= TIMESTAMP '2023-03-12 03:00' THEN 240 END
+        ELSE CASE WHEN t < TIMESTAMP '2023-10-29 01:00' THEN -120 WHEN t >= TIMESTAMP '2023-10-29 03:00' THEN 0 END END AS m FROM c)
+    SELECT o_orderkey, {_sql_text('t + to_minutes(CAST(m AS INTEGER))')} AS utc, CASE WHEN m IS NOT NULL THEN NULL WHEN z = 1 THEN 'no_such_local_time' ELSE 'ambiguous_local_time' END AS fault FROM d""")
+def civil_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Civil clocks of several zones around their changes, by a table of periods; those that occur twice or never are marked."""
+    k = F.col("o_orderkey")
+    pick = lambda *xs: F.element_at(F.array(*map(F.lit, xs)), (k % 3 + 1).cast("int"))
+    at = pick("2023-11-04", "2023-03-11", "2023-10-28").cast("timestamp") + F.make_dt_interval(mins=F.expr("o_orderkey div 3 % 4320").cast("int"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", pick("America/Toronto", "America/Toronto", "Antarctica/Troll").alias("zone"), at.alias("local"))
+    return with_civil_instants(rows, "zone", "local", "2023", "2023").select("o_orderkey", _text("instant", "utc"), "fault")
+
+
+@query(f"""WITH d AS (SELECT event_id, DATE '2020-10-25' + CAST(user_id % 14 AS INTEGER) AS day FROM events)
+    SELECT event_id, CASE WHEN day < DATE '2020-11-01' THEN -28800 ELSE -25200 END AS offset_start, CASE WHEN day < DATE '2020-10-31' THEN -28800 ELSE -25200 END AS offset_end, day = DATE '2020-10-31' AS is_transition FROM d""")
+def standard_transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days around the one on which a zone changed its standard time."""
+    rows = table(spark, sf_dir, "events").select("event_id", F.lit("America/Dawson").alias("zone"), F.date_add(F.lit("2020-10-25").cast("date"), (F.col("user_id") % 14).cast("int")).alias("day"))
+    return with_standard_offsets(rows, "zone", "day").select("event_id", "offset_start", "offset_end", "is_transition")
+
+
+# reads of many entities, trees of digests
+
+
+@query("""SELECT lpad(CAST(user_id AS VARCHAR), 6, '0') AS entity_id, count(*) AS n FROM events WHERE user_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY') AND ts >= TIMESTAMP '2024-01-03' AND ts < TIMESTAMP '2024-01-25' GROUP BY 1""")
+def many_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A read of all entities that another table names."""
+    ids = table(spark, sf_dir, "customer").filter("c_mktsegment = 'MACHINERY'").select(F.lpad(F.col("c_custkey").cast("string"), 6, "0").alias("entity_id"))
+    rows = views.request_filter(events_long(spark, sf_dir), EVENTS, views.normalized_entities(ids), "2024-01-03", "2024-01-25")
+    return rows.groupBy("entity_id").agg(F.count("*").alias("n"))
+
+
+@query("""WITH r AS (SELECT sha256('{"l_orderkey":' || CAST(l_orderkey AS VARCHAR) || ',"l_linenumber":' || CAST(l_linenumber AS VARCHAR) || '}') AS d, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber), q AS (SELECT CASE WHEN n = 1 THEN d ELSE d || '*' || CAST(n AS VARCHAR) END AS d FROM r),
+    h AS (SELECT least(6, greatest(2, CAST(ceil(ln(count(*) / 64.0) / ln(16.0)) AS INTEGER))) AS depth FROM q), l6 AS (SELECT substr(d, 1, depth) AS lead, sha256(string_agg(d, ',' ORDER BY d)) AS g FROM q, h GROUP BY 1),
+    l5 AS (SELECT substr(lead, 1, least(length(lead), 5)) AS lead, CASE WHEN max(length(lead)) > 5 THEN sha256(string_agg(g, ',' ORDER BY lead)) ELSE max(g) END AS g FROM l6 GROUP BY 1),
+    l4 AS (SELECT substr(lead, 1, least(length(lead), 4)) AS lead, CASE WHEN max(length(lead)) > 4 THEN sha256(string_agg(g, ',' ORDER BY lead)) ELSE max(g) END AS g FROM l5 GROUP BY 1),
+    l3 AS (SELECT substr(lead, 1, least(length(lead), 3)) AS lead, CASE WHEN max(length(lead)) > 3 THEN sha256(string_agg(g, ',' ORDER BY lead)) ELSE max(g) END AS g FROM l4 GROUP BY 1),
+    l2 AS (SELECT substr(lead, 1, 2) AS lead, CASE WHEN max(length(lead)) > 2 THEN sha256(string_agg(g, ',' ORDER BY lead)) ELSE max(g) END AS g FROM l3 GROUP BY 1)
+    SELECT sha256(string_agg(g, ',' ORDER BY lead) || '|{"rows": "all"}') AS fingerprint FROM l2""")
+def deep_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A digest over many rows, repeated ones among them, by a tree whose leaves hold some 64."""
+    return tables.selection_fingerprint(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], {"rows": "all"}, most=64)
+
+
 # runs and their records
 
 
+_stores: dict[tuple[str, str], Store] = {}
+
+
 def _store(spark: SparkSession, sf_dir: str) -> Store:
-    """Two appended snapshots of orders with inputs, names, rejections, and a run that failed behind them."""
+    """The store of a session and its tables: two appended snapshots of orders with inputs, names, rejections, and a run that failed behind them."""
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _stores:
+        _stores[key] = _published(spark, sf_dir)
+    return _stores[key]
+
+
+def _published(spark: SparkSession, sf_dir: str) -> Store:
     store = Store(spark, shared_path(spark, "store"), Registry([recast.ORDERS]))
     days = _order_days(spark, sf_dir)
     old, new = days.filter(F.year("time_start") < 1998), days.filter(F.year("time_start") >= 1998)
@@ -198,6 +358,44 @@ def _store(spark: SparkSession, sf_dir: str) -> Store:
     raise StoreError("a collision was published")
 
 
+@query("""SELECT CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN 'first' ELSE 'second' END AS source_id, count(DISTINCT (o_custkey, o_orderdate)) AS n FROM orders GROUP BY 1""")
+def provenance_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a snapshot with the source that each came from."""
+    return _store(spark, sf_dir).load("orders_daily", include_provenance=True).groupBy(F.col("_source_id").alias("source_id")).agg(F.count("*").alias("n"))
+
+
+@query("""SELECT 'orders_daily' AS dataset_id, 'USD' AS unit, count(DISTINCT (o_custkey, o_orderdate)) AS n, 'double' AS kind FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'""")
+def result_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a read says of itself: dataset and unit of its value column, and the rows that it covers."""
+    found = _store(spark, sf_dir).result("orders_daily", start="1997")
+    about = found.rows.schema["total"]
+    return found.rows.agg(F.count("*").alias("n")).select(F.lit(about.metadata["dataset_id"]).alias("dataset_id"), F.lit(about.metadata["unit"]).alias("unit"), "n", F.lit(about.dataType.simpleString()).alias("kind"))
+
+
+@query("""SELECT lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS source, count(*) AS n, count(*) FILTER (o_orderkey % 2 = 0) AS replaced FROM orders WHERE o_orderstatus = 'P' GROUP BY 1""")
+def rejections_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejections of one run, recorded twice, half of them changed: one set, the latest of each."""
+    store = Store(spark, shared_path(spark, "store"), Registry([recast.ORDERS]))
+    o = table(spark, sf_dir, "orders").filter("o_orderstatus = 'P'")
+    lost = lambda df, reason: df.select(*tables.rejection(F.lpad(F.col("o_custkey").cast("string"), 7, "0"), F.concat(F.lit("line:"), F.col("o_orderkey").cast("string")), F.lit("open"), F.lit(reason), F.col("o_orderpriority"), F.lit(0), F.struct("o_orderkey")))
+    store.record_rejections("run_other", "orders_daily", lost(o, "kept_apart"))
+    for rows in (lost(o, "first"), lost(o.filter("o_orderkey % 2 = 0"), "again")):
+        store.record_rejections("run_one", "orders_daily", rows)
+    return store.meta("rejections").filter("run_id = 'run_one'").groupBy("source").agg(F.count("*").alias("n"), F.count_if(F.col("reason") == "again").alias("replaced"))
+
+
+@query(f"""WITH d AS (SELECT o_custkey, o_orderdate, max(o_totalprice) AS total FROM orders GROUP BY ALL) SELECT lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS entity_id, {_sql_text("date_trunc('year', o_orderdate)")} AS time_start, max(total) AS total FROM d GROUP BY o_custkey, date_trunc('year', o_orderdate)""")
+def derived_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dataset derived from a published snapshot and published itself, with its parent behind it."""
+    store = Store(spark, shared_path(spark, "store"), Registry([recast.LATEST_ORDERS, recast.YEARLY_ORDERS]))
+    parent = store.publish(_order_days(spark, sf_dir), "orders_latest", "first", "1")
+    year = F.date_trunc("year", "time_start")
+    made = store.materialize("orders_yearly", [parent], {"max": "year"}, "1", lambda _, p: p[0].groupBy("entity_id", year.alias("time_start")).agg(F.max("time_end").alias("time_end"), F.max("total").alias("total")).select("entity_id", "time_start", "time_end", "total"))
+    behind = store.lineage(made).filter("depth = 1").select(F.col("snapshot_id").alias("parent"))
+    rows = store.load("orders_yearly").select("entity_id", _text("time_start"), "total")
+    return rows.join(behind.filter(F.col("parent") == parent).limit(1)).drop("parent")  # a row: the parent
+
+
 @query("SELECT DISTINCT 'member:' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS input_key, 'src_' || lpad(CAST(o_custkey AS VARCHAR), 7, '0') AS source_id FROM orders")
 def role_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inputs of one role behind the live snapshot."""

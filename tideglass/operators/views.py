@@ -23,8 +23,16 @@ def normalized_variables(spec: DatasetSpec, variable: str | Sequence[str] | None
     return chosen
 
 
-def normalized_entities(entity: str | Sequence[str] | None) -> list[str]:
-    """The wanted entity ids; none, and an empty list, mean all."""
+#: Ids up to which a request is a list of literals; more of them are joined.
+MANY_IDS = 100
+
+
+def normalized_entities(entity: str | Sequence[str] | DataFrame | None) -> list[str] | DataFrame:
+    """The wanted entity ids; none, and an empty list, mean all. A table gives its column entity_id; an empty one means none."""
+    if isinstance(entity, DataFrame):
+        if dict(entity.dtypes).get("entity_id") != "string":
+            raise DeclarationError("a table of entities has a text column entity_id")
+        return entity.select("entity_id").distinct()
     chosen = [] if entity is None else [entity] if isinstance(entity, str) else [*entity]
     if any(not isinstance(e, str) for e in chosen):
         raise DeclarationError("entity ids are text")
@@ -67,11 +75,12 @@ def logical_view(stored: DataFrame, spec: DatasetSpec, variables: Sequence[str],
     return stored.select(*columns, *(a.name for a in spec.annotations), *(LINEAGE if with_lineage else ()))
 
 
-def request_filter(df: DataFrame, spec: DatasetSpec, entities: Sequence[str], start, end, partitioned: bool = False) -> DataFrame:
+def request_filter(df: DataFrame, spec: DatasetSpec, entities: Sequence[str] | DataFrame, start, end, partitioned: bool = False) -> DataFrame:
     """Rows of the wanted entities whose time_start lies in [start, end).
 
     On a table partitioned by year and entity_bucket the same request also goes against those columns, so that files
-    outside it are not listed; the engine doesn't derive them from the keys.
+    outside it are not listed; the engine doesn't derive them from the keys. More than MANY_IDS entities are joined by
+    bucket and id, not listed in the plan; with few of them the join is one of small tables, which Spark decides itself.
     """
     first, last = request_bound(start), request_bound(end)
     if first is not None and last is not None and last <= first:
@@ -79,11 +88,16 @@ def request_filter(df: DataFrame, spec: DatasetSpec, entities: Sequence[str], st
     if (first or last) and not spec.time_columns:
         raise DeclarationError(f"{spec.dataset_id} has no times")
     stamp = lambda t: F.lit(t.isoformat(sep=" ")).cast("timestamp")
-    if entities:
+    buckets = partitioned and spec.storage != "reference"
+    if isinstance(entities, DataFrame) or len(entities) > MANY_IDS:
+        ids = entities if isinstance(entities, DataFrame) else df.sparkSession.createDataFrame([(e,) for e in dict.fromkeys(entities)], "entity_id string")
+        keys = ["entity_bucket", "entity_id"] if buckets else ["entity_id"]
+        df = df.filter(F.col("entity_bucket").isin(bucket_numbers(entities, spec.buckets))) if buckets else df
+        df = df.join(ids.withColumn("entity_bucket", entity_bucket(F.col("entity_id"), spec.buckets)) if buckets else ids, keys, "left_semi")
+    elif entities:
         df = df.filter(F.col("entity_id").isin([*entities]))
-        if partitioned and spec.storage != "reference":
-            # the buckets of literals fold into literals
-            df = df.filter(F.col("entity_bucket").isin(bucket_numbers(entities, spec.buckets)))
+        # the buckets of literals fold into literals
+        df = df.filter(F.col("entity_bucket").isin(bucket_numbers(entities, spec.buckets))) if buckets else df
     if first is not None:
         df = df.filter(F.col("time_start") >= stamp(first))
         df = df.filter(F.col("year") >= first.year) if partitioned else df
@@ -93,13 +107,28 @@ def request_filter(df: DataFrame, spec: DatasetSpec, entities: Sequence[str], st
     return df
 
 
-def bucket_numbers(entities: Sequence[str], buckets: int) -> list[int]:
-    """entity_bucket of known ids, on the driver."""
+def bucket_numbers(entities: Sequence[str] | DataFrame, buckets: int) -> list[int]:
+    """entity_bucket of known ids, on the driver; of a table at most as many numbers as there are buckets come there."""
     import hashlib
 
+    if isinstance(entities, DataFrame):
+        return sorted(r[0] for r in entities.select(entity_bucket(F.col("entity_id"), buckets)).distinct().collect() if r[0] is not None)
     return sorted({int(hashlib.md5(e.encode()).hexdigest()[:15], 16) % buckets for e in entities})
 
 
+def typed_output(view: DataFrame, spec: DatasetSpec, snapshot: str) -> DataFrame:
+    """A logical view in output types (ids, qualities and annotations text, numbers double) with unit, dataset and snapshot as column metadata."""
+    kinds = {f.name: f.dataType for f in view.schema}
+    units = {v.name: v.unit for v in spec.variables}
+    text = {"entity_id", *(v.quality_field for v in spec.variables if v.quality_field)}
+    out = []
+    for c in view.columns:
+        number = c in units and kinds[c].simpleString() in ("tinyint", "smallint", "int", "bigint", "float") or kinds[c].simpleString().startswith("decimal")
+        cast = F.col(c).cast("double") if number else F.col(c).cast("string") if c in text else F.col(c)
+        out.append(cast.alias(c, metadata={"dataset_id": spec.dataset_id, "snapshot_id": snapshot} | ({"unit": units[c]} if c in units else {})))
+    return view.select(*out)
+
+
 def ordered(df: DataFrame, spec: DatasetSpec, limit: int | None = None) -> DataFrame:
     """By entity and times, so that a limit cuts at a defined place."""
     if limit is not None and limit < 1:

@@ -16,7 +16,7 @@ from tideglass.functions.scalars import NUMBER, is_calendar_day, parse_number
 from tideglass.functions.station_time import shift_to_utc, with_standard_offsets
 from tideglass.operators.gates import GateError, first_reason
 from tideglass.plans.result import ParseResult, rejection
-from tideglass.spec import DeclarationError
+from tideglass.spec import DatasetSpec, DeclarationError
 
 
 @dataclass(frozen=True)
@@ -41,6 +41,17 @@ class Element:
             raise DeclarationError(f"element {self.code}: the interval leaves its hour")
 
 
+def check_elements(elements: tuple[Element, ...], spec: DatasetSpec) -> None:
+    """Refuses elements that don't cover the declared variables exactly, repeat a code, or name a marker that reads as a number in some slot only."""
+    codes, made = [e.code for e in elements], {e.variable for e in elements}
+    problems = [f"element {c} is declared twice" for c in sorted({c for c in codes if codes.count(c) > 1})]
+    problems += [f"no element gives {v}" for v in spec.variable_names if v not in made] + [f"{v} is not declared" for v in sorted(made - {*spec.variable_names})]
+    problems += [f"element {e.code}: blank or repeated markers" for e in elements if len(set(e.missing)) != len(e.missing) or any(not m.strip() for m in e.missing)]
+    problems += [f"element {e.code}: an earlier duration needs the year up to which it holds" for e in elements if (e.before_year is None) != (e.duration_minutes_before is None)]
+    if problems:
+        raise DeclarationError(f"{spec.dataset_id}: " + "; ".join(problems))
+
+
 @dataclass(frozen=True)
 class Layout:
     """Station, date and element in front, then slots of a value and a flag of one character."""

@@ -17,6 +17,7 @@ from tideglass.plans import tables
 from tideglass.plans.result import ParseResult
 from tideglass.session import kept
 from tideglass.sources.lines import api_pages
+from tideglass.spec import DeclarationError
 
 
 @dataclass(frozen=True)
@@ -35,6 +36,20 @@ class PageLayout:
     flags: Sequence[str] = ()
     duration: str = "1 hour"
 
+    def __post_init__(self):
+        known, problems = {*self.columns}, []
+        if len(known) != len(self.columns):
+            problems.append("a column is named twice")
+        named = [self.station, self.local, *filter(None, (self.publisher_utc, self.key)), *self.parts, *self.constants, *self.numbers, *self.flags]
+        problems += [f"no column {c}" for c in named if c not in known]
+        if self.parts and len(self.parts) != 4:
+            problems.append("parts are year, month, day and hour")
+        problems += [f"marker {m} is for {c}, which is no number" for m, own in self.markers.items() for c in own if c not in self.numbers]
+        if {*self.numbers} & {*self.flags, *self.constants, *self.parts}:
+            problems.append("a number is a flag, a constant or a part of the clock as well")
+        if problems:
+            raise DeclarationError("page layout: " + "; ".join(problems))
+
 
 @dataclass(frozen=True)
 class Collected:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tideglass.functions.scalars import clean_identifier, is_calendar_day, parse_number, qualifiers_json, signed_longitude, slot_interval, strict_number, utc_instant
 from tideglass.functions.station_time import civil_to_utc, shift_to_utc, with_standard_offsets
-from tideglass.operators.analysis import nearest_grid, point_zones
+from tideglass.operators.analysis import nearest_grid, overlaps, point_zones
 from tideglass.operators.gates import GateError, first_reason
 from tideglass.plans.result import ParseResult, rejection
 from tideglass.session import kept, shared_path
@@ -111,12 +111,12 @@ def selection_fingerprint(members: DataFrame, columns: Sequence[str], parameters
     return level.agg(F.sha2(F.concat_ws("|", whole, F.lit(json.dumps(parameters, sort_keys=True, default=str))).cast("binary"), 256).alias("fingerprint"))
 
 
-def parse_unit_values(rows: DataFrame, station: Column, qualifier_at: int = 5) -> DataFrame:
-    """Rows of commented CSV (cells: instant, local time, value, approval, grade, qualifiers ...) as instants."""
+def parse_unit_values(rows: DataFrame, station: Column, qualifier_at: int = 5, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows of commented CSV (cells: instant, local time, value, approval, grade, qualifiers ...) as instants, with further columns to keep."""
     cell = lambda k: F.get("cells", F.lit(k))
     at = utc_instant(cell(0))
     fine = F.when(at.isNotNull(), at).otherwise(F.raise_error(F.concat(F.lit("no UTC instant: "), F.coalesce(cell(0), F.lit("none")))).cast("timestamp"))
-    return rows.select(station.alias("entity_id"), fine.alias("time_start"), strict_number(F.nullif(F.trim(cell(2)), F.lit("")), "value").alias("value"), cell(3).alias("approval"), cell(4).alias("grade"), qualifiers_json(F.col("cells"), qualifier_at).alias("qualifiers"))
+    return rows.select(station.alias("entity_id"), fine.alias("time_start"), strict_number(F.nullif(F.trim(cell(2)), F.lit("")), "value").alias("value"), cell(3).alias("approval"), cell(4).alias("grade"), qualifiers_json(F.col("cells"), qualifier_at).alias("qualifiers"), *keep)
 
 
 def check_page_rows(rows: DataFrame, requested: str = "climate_id", parts: Sequence[str] = (), key: str | None = None, coordinates: tuple[str, str, str, str] | None = None) -> DataFrame:
@@ -266,14 +266,32 @@ def check_manifest(manifest: DataFrame, page_limit: int) -> DataFrame:
     """Windows (climate_id, window_start) of a manifest with their first fault: counts and pages must prove completeness.
 
     manifest: climate_id, window_start, role (hits or page), page_offset, number_matched. One count a window, and pages
-    at exactly 0, page_limit, 2 * page_limit ... below it.
+    at exactly 0, page_limit, 2 * page_limit ... below it. Where they are columns too, file_name has to be a plain name
+    that occurs once, sha256 64 hexadecimal digits, and window_end a later instant of the same calendar year, with no
+    two windows of a station overlapping.
     """
+    more = []
+    if "file_name" in manifest.columns:
+        from tideglass.plans.members import safe_name
+
+        names = manifest.groupBy(F.col("file_name").alias("_name")).agg((F.count("*") > 1).alias("_twice"))
+        manifest = manifest.join(names, F.col("file_name").eqNullSafe(F.col("_name"))).drop("_name")
+        more += [F.bool_or(~safe_name(F.col("file_name"))).alias("unsafe_name"), F.bool_or("_twice").alias("repeated_name")]
+    if "sha256" in manifest.columns:
+        more.append(F.bool_or(~F.coalesce(F.col("sha256").rlike("^[0-9a-f]{64}$"), F.lit(False))).alias("bad_digest"))
+    if "window_end" in manifest.columns:
+        within = (F.col("window_end") > F.col("window_start")) & (F.year("window_start") == F.year(inclusive_end(F.col("window_end"))))
+        windows = manifest.select("climate_id", "window_start", "window_end").distinct()
+        crossed = overlaps(windows, "climate_id", "window_start", "window_end", "year").select(F.col("climate_id").alias("_id"), F.col("start").alias("_start")).distinct()
+        manifest = manifest.join(crossed, (F.col("climate_id") == F.col("_id")) & (F.col("window_start") == F.col("_start")), "left").withColumn("_crossed", F.col("_id").isNotNull()).drop("_id", "_start")
+        more += [F.bool_or(~F.coalesce(within, F.lit(False))).alias("not_within_a_year"), F.bool_or("_crossed").alias("overlapping_window")]
     per = manifest.groupBy("climate_id", "window_start").agg(
         F.count_if(F.col("role") == "hits").alias("counts"), F.max(F.when(F.col("role") == "hits", F.col("number_matched"))).alias("matched"), F.count_distinct("number_matched").alias("kinds"),
-        F.sort_array(F.collect_list(F.when(F.col("role") == "page", F.col("page_offset").cast("long")))).alias("offsets"),
+        F.sort_array(F.collect_list(F.when(F.col("role") == "page", F.col("page_offset").cast("long")))).alias("offsets"), *more,
     )
     wanted = F.when(F.col("matched") > 0, F.transform(F.sequence(F.lit(0).cast("long"), F.floor((F.col("matched") - 1) / page_limit)), lambda k: k * page_limit)).otherwise(F.array().cast("array<bigint>"))
-    fault = first_reason(("no_single_count", F.col("counts") != 1), ("counts_disagree", F.col("kinds") > 1), ("pages_incomplete", F.col("offsets") != wanted))
+    faults = [(c, F.col(c)) for c in ("unsafe_name", "repeated_name", "bad_digest", "not_within_a_year", "overlapping_window") if c in per.columns]
+    fault = first_reason(*faults, ("no_single_count", F.col("counts") != 1), ("counts_disagree", F.col("kinds") > 1), ("pages_incomplete", F.col("offsets") != wanted))
     return per.select("climate_id", "window_start", "matched", F.size("offsets").cast("long").alias("n_pages"), fault.alias("fault"))
 
 

@@ -14,6 +14,7 @@ EVENTS = DatasetSpec(
 )
 ORDERS = DatasetSpec("orders_daily", storage="wide", mode="append", variables=(VariableSpec("total", "USD"),))
 LATEST_ORDERS = DatasetSpec("orders_latest", storage="wide", mode="replace", variables=(VariableSpec("total", "USD"),))
+YEARLY_ORDERS = DatasetSpec("orders_yearly", storage="wide", mode="replace", variables=(VariableSpec("total", "USD"),))
 #: Zones by key modulo 5, with their standard offsets in hours (January 2024).
 ZONES = (("America/Toronto", -5), ("America/Vancouver", -8), ("America/Halifax", -4), ("America/Regina", -6), ("America/St_Johns", -3.5))
 COUNTS = (Element("123", "events", 0.1, 60, start_minute=0),)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-
 def numbered(lines: DataFrame, source: str = "source", block: str = "block_start", order: str = "order_in_block") -> DataFrame:
     """lines with line_number, from 1 within each source.
 
@@ -37,9 +36,8 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str], glob: str | None
 
 def lines_of(texts: DataFrame, source: str, text: str) -> DataFrame:
     """(source, line_number, raw): the lines of a text column; the empty line behind a last line end is none."""
-    cut = texts.select(F.col(source).cast("string").alias("source"), F.posexplode(F.split(F.col(text), "\n")).alias("at", "raw"), F.size(F.split(F.col(text), "\n")).alias("n"))
-    kept = cut.filter((F.col("raw") != "") | (F.col("at") < F.col("n") - 1))
-    return kept.select("source", (F.col("at") + 1).cast("long").alias("line_number"), F.regexp_replace("raw", "\r+$", "").alias("raw"))
+    cut = texts.select(F.col(source).cast("string").alias("source"), F.posexplode(F.split(F.regexp_replace(F.nullif(F.col(text), F.lit("")), r"\n\z", ""), "\n")).alias("at", "raw"))
+    return cut.select("source", (F.col("at") + 1).cast("long").alias("line_number"), F.regexp_replace("raw", "\r+$", "").alias("raw"))
 
 
 def _cells(raw: Column, width: int) -> Column:
@@ -129,6 +127,11 @@ def read_wide_csv(spark: SparkSession, path: str, columns: Sequence[str], na_val
     return found.select(*(F.when(~F.col(c).isin(missing), F.col(c)).alias(c) for c in columns))
 
 
+def read_wide_parquet(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], entity: str) -> DataFrame:
+    """The wanted columns of Parquet files; a missing one, or an entity column that isn't text, is refused before any row is read."""
+    return require_columns(spark.read.parquet(*([paths] if isinstance(paths, str) else paths)), columns, [entity]).select(*columns)
+
+
 def require_columns(df: DataFrame, columns: Sequence[str], text: Sequence[str] = ()) -> DataFrame:
     """df, if it has these columns and the `text` ones are strings."""
     if missing := [c for c in columns if c not in df.columns]:

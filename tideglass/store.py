@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -16,8 +17,9 @@ from pyspark.sql import functions as F
 
 from tideglass.functions.scalars import manifest_row_id
 from tideglass.operators.gates import check_no_collisions, check_no_duplicates, check_plausible, check_schema, rule_counts
-from tideglass.operators.views import LINEAGE, logical_view, normalized_entities, normalized_variables, ordered, request_filter, with_partitions
+from tideglass.operators.views import LINEAGE, logical_view, normalized_entities, normalized_variables, ordered, request_filter, typed_output, with_partitions
 from tideglass.plans.result import REJECTION
+from tideglass.session import kept, shared_path
 from tideglass.spec import DatasetSpec, DeclarationError, Registry
 
 #: Stored rows that a collecting read may cover unless it has a limit.
@@ -39,6 +41,18 @@ class StoreError(LookupError):
     """A store that has not what was asked for."""
 
 
+@dataclass(frozen=True)
+class LoadResult:
+    """The rows of a request, and what they are: dataset, snapshot, units by variable, fragments that were read, limit."""
+
+    rows: DataFrame
+    dataset_id: str
+    snapshot_id: str
+    units: dict[str, str]
+    fragments: DataFrame
+    limit: int | None
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str, registry: Registry):
         self.spark, self.root, self.registry = spark, root.rstrip("/"), registry
@@ -62,6 +76,19 @@ class Store:
         last = Window.partitionBy(key).orderBy(F.col("at").desc())
         return self.meta(table).withColumn("_n", F.row_number().over(last)).filter("_n = 1").drop("_n")
 
+    def record_rejections(self, run: str, dataset_id: str, rejected: DataFrame) -> None:
+        """Adds rejections of a run to those it has; of a source and key the latest stay.
+
+        The table is partitioned by run, and only the run's own partition is written anew.
+        """
+        path = f"{self.root}/meta/rejections"
+        columns = [f.name for f in self.spark.createDataFrame([], SCHEMAS["rejections"]).schema if f.name != "run_id"]
+        key = ["source", "rejection_key"]
+        new = rejected.withColumn("dataset_id", F.lit(dataset_id)).select(*columns).dropDuplicates(key)
+        before = self.meta("rejections").filter(F.col("run_id") == run).select(*columns)
+        whole = kept(new.unionByName(before.join(new, key, "left_anti")), "rejections")
+        whole.withColumn("run_id", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+
     def runs(self) -> DataFrame:
         return self._log("runs", "run_id")
 
@@ -138,7 +165,7 @@ class Store:
             log("failed", str(fault)[:2000])
             raise
         if rejected is not None:
-            self._append("rejections", rejected.withColumns({"run_id": F.lit(run), "dataset_id": F.lit(dataset_id)}).dropDuplicates(["run_id", "source", "rejection_key"]))
+            self.record_rejections(run, dataset_id, rejected)
         if inputs is not None:
             self._append("run_inputs", inputs.withColumn("run_id", F.lit(run)).dropDuplicates(["run_id", "input_key"]))
         edges = [(snapshot, parent, "append_base", None, version)] if parent else []
@@ -192,13 +219,13 @@ class Store:
 
     # reading
 
-    def manifest(self, dataset_id: str, snapshot: str, entities: Sequence[str] = (), start=None, end=None) -> DataFrame:
+    def manifest(self, dataset_id: str, snapshot: str, entities: Sequence[str] | DataFrame = (), start=None, end=None) -> DataFrame:
         """The fragments of a snapshot that may hold rows of a request; unknown bounds stay in."""
         from tideglass.functions.scalars import request_bound
         from tideglass.operators.views import bucket_numbers
 
         spec, found = self.registry.get(dataset_id), self.meta("fragments").filter(F.col("snapshot_id") == snapshot)
-        if entities and spec.storage != "reference":
+        if spec.storage != "reference" and (isinstance(entities, DataFrame) or entities):
             found = found.filter(F.col("entity_bucket").isin(bucket_numbers(entities, spec.buckets)))
         stamp = lambda t: F.lit(request_bound(t).isoformat(sep=" ")).cast("timestamp")
         if start is not None:
@@ -220,15 +247,21 @@ class Store:
     def load(self, dataset_id: str, entity=None, variable=None, start=None, end=None, snapshot: str | None = None, include_provenance: bool = False, limit: int | None = None) -> DataFrame:
         """The logical rows of a request, lazily, in key order only if a limit is given.
 
-        start is inclusive, end exclusive, both on time_start; no entities means all. A key of a long dataset that holds
-        none of the chosen variables gives a row of nulls.
+        start is inclusive, end exclusive, both on time_start; no entities means all, and they may be a table with a
+        column entity_id. A key of a long dataset that holds none of the chosen variables gives a row of nulls. Columns
+        bear their unit, and all of them dataset and snapshot, as metadata.
         """
+        return self.result(dataset_id, entity, variable, start, end, snapshot, include_provenance, limit).rows
+
+    def result(self, dataset_id: str, entity=None, variable=None, start=None, end=None, snapshot: str | None = None, include_provenance: bool = False, limit: int | None = None) -> LoadResult:
+        """load() with what was read for it; columns are text, numbers or instants as their declaration says."""
         spec = self.registry.get(dataset_id).require_ready()
         variables, entities = normalized_variables(spec, variable), normalized_entities(entity)
         at = self.live_snapshot(dataset_id, snapshot)
-        stored = request_filter(self.scan(dataset_id, at, self.manifest(dataset_id, at, entities, start, end)), spec, entities, start, end, spec.storage != "reference")
-        view = logical_view(stored, spec, variables, include_provenance)
-        return view if limit is None else ordered(view, spec, limit)
+        fragments = self.manifest(dataset_id, at, entities, start, end)
+        stored = request_filter(self.scan(dataset_id, at, fragments), spec, entities, start, end, spec.storage != "reference")
+        view = typed_output(logical_view(stored, spec, variables, include_provenance), spec, at)
+        return LoadResult(view if limit is None else ordered(view, spec, limit), dataset_id, at, {v: spec.variable(v).unit for v in variables}, fragments, limit)
 
     def collect(self, dataset_id: str, max_rows: int = MAX_ROWS, limit: int | None = None, **request):
         """load() as pandas; refused when its fragments hold more than max_rows rows and no limit is given."""
@@ -338,17 +371,21 @@ class Store:
 
 
 def closure(edges: DataFrame, roots: DataFrame, rounds: int = 1000) -> DataFrame:
-    """(snapshot_id, depth): roots and what they reach from child to parent, each once. Each round adds what is new."""
-    steps = edges.filter("parent_snapshot_id IS NOT NULL").select("snapshot_id", "parent_snapshot_id").distinct()
-    seen = roots.select("snapshot_id", F.lit(0).alias("depth"))
-    last = seen
+    """(snapshot_id, depth): roots and what they reach from child to parent, each once at its least depth.
+
+    Each round joins the newest level to the edges and keeps what no level has. Levels are partitions of one table in the
+    shared folder, so rounds neither lengthen the plan nor pass through the driver.
+    """
+    spark = edges.sparkSession
+    base = shared_path(spark, "closure")
+    read = lambda path: spark.read.schema("snapshot_id string, depth int").option("basePath", base).parquet(path)
+    steps = kept(edges.filter("parent_snapshot_id IS NOT NULL").select("snapshot_id", "parent_snapshot_id").distinct(), "edges")
+    roots.select("snapshot_id").distinct().write.parquet(f"{base}/depth=0")
     for depth in range(1, rounds + 1):
-        new = last.select("snapshot_id").join(steps, "snapshot_id").select(F.col("parent_snapshot_id").alias("snapshot_id")).distinct().join(seen, "snapshot_id", "left_anti")
-        rows = new.collect()  # ancestors of one snapshot: metadata
-        if not rows:
-            return seen
-        last = edges.sparkSession.createDataFrame([(r[0], depth) for r in rows], "snapshot_id string, depth int")
-        seen = seen.unionByName(last)
+        level = read(f"{base}/depth={depth - 1}").select("snapshot_id").join(steps, "snapshot_id").select(F.col("parent_snapshot_id").alias("snapshot_id")).distinct()
+        level.join(read(base).select("snapshot_id"), "snapshot_id", "left_anti").write.parquet(f"{base}/depth={depth}")
+        if read(f"{base}/depth={depth}").isEmpty():
+            return read(base)
     raise RuntimeError("lineage does not end")
 
 
