@@ -145,10 +145,17 @@ def in_polygon(x: Column, y: Column, ring: Column) -> Column:
     return F.aggregate(F.transform(F.sequence(F.lit(0), n - 1), crossed), F.lit(0), lambda s, v: s + v) % 2 == 1
 
 
-def point_zones(points: DataFrame, polygons: DataFrame, key: str, lon: str, lat: str) -> DataFrame:
-    """(key, zone): the name of the polygon (zone, ring) a point lies in, the first by name; null outside of all or without coordinates."""
+def point_zones(points: DataFrame, polygons: DataFrame, key: str, lon: str, lat: str, cell: tuple[float, float] = (1.0, 1.0)) -> DataFrame:
+    """(key, zone): the name of the polygon (zone, ring) a point lies in, the first by name; null outside of all or without coordinates.
+
+    Points and the boxes around polygons are dealt to cells of the given width and height, and meet by equal cells; only
+    the polygons of a point's own cell are tried. A polygon is a row for each cell that its box touches.
+    """
     boxes = polygons.select("zone", "ring", *(f(F.transform("ring", _corner(c))).alias(f"{n}_{c}") for c in ("lon", "lat") for n, f in (("low", F.array_min), ("high", F.array_max))))
-    at = points.select(key, F.col(lon).alias("_lon"), F.col(lat).alias("_lat"))
+    number = lambda c, size: F.floor(c / F.lit(float(size)))
+    for axis, size in zip(("lon", "lat"), cell, strict=True):
+        boxes = boxes.withColumn(f"_cell_{axis}", F.explode(F.sequence(number(F.col(f"low_{axis}"), size), number(F.col(f"high_{axis}"), size))))
+    at = points.select(key, F.col(lon).alias("_lon"), F.col(lat).alias("_lat"), number(F.col(lon), cell[0]).alias("_cell_lon"), number(F.col(lat), cell[1]).alias("_cell_lat"))
     inside = F.col("_lon").between(F.col("low_lon"), F.col("high_lon")) & F.col("_lat").between(F.col("low_lat"), F.col("high_lat"))
-    hits = at.join(F.broadcast(boxes), inside).filter(in_polygon(F.col("_lon"), F.col("_lat"), F.col("ring"))).groupBy(key).agg(F.min("zone").alias("zone"))
+    hits = at.join(boxes, ["_cell_lon", "_cell_lat"]).filter(inside & in_polygon(F.col("_lon"), F.col("_lat"), F.col("ring"))).groupBy(key).agg(F.min("zone").alias("zone"))
     return points.select(key).join(hits, key, "left")

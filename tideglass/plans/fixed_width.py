@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tideglass.functions.scalars import NUMBER, is_calendar_day, parse_number
 from tideglass.functions.station_time import shift_to_utc, with_standard_offsets
-from tideglass.operators.gates import GateError, first_reason
+from tideglass.operators.gates import first_reason
 from tideglass.plans.result import ParseResult, rejection
 from tideglass.spec import DatasetSpec, DeclarationError
 
@@ -239,9 +239,8 @@ def parse_daily(lines: DataFrame, elements: tuple[Element, ...], eras: tuple[Day
 
 def check_zones(zones: DataFrame, overrides: DataFrame | None = None) -> DataFrame:
     """(entity_id, zone): one row a station; declared overrides fill stations that have none and must agree elsewhere."""
-    own = zones.select("entity_id", "zone").filter("zone IS NOT NULL")
-    if twice := own.groupBy("entity_id").count().filter("count > 1").limit(3).collect():
-        raise GateError(f"stations with several zones: {[r[0] for r in twice]}")
+    several = F.raise_error(F.concat(F.lit("a station with several zones: "), F.coalesce("entity_id", F.lit("none")))).cast("string")
+    own = zones.filter("zone IS NOT NULL").groupBy("entity_id").agg(F.when(F.count("*") > 1, several).otherwise(F.min("zone")).alias("zone"))
     if overrides is None:
         return own
     other = overrides.select("entity_id", F.col("zone").alias("declared"))

@@ -59,9 +59,8 @@ def parse_inventory(table: DataFrame, mapping: dict[str, str], numbers: Sequence
         out = out.withColumn(longitude, signed_longitude(F.col(longitude), convention))
     if polygons is not None:
         out = out.join(point_zones(out, polygons, "entity_id", longitude or "longitude", latitude), "entity_id", "left")
-    if bad := out.filter("entity_id IS NULL").limit(1).collect():
-        raise GateError(f"an entity has no id: {bad[0].asDict()}")
-    return out
+    stop = F.raise_error(F.concat(F.lit("an entity has no id: "), F.to_json(F.struct(*(c for c in out.columns if c != "entity_id"))))).cast("string")
+    return out.withColumn("entity_id", F.coalesce("entity_id", stop))
 
 
 def parse_grid(grid: DataFrame, targets: DataFrame, value: str, unit_col: str, unit: str, axes: Sequence[tuple[str, str]], time: str = "time", duration: str = "1 hour", slot: str = "end") -> DataFrame:

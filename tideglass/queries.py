@@ -361,7 +361,7 @@ def point_zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     box = lambda name, a, b, c, d: (name, [(float(a), float(c)), (float(b), float(c)), (float(b), float(d)), (float(a), float(d))])
     polygons = spark.createDataFrame([box("inner", 2.5, 7.5, 0, 4000), box("outer", 10.5, 19.5, -1000.5, 9000)], "zone string, ring array<struct<lon: double, lat: double>>")
     points = table(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_nationkey").cast("double").alias("lon"), F.col("s_acctbal").alias("lat"))
-    return analysis.point_zones(points, polygons, "s_suppkey", "lon", "lat")
+    return analysis.point_zones(points, polygons, "s_suppkey", "lon", "lat", (1.0, 500.0))
 
 
 # clocks and markers

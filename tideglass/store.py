@@ -236,13 +236,21 @@ class Store:
         return found
 
     def scan(self, dataset_id: str, snapshot: str, fragments: DataFrame | None = None) -> DataFrame:
-        """The stored rows of exactly a manifest's fragments, columns united by name."""
-        base = f"{self.root}/data/{dataset_id}"
+        """The stored rows of exactly a manifest's fragments, under the declared columns; those that a fragment lacks are null.
+
+        The declaration is the schema, so no file's footer is read while the plan is built.
+        """
+        base, spec = f"{self.root}/data/{dataset_id}", self.registry.get(dataset_id)
+        parts = [] if spec.storage == "reference" else [("year", "integer"), ("entity_bucket", "integer")]
+        schema = spec.struct_type()
+        for name in LINEAGE:
+            schema = schema.add(name, "string")
+        for name, kind in [("run", "string"), *parts]:
+            schema = schema.add(name, kind)
         rows = (fragments if fragments is not None else self.manifest(dataset_id, snapshot)).select("relative_path").distinct().collect()  # a path a fragment
         if not rows:
-            whole = self.manifest(dataset_id, snapshot).select("relative_path").limit(1).collect()
-            return self.spark.read.option("basePath", base).parquet(*(f"{base}/{r[0]}" for r in whole)).filter(F.lit(False))
-        return self.spark.read.option("basePath", base).option("mergeSchema", True).parquet(*(f"{base}/{r[0]}" for r in rows))
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.option("basePath", base).schema(schema).parquet(*(f"{base}/{r[0]}" for r in rows))
 
     def load(self, dataset_id: str, entity=None, variable=None, start=None, end=None, snapshot: str | None = None, include_provenance: bool = False, limit: int | None = None) -> DataFrame:
         """The logical rows of a request, lazily, in key order only if a limit is given.
