@@ -165,6 +165,69 @@ def test_added_spans_are_found(spark):
     assert sum(bool(found[k]) for k in found if k not in planted) == 0
 
 
+PLANTED = {
+    "email": (["{w}.{w} at {w} dot org", "{w}{n}[at]{w}[dot]com", "{w} (at) {w} (dot) de"], ["we {w} at {w} dot {w}x", "{w} at {w} dot then"]),
+    "ip": (["2001:db8:{h}:{h}:{h}:8a2e:{h}:{h}", "{h}:{h}:{h}:{h}:{h}:{h}:{h}:{h}"], ["{n2}:{n2}:{n2}:{n2}:{n2}:{n2}:{n2}:{n2}"]),
+    "card": (["{card4}"], ["{bad4}"]),
+    "phone": (["call 0{n2} {n3} {n4}", "({n3}) {n3}-{n4}", "phone: {n3} {n3} {n4}"], ["order {n3} {n4} {n4}", "20{n2} {n3} {n4}", "page {n3} {n3} {n4}"]),
+    "id": (["12{d}-{n2}-1{n3}", "{iban}"], ["000-{n2}-{n4}", "{d}{d}{d}-00-{n4}", "{badiban}"]),
+    "secret": (["password = {w}{n2}!", "sk-{tok}"], ["token: abcdef", "password = required", "name some_long_identifier_of_code"]),
+}
+
+
+def test_planted_spans_of_all_kinds(documents):
+    """Spans of all six kinds and noise of their shapes in the corpus's own words: recall and precision of what is selected."""
+    rng = random.Random(21)
+    texts = [r.text for r in documents.collect() if r.text and len(r.text) > 300]
+    select = pii.Selector(*pii.fit(documents))
+    digits = lambda n: "".join(rng.choice("123456789") for _ in range(n))
+
+    def number(good, size=16):
+        body = "4" + digits(size - 2)
+        return next(body + c for c in "0123456789" if pii._luhn(body + c) == good)
+
+    def account(good):
+        body = digits(18)
+        return f"DE{98 - int(body + '131400') % 97 + (0 if good else 1):02}{body}"
+
+    def fill(form):
+        word = lambda: rng.choice([w for w in re.findall("[a-z]{3,9}", rng.choice(texts)) if w not in pii._ENDS] or ["word"])
+        four = lambda n: ".".join(n[k : k + 4] for k in range(0, 16, 4))
+        for key, value in {"{w}": word, "{n}": lambda: digits(1), "{d}": lambda: digits(1), "{n2}": lambda: digits(2), "{n3}": lambda: digits(3), "{n4}": lambda: digits(4), "{h}": lambda: f"{rng.randrange(4096, 65536):x}", "{tok}": lambda: digits(8) + "aBcD" + digits(12), "{card4}": lambda: four(number(True)), "{bad4}": lambda: four(number(False)), "{iban}": lambda: account(True), "{badiban}": lambda: account(False)}.items():
+            while key in form:
+                form = form.replace(key, value(), 1)
+        return form
+
+    for kind, forms in PLANTED.items():
+        hits = {True: 0, False: 0}
+        for good, own in zip((True, False), forms, strict=True):
+            for k in range(200):
+                text, body = rng.choice(texts), fill(own[k % len(own)])
+                at = text.find(" ", rng.randrange(len(text) - 100))
+                whole = f"{text[:at]} {body} {text[at:]}"
+                hits[good] += any(c[1] == kind and not c[4] and c[2] < at + 1 + len(body) and c[3] > at + 1 for c in select([whole])[0])
+        assert hits[True] >= 180 and hits[True] / (hits[True] + hits[False]) >= 0.9, (kind, hits)
+
+
+def test_loose_spans_against_noise(documents):
+    select = pii.Selector(*pii.fit(documents))
+    found = lambda t: [(c[1], t[c[2] : c[3]]) for c in select([t])[0]]
+    for text in ("we met at home dot and", "token: abcdef", "order 123 4567 8901", "2024 1234 5678", "see 000-45-6789", "between 10:20:30:40:50:60:70:80"):
+        assert found(text) == [], text
+    for kind, text in (
+        ("secret", "password = hunter2!"), ("email", "anna at example dot org"), ("ip", "2001:0db8:85a3:0000:0000:8a2e:0370:7334"), ("id", "DE89 3704 0044 0532 0130 00"), ("card", "4111.1111.1111.1111"),
+        ("phone", "030 1234 5678"), ("id", "123-45-6789"), ("card", "3782 822463 10005"),
+    ):
+        assert found(f"call or see {text} there") == [(kind, text)], text
+
+
+def test_thresholds():
+    y, p = np.array([1.0] * 50 + [0.0] * 50), np.concatenate([np.full(50, 0.9), np.full(50, 0.2)])
+    assert 0.2 < pii.threshold(p, y) < 0.9
+    assert pii.threshold(p[:50], y[:50]) == 0.5 and pii.threshold(p[:0], y[:0]) == 0.5
+    assert pii.threshold(np.full(100, 0.5), y) > 0.5  # what can't be told apart is left alone
+
+
 def test_long_texts_take_linear_time():
     for t in ("1" * 300_000, "a" * 300_000, "a@" * 50_000, "1.2." * 50_000, "+1(" * 50_000):
         list(pii.base_candidates(t))
