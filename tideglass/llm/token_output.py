@@ -1,10 +1,10 @@
 """Token ids as binary files under a canonical length-limited Huffman code.
 
-Documents are dealt to ascending ranges of their ids (parts), encoded, and kept once as blocks of plain ids. The ids of
-all blocks are counted by one grouped sum; at most one row for each id of the vocabulary comes to the driver, and the
-code lengths that follow make the codebook. Then each block is coded on its own: the bits of BLOCK_IDS ids at most, and
-its bit offset at every EVERY-th id. Decoding needs a block and the codebook alone; it looks words up in a table and
-goes on from all checkpoints of a block at once.
+Texts are encoded where they lie and kept once as plain ids, two bytes each if the vocabulary allows. Their counts are one
+grouped sum; at most one row for each id of the vocabulary comes to the driver, and the code lengths that follow make the
+codebook. Then documents' ids, not their texts, are dealt to ascending ranges of doc_id (parts) and coded in blocks: the
+bits of BLOCK_IDS ids at most, and its bit offset at every EVERY-th id. Decoding needs a block and the codebook alone; it
+looks words up in a table and goes on from all checkpoints of a block at once.
 
 Format of a directory: `codebook` (id, bits), and `blocks` in one folder a part, with block, n_ids, payload, checkpoints
 and docs: for each document in the block its doc_id, its rank in the part, the ids of the part before it, all its ids,
@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideglass.llm.bpe import TextEncoder
+from tideglass.llm.bpe import TextEncoder, Vocabulary
 from tideglass.llm.bpe_codec import in_batches
 from tideglass.llm.common import drop_written, new_path, small_batches, written
 from tideglass.llm.huffman import LIMIT, Codec, code_lengths
@@ -30,55 +30,67 @@ EVERY = 512
 _DOC = ["doc_id", "rank", "before", "n_tokens", "done", "here"]
 _DOCS = pa.list_(pa.struct([(k, pa.int64()) for k in _DOC]))
 _DOCS_SQL = f"docs array<struct<{', '.join(f'{k}: long' for k in _DOC)}>>"
-_RAW = {"part": pa.int64(), "block": pa.int64(), "ids": pa.binary(), "docs": _DOCS}
 _CODED = {"part": pa.int64(), "block": pa.int64(), "n_ids": pa.int64(), "payload": pa.binary(), "checkpoints": pa.list_(pa.int64()), "docs": _DOCS}
 
 
-def raw_blocks(docs: DataFrame, path: str, end_id: int = END_ID, block_ids: int = BLOCK_IDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Blocks of plain 32-bit ids in ascending doc_id order; only a document longer than a block runs over several."""
-    tail = end_id.to_bytes(4, "little")
+def plain_ids(docs: DataFrame, path: str, kind: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, ids): each text's ids with end_id behind them, as integers of the given kind; null counts as empty."""
+    tail = np.array([end_id], kind).tobytes()
 
     def run(batches):
-        encoder, part = TextEncoder.of(path), TaskContext.get().partitionId()
+        encoder = TextEncoder.of(path)
 
         def rows():
-            block = rank = before = size = 0
-            raw, inside = [], []
             for b in batches:
                 texts = (t.as_py() or "" for t in b.column(1))
                 for doc, ids in zip(b.column(0).to_pylist(), encoder.encode_each(texts), strict=True):
-                    ids += tail
-                    n, at = len(ids) // 4, 0
-                    if size and size + n > block_ids:
-                        yield 4 * size, (part, block, b"".join(raw), inside)
-                        block, size, raw, inside = block + 1, 0, [], []
-                    while at < n:
-                        here = min(n - at, block_ids - size)
-                        raw.append(ids[4 * at : 4 * (at + here)])
-                        inside.append(dict(zip(_DOC, (doc, rank, before, n, at, here), strict=True)))
-                        at, size = at + here, size + here
-                        if size == block_ids:
-                            yield 4 * size, (part, block, b"".join(raw), inside)
-                            block, size, raw, inside = block + 1, 0, [], []
-                    rank, before = rank + 1, before + n
-            if size:
-                yield 4 * size, (part, block, b"".join(raw), inside)
-
-        yield from in_batches(rows(), _RAW)
-
-    kept = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(run, f"part long, block long, ids binary, {_DOCS_SQL}")
-
-
-def _count(batches):
-    n = np.zeros(0, np.int64)
-    for b in batches:
-        for ids in b.column(0):
-            own = np.bincount(np.frombuffer(ids.as_buffer(), "<u4"), minlength=len(n))
+                    own = np.frombuffer(ids, "<u4").astype(kind).tobytes() + tail
+                    yield len(own) + 8, (doc, own)
+
+        yield from in_batches(rows(), {"doc_id": pa.int64(), "ids": pa.binary()})
+
+    rows = small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(run, "doc_id long, ids binary")
+
+
+def _blocks(rows, size_of: int, block_ids: int):
+    """(block, ids, documents inside) from (doc_id, ids) in order; only a document longer than a block runs over several."""
+    block = rank = before = size = 0
+    raw, inside = [], []
+    for doc, ids in rows:
+        n, at = len(ids) // size_of, 0
+        if size and size + n > block_ids:
+            yield block, b"".join(raw), inside
+            block, size, raw, inside = block + 1, 0, [], []
+        while at < n:
+            here = min(n - at, block_ids - size)
+            raw.append(ids[size_of * at : size_of * (at + here)])
+            inside.append(dict(zip(_DOC, (doc, rank, before, n, at, here), strict=True)))
+            at, size = at + here, size + here
+            if size == block_ids:
+                yield block, b"".join(raw), inside
+                block, size, raw, inside = block + 1, 0, [], []
+        rank, before = rank + 1, before + n
+    if size:
+        yield block, b"".join(raw), inside
+
+
+def id_counts(ids: DataFrame, kind: str) -> np.ndarray:
+    """How often each id occurs in (doc_id, ids)."""
+
+    def count(batches):
+        n = np.zeros(0, np.int64)
+        for b in batches:
+            own = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), kind), minlength=len(n))
             own[: len(n)] += n
             n = own
-    used = np.flatnonzero(n)
-    yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(n[used], pa.int64())], ["id", "n"])
+        used = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(n[used], pa.int64())], ["id", "n"])
+
+    counts = ids.select("ids").mapInArrow(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # a row an id
+    n = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
+    n[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
+    return n
 
 
 def write_token_files(docs: DataFrame, path: str, out: str, limit: int = LIMIT, end_id: int = END_ID, block_ids: int = BLOCK_IDS, every: int = EVERY, id_col: str = "doc_id", text_col: str = "text") -> None:
@@ -88,27 +100,27 @@ def write_token_files(docs: DataFrame, path: str, out: str, limit: int = LIMIT,
     stand next to each other. An empty table gives files without rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    kept = written(raw_blocks(docs, path, end_id, block_ids, id_col, text_col), "ids", "zstd")
-    counts = kept.select("ids").mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
-    n = np.zeros(int(counts["id"].max()) + 1 if len(counts) else 1, np.int64)
-    n[counts["id"].to_numpy(np.int64)] = counts["n"].to_numpy(np.int64)
-    lengths = code_lengths(n, limit)
+    kind = "<u2" if max(len(Vocabulary(path).of_id), end_id + 1) <= 1 << 16 else "<u4"
+    kept = written(plain_ids(docs, path, kind, end_id, id_col, text_col), "ids", "zstd")
+    lengths = code_lengths(id_counts(kept, kind), limit)
     book = [(int(k), int(lengths[k])) for k in np.flatnonzero(lengths)]
     spark.createDataFrame(book, "id long, bits int").coalesce(1).write.parquet(f"{out}/codebook")
+    width = np.dtype(kind).itemsize
 
     def encode(batches):
-        codec = Codec(lengths)
+        codec, part = Codec(lengths), TaskContext.get().partitionId()
+        documents = ((doc, ids.as_py()) for b in batches for doc, ids in zip(b.column(0).to_pylist(), b.column(1), strict=True))
 
         def rows():
-            for b in batches:
-                for part, block, ids, inside in zip(*(b.column(k) for k in range(4)), strict=True):
-                    own = np.frombuffer(ids.as_buffer(), "<u4")
-                    payload, offsets = codec.pack(own, every)
-                    yield len(payload) + 8 * len(offsets) + 48 * len(inside), (part.as_py(), block.as_py(), len(own), payload, offsets, inside.as_py())
+            for block, ids, inside in _blocks(documents, width, block_ids):
+                own = np.frombuffer(ids, kind).astype("<u4")
+                payload, offsets = codec.pack(own, every)
+                yield len(payload) + 8 * len(offsets) + 48 * len(inside), (part, block, len(own), payload, offsets, inside)
 
         yield from in_batches(rows(), _CODED)
 
-    coded = kept.mapInArrow(encode, f"part long, block long, n_ids long, payload binary, checkpoints array<long>, {_DOCS_SQL}")
+    ordered = kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    coded = ordered.mapInArrow(encode, f"part long, block long, n_ids long, payload binary, checkpoints array<long>, {_DOCS_SQL}")
     coded.write.partitionBy("part").option("compression", "none").parquet(f"{out}/blocks")
     drop_written(kept)
 
