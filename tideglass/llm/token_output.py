@@ -119,8 +119,10 @@ def write_token_files(docs: DataFrame, path: str, out: str, limit: int = LIMIT,
 
         yield from in_batches(rows(), _CODED)
 
-    ordered = kept.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    coded = ordered.mapInArrow(encode, f"part long, block long, n_ids long, payload binary, checkpoints array<long>, {_DOCS_SQL}")
+    # rows that share an id may be dealt to several parts
+    placed = kept.withColumn("place", F.xxhash64(F.monotonically_increasing_id()))
+    ordered = placed.repartitionByRange("doc_id", "place").sortWithinPartitions("doc_id", "place")
+    coded = ordered.select("doc_id", "ids").mapInArrow(encode, f"part long, block long, n_ids long, payload binary, checkpoints array<long>, {_DOCS_SQL}")
     coded.write.partitionBy("part").option("compression", "none").parquet(f"{out}/blocks")
     drop_written(kept)
 
