@@ -92,6 +92,37 @@ def luhn(d):
     return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
 
 
+def test_notices_seen_in_the_wild(spark):
+    gpl = "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+    cases = [
+        (gpl.format(2), "GPL-2.0"), (gpl.format(3), "GPL-3.0"), (gpl.format(3).replace("GNU General", "GNU Affero General"), "AGPL-3.0"), ("This project is licensed under the MIT License - see the LICENSE file for details", "MIT"),
+        ("Licensed under the Apache License 2.0", "Apache-2.0"), ("Copyright (c) 2020 X, all rights reserved", "proprietary"), ("// SPDX-License-Identifier: GPL-2.0-or-later", "GPL-2.0"), ("SPDX-License-Identifier: MIT", "MIT"),
+        ("a line whose words go on before it and then released under the MIT License and go on behind it", "MIT"), ("the rights of a project that nobody reserved", ""), ("licensed to nobody", ""),
+    ]
+    found = {r.doc_id: r.licenses for r in license_scan.license_table(spark.createDataFrame([(k, t) for k, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()}
+    assert [found[k] for k in range(len(cases))] == [wanted for _, wanted in cases]
+
+
+def test_planted_notices(spark, documents):
+    """Each template set into a line of the corpus, with a few words lost: recall of its licence, and what else is found."""
+    rng = random.Random(3)
+    lines = [x for r in documents.collect() for x in (r.text or "").split("\n") if 200 < len(x) < 2000]
+    clean = [r.doc_id for r in license_scan.license_table(spark.createDataFrame([*enumerate(lines)], "doc_id long, text string")).collect() if not r.n_matches]
+    rows, wanted = [], {}
+    for k in range(3 * len(license_scan.TEMPLATES)):
+        name, notice = license_scan.TEMPLATES[k % len(license_scan.TEMPLATES)]
+        words = notice.split(" ")
+        if len(words) > 20:
+            del words[rng.randrange(len(words))]
+        line = lines[rng.choice(clean)]
+        at = line.find(" ", rng.randrange(len(line) // 2))
+        rows.append((k, f"{line[:at]} {' '.join(words)} {line[at:].lstrip()}"))
+        wanted[k] = name
+    found = {r.doc_id: r.licenses.split(",") if r.licenses else [] for r in license_scan.license_table(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(wanted[k] in found[k] for k in wanted) >= 0.9 * len(wanted)
+    assert sum(len(set(found[k]) - {wanted[k]}) for k in wanted) <= 0.1 * len(wanted)
+
+
 def plain_spans(t):
     digits = lambda m: re.sub("[^0-9]", "", m.group())
     out = [("email", *m.span()) for m in EMAIL.finditer(t)]
