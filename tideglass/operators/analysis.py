@@ -42,6 +42,55 @@ def value_profile(df: DataFrame, by: str, value: str, quantiles: Sequence[float]
     return whole.join(wide, F.col(by).eqNullSafe(F.col("_by"))).drop("_by")
 
 
+def counts_where(df: DataFrame, by: Sequence[str], conditions: dict[str, Column], value: str | None = None) -> DataFrame:
+    """Per group (or over all rows): n, how many rows meet each named condition, and of a value how many, the least and the most.
+
+    A condition that is null counts as not met. One pass, summed before the shuffle.
+    """
+    made = [F.count("*").alias("n"), *(F.count_if(F.coalesce(c, F.lit(False))).alias(name) for name, c in conditions.items())]
+    if value is not None:
+        made += [F.count(value).alias("n_values"), F.min(value).alias("least"), F.max(value).alias("most")]
+    return df.groupBy(*by).agg(*made)
+
+
+def cardinalities(df: DataFrame, entity: str, keys: Sequence[str]) -> DataFrame:
+    """One row: n_rows, n_entities, n_keys. Rows with a null in a key count in n_rows alone.
+
+    Keys are made distinct first and counted by entity, so no task sees them all.
+    """
+    distinct = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    whole = F.when(F.forall(F.array(*(F.col(k).isNotNull() for k in keys)), lambda x: x), F.lit(1)).otherwise(0)
+    by_entity = distinct.groupBy(entity).agg(F.sum("_rows").alias("_rows"), F.sum(whole).alias("_keys"))
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return by_entity.agg(n("_rows").alias("n_rows"), F.count(entity).alias("n_entities"), n("_keys").alias("n_keys"))
+
+
+def enriched(rows: DataFrame, inventory: DataFrame, key: str, attributes: Sequence[str]) -> DataFrame:
+    """rows with the attributes of their entity; null where the inventory lacks it. An inventory that has a key twice ends the job."""
+    twice = F.raise_error(F.concat(F.lit(f"{key} occurs twice in the inventory: "), F.col(key).cast("string"))).cast("boolean")
+    once = inventory.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_n"), *(F.first(a).alias(a) for a in attributes))
+    checked = once.filter(F.when(F.col("_n") == 1, True).otherwise(twice)).drop("_n")
+    return rows.join(checked.withColumnRenamed(key, "_key"), F.col(key) == F.col("_key"), "left").drop("_key")
+
+
+def newest(df: DataFrame, by: str, at: str, columns: Sequence[str]) -> DataFrame:
+    """(by, columns) of each group's latest row, of equally late ones the greatest; one aggregation, no sort."""
+    last = df.groupBy(by).agg(F.max(F.struct(at, *columns)).alias("_last"))
+    return last.select(by, *(F.col(f"_last.{c}").alias(c) for c in columns))
+
+
+def record_summary(entities: DataFrame, records: DataFrame, key: str, conditions: dict[str, Column]) -> DataFrame:
+    """One row: entities, those with a record that meets each condition, and those without any record."""
+    flags = records.groupBy(F.col(key).alias("_key")).agg(*(F.coalesce(F.bool_or(c), F.lit(False)).alias(f"_{name}") for name, c in conditions.items()))
+    rows = entities.join(flags, F.col(key) == F.col("_key"), "left")
+    return rows.agg(F.count("*").alias("n"), *(F.count_if(F.coalesce(f"_{name}", F.lit(False))).alias(name) for name in conditions), F.count_if(F.col("_key").isNull()).alias("without_any"))
+
+
+def leading(counted: DataFrame, count: str, name: str, most: int) -> DataFrame:
+    """The groups of the greatest counts, ties by name: a report of a stated length."""
+    return counted.orderBy(F.col(count).desc(), name).limit(most)
+
+
 def coverage(df: DataFrame, time: str, by: Sequence[str], value: str, period: str = "year") -> DataFrame:
     """Per group and period: all rows and non-null values."""
     return df.groupBy(*by, F.date_trunc(period, time).alias("period")).agg(F.count("*").alias("n_rows"), F.count(value).alias("n_values"))

@@ -165,9 +165,8 @@ def flag_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM events GROUP BY event_type""")
 def conditional_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = F.col("value")
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(
-        F.count_if(value < 1).alias("calm"), F.count_if(value.isNull()).alias("missing"), F.count_if(value >= 100).alias("high"), F.count("value").alias("n_values"), F.min("value").alias("least"), F.max("value").alias("most")
-    )
+    found = analysis.counts_where(table(spark, sf_dir, "events"), ["event_type"], {"calm": value < 1, "missing": value.isNull(), "high": value >= 100}, "value")
+    return found.drop("n")
 
 
 @query("SELECT event_type, count(value) AS n, min(value) AS least, max(value) AS most, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.9) AS p90, quantile_cont(value, 0.99) AS p99 FROM events GROUP BY 1")
@@ -183,24 +182,25 @@ def coverage_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_EV} SELECT count(*) AS n_rows, count(DISTINCT entity_id) AS n_entities, count(DISTINCT (entity_id, time_start, time_end, variable)) AS n_keys FROM ev")
 def entity_cardinality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return events_long(spark, sf_dir).agg(F.count("*").alias("n_rows"), F.count_distinct("entity_id").alias("n_entities"), F.count_distinct(*EVENTS.key_columns).alias("n_keys"))
+    return analysis.cardinalities(events_long(spark, sf_dir), "entity_id", EVENTS.key_columns)
 
 
 @query("""SELECT n_name, count(*) AS n, count(*) FILTER (c_acctbal < 0) AS overdrawn, count(*) FILTER (c_mktsegment = 'MACHINERY') AS machinery FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""")
 def attribute_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entities by an attribute of the inventory."""
-    rows = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    return rows.groupBy("n_name").agg(F.count("*").alias("n"), F.count_if(F.col("c_acctbal") < 0).alias("overdrawn"), F.count_if(F.col("c_mktsegment") == "MACHINERY").alias("machinery"))
+    nations = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
+    rows = analysis.enriched(table(spark, sf_dir, "customer"), nations, "c_nationkey", ["n_name"])
+    return analysis.counts_where(rows, ["n_name"], {"overdrawn": F.col("c_acctbal") < 0, "machinery": F.col("c_mktsegment") == "MACHINERY"})
 
 
 @query("SELECT n_name, count(*) AS n FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1 ORDER BY n DESC, n_name LIMIT 5")
 def top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attribute_profile(spark, sf_dir).select("n_name", "n").orderBy(F.col("n").desc(), "n_name").limit(5)
+    return analysis.leading(attribute_profile(spark, sf_dir).select("n_name", "n"), "n", "n_name", 5)
 
 
 @query("SELECT o_orderstatus AS state, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY ALL")
 def state_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("state"), F.col("o_orderpriority").alias("priority")).agg(F.count("*").alias("n"))
+    return analysis.counts_where(table(spark, sf_dir, "orders").withColumnsRenamed({"o_orderstatus": "state", "o_orderpriority": "priority"}), ["state", "priority"], {})
 
 
 @query("""SELECT n_name, count(DISTINCT o_orderkey) FILTER (o_orderstatus = 'F') AS committed, count(DISTINCT o_orderkey) FILTER (o_orderstatus = 'O') AS superseded
@@ -308,8 +308,11 @@ def source_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT r_name, n_name, count(*) AS n, count(*) FILTER (s_acctbal > 0) AS solvent FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY ALL""")
 def station_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")).join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    return rows.groupBy("r_name", "n_name").agg(F.count("*").alias("n"), F.count_if(F.col("s_acctbal") > 0).alias("solvent"))
+    """Counts of stations by two levels of their inventory."""
+    regions = table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("n_regionkey"), "r_name")
+    nations = analysis.enriched(table(spark, sf_dir, "nation"), regions, "n_regionkey", ["r_name"]).select(F.col("n_nationkey").alias("s_nationkey"), "n_name", "r_name")
+    rows = analysis.enriched(table(spark, sf_dir, "supplier"), nations, "s_nationkey", ["n_name", "r_name"])
+    return analysis.counts_where(rows, ["r_name", "n_name"], {"solvent": F.col("s_acctbal") > 0})
 
 
 @query("SELECT c_custkey FROM customer ANTI JOIN orders ON o_custkey = c_custkey")
@@ -321,9 +324,8 @@ def anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     count(*) FILTER (NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)) AS without_any FROM customer""")
 def code_record_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Existence counts: entities with an open record, and without any."""
-    flags = table(spark, sf_dir, "orders").groupBy("o_custkey").agg((F.count_if(F.col("o_orderstatus") == "P") > 0).alias("open"))
-    rows = table(spark, sf_dir, "customer").join(flags, F.col("c_custkey") == F.col("o_custkey"), "left")
-    return rows.agg(F.count("*").alias("n"), F.count_if(F.coalesce("open", F.lit(False))).alias("with_open"), F.count_if(F.col("o_custkey").isNull()).alias("without_any"))
+    entities = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return analysis.record_summary(entities, table(spark, sf_dir, "orders"), "o_custkey", {"with_open": F.col("o_orderstatus") == "P"})
 
 
 @query("""WITH c AS (SELECT o_custkey, year(o_orderdate) AS y, count(*) AS matched FROM orders GROUP BY ALL), p AS (SELECT o_custkey, year(o_orderdate) AS y, count(*) AS n_rows FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL)
@@ -619,7 +621,7 @@ def preferred_alias(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT o_custkey, max(o_orderkey) AS o_orderkey FROM (SELECT o_custkey, o_orderkey, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS r FROM orders) WHERE r = 1 GROUP BY 1")
 def live_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The newest record of each entity."""
-    return table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.max(F.struct("o_orderdate", "o_orderkey"))["o_orderkey"].alias("o_orderkey"))
+    return analysis.newest(table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate", ["o_orderkey"])
 
 
 @query("SELECT o_orderkey, o_totalprice, NULL::VARCHAR AS note FROM orders WHERE year(o_orderdate) < 1998 UNION ALL SELECT o_orderkey, NULL, o_orderpriority FROM orders WHERE year(o_orderdate) >= 1998")
