@@ -64,6 +64,42 @@ def _letters() -> np.ndarray:
 _tables: list[np.ndarray] = []
 
 
+class Cut:
+    """The lower-cased words of a batch of texts: where they stand in its bytes, and the text of each."""
+
+    def __init__(self, texts: list[str]):
+        if not _tables:
+            _tables.append(_letters())
+        low = [t.lower() for t in texts]
+        joined = "\0".join(low) + "\0"
+        self.data = joined.encode("utf-8", "surrogatepass") + bytes(16)
+        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        inside = np.zeros(len(chars) + 1, np.int8)
+        inside[:-1] = _tables[0][chars]
+        turn = np.diff(inside, prepend=np.int8(0))
+        begin, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
+        edges = np.cumsum(np.fromiter(map(len, low), np.int64, len(low)) + 1) - 1
+        self.of_word = np.searchsorted(edges, begin)
+        if len(self.data) != len(joined) + 16:
+            place = np.zeros(len(chars) + 1, np.int64)
+            np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000), out=place[1:])
+            begin, end = place[begin], place[end]
+        self.at, self.sizes = begin, end - begin
+
+    def lists(self, known: WordTable, of_one) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers that of_one gives for each word, in a row, the text of each); known remembers them."""
+
+        def learn(at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            made = [of_one(self.data[a : a + n].decode("utf-8", "surrogatepass")) for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
+            return np.array([k for m in made for k in m], np.int32), np.array([len(m) for m in made], np.int64)
+
+        room = known.room
+        parts = [known.lists(self.data, self.at[k : k + room], self.sizes[k : k + room], learn) for k in range(0, len(self.at), room)]
+        if not parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([p[0] for p in parts]).astype(np.int64), np.repeat(self.of_word, np.concatenate([p[1] for p in parts]))
+
+
 class Found:
     """What a batch of texts holds: the number of words of each text, and the marks in a row with the text of each."""
 
@@ -87,8 +123,6 @@ class Marker:
         self.index = {int(c): k for k, c in enumerate(chosen)}
         self.group = np.array([(int(c) * 2654435761 >> 7) % _GROUPS for c in chosen], np.int64)
         self.known = WordTable(_WORD_CACHE)
-        if not _tables:
-            _tables.append(_letters())
 
     def _of(self, word: str) -> list[int]:
         """The numbers of a word's marks; an insult has the number behind the last besides."""
@@ -97,32 +131,10 @@ class Marker:
 
     def find(self, texts: list[str]) -> tuple[Found, np.ndarray]:
         """What texts hold of marks, and each text's number of insults."""
-        low = [t.lower() for t in texts]
-        joined = "\0".join(low) + "\0"
-        data = joined.encode("utf-8", "surrogatepass") + bytes(16)
-        chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
-        inside = np.zeros(len(chars) + 1, np.int8)
-        inside[:-1] = _tables[0][chars]
-        turn = np.diff(inside, prepend=np.int8(0))
-        begin, end = np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)
-        edges = np.cumsum(np.fromiter(map(len, low), np.int64, len(low)) + 1) - 1
-        of_word = np.searchsorted(edges, begin)
-        if len(data) != len(joined) + 16:
-            place = np.zeros(len(chars) + 1, np.int64)
-            np.cumsum(1 + (chars >= 0x80) + (chars >= 0x800) + (chars >= 0x10000), out=place[1:])
-            begin, end = place[begin], place[end]
-
-        def learn(at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-            made = [self._of(data[a : a + n].decode("utf-8", "surrogatepass")) for a, n in zip(at.tolist(), sizes.tolist(), strict=True)]
-            return np.array([k for m in made for k in m], np.int32), np.array([len(m) for m in made], np.int64)
-
-        room, parts = self.known.room, []
-        for k in range(0, len(begin), room):
-            parts.append(self.known.lists(data, begin[k : k + room], (end - begin)[k : k + room], learn))
-        hits = np.concatenate([p[0] for p in parts]).astype(np.int64) if parts else np.zeros(0, np.int64)
-        of = np.repeat(of_word, np.concatenate([p[1] for p in parts])) if parts else hits
+        cut = Cut(texts)
+        hits, of = cut.lists(self.known, self._of)
         rude = hits == len(self.index)
-        return Found(np.bincount(of_word, minlength=len(texts)), of[~rude], hits[~rude]), np.bincount(of[rude], minlength=len(texts))
+        return Found(np.bincount(cut.of_word, minlength=len(texts)), of[~rude], hits[~rude]), np.bincount(of[rude], minlength=len(texts))
 
     def density(self, found: Found) -> np.ndarray:
         """Each group's marks as a share of the words, for each text."""
@@ -182,12 +194,16 @@ def choose_marks(sample: DataFrame, marks: int = MARKS, judge=None) -> np.ndarra
     """
 
     def count(batches):
-        n, sizes, chance = np.zeros((2, 1 << _BITS), np.int64), np.zeros(2, np.int64), judge and judge()
+        n, sizes, chance, known = np.zeros((2, 1 << _BITS), np.int64), np.zeros(2, np.int64), judge and judge(), WordTable(_WORD_CACHE)
         for labels, texts in _groups(batches, 1):
-            for toxic, text in zip(chance(texts).tolist() if chance else [y * _UNITS for y in labels], texts, strict=True):
-                sizes += (_UNITS - toxic, toxic)
-                found = {m for w in set(_WORD.findall(text.lower())) for m in marks_of(w)}
-                n[:, list(found)] += np.array([[_UNITS - toxic], [toxic]])
+            toxic = chance(texts) if chance else np.array(labels, np.int64) * _UNITS
+            sizes += (_UNITS * len(texts) - toxic.sum(), toxic.sum())
+            hits, of = Cut(texts).lists(known, marks_of)
+            both = np.unique(of << _BITS | hits)  # a mark counts once a text
+            mark, place = np.unique(both & ((1 << _BITS) - 1), return_inverse=True)
+            own = toxic[both >> _BITS]
+            n[0, mark] += np.bincount(place, _UNITS - own, len(mark)).astype(np.int64)
+            n[1, mark] += np.bincount(place, own, len(mark)).astype(np.int64)
         used = np.flatnonzero(n.any(axis=0))
         # mark -1 counts the documents
         yield pa.RecordBatch.from_arrays([pa.array([-1, *used], pa.int64()), *(pa.array([size, *own], pa.int64()) for size, own in zip(sizes, n[:, used], strict=True))], ["mark", "clean", "toxic"])
