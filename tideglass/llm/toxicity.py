@@ -258,7 +258,9 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = M
     # the rows of lowest hash: 2 * sample rows at most, so they may be broadcast
     one = lambda y: known.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     picked = written(one(0).unionByName(one(1)), "picked")
-    taken = written(rows.join(F.broadcast(picked), "doc_id"), "sample")
+    # samples are dealt anew: of a large table each task gives few rows of them, of a small one a single task may give all
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    taken = written(rows.join(F.broadcast(picked), "doc_id").repartition(tasks), "sample")
     voting = choose_marks(taken, marks)
     cuts = choose_cuts(taken, voting)
 
@@ -289,7 +291,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = M
         marker = Marker(voting, cuts)
         return lambda texts: np.array([chance[v] for v in marker.votes(texts).tolist()], np.int64)
 
-    judged = written(rows.join(F.broadcast(used), "doc_id").select(F.lit(0).alias("toxic"), "doc_id", "text"), "judged")
+    judged = written(rows.join(F.broadcast(used), "doc_id").select(F.lit(0).alias("toxic"), "doc_id", "text").repartition(tasks), "judged")
     chosen = choose_marks(judged, marks, judge)
 
     def sparse(batches):
