@@ -71,3 +71,19 @@ def test_drawn_documents(spark, documents, sf_dir):
     drawn = draw_documents(documents, target)
     assert drawn.columns == documents.columns and {r.doc_id for r in drawn.collect()} == ids
     assert draw_documents(documents, target, percent=0).count() == 0
+
+
+def test_equals_sql(spark, sf_dir):
+    """The registered queries of this round against their SQL."""
+    duckdb = pytest.importorskip("duckdb")
+    from tideglass.llm import queries
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
+    for name in ("op11_importance_resampling", "op13_vector_codes"):
+        made = queries.queries()[name](spark, sf_dir)
+        columns = sorted(made.columns)
+        wanted = con.sql(queries.oracle_sql()[name])
+        assert sorted(wanted.columns) == columns
+        assert sorted(map(str, (tuple(r) for r in made.select(*columns).collect()))) == sorted(map(str, wanted.select(*columns).fetchall()))

@@ -34,7 +34,9 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
     They equal those of the library that the vocabulary file belongs to, without added special tokens; the strings of
     special tokens in a text give their ids. A null text counts as empty and gives no ids, one row for each row of docs.
-    Workers remember a bounded number of distinct pieces; batches and long texts are worked on in bounded blocks.
+    Workers remember a bounded number of distinct pieces; batches are worked on in bounded groups, and long texts in blocks
+    that end at a blank: a stretch without any is one block. Null and repeated ids each give their row; other columns are
+    not read. An empty table gives an empty result.
     """
 
     def run(batches):
@@ -52,7 +54,10 @@ def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_co
 
 
 def decode_documents(tokens: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, text): tokens with the text that its ids stand for, special tokens included; broken UTF-8 is replaced."""
+    """(doc_id, ids, text): tokens with the text that its ids stand for, special tokens included; broken UTF-8 is replaced.
+
+    Null ids give an empty text. Rows may repeat and the table be empty; other columns are left out.
+    """
 
     def run(batches):
         vocabulary = Vocabulary(path)
@@ -69,7 +74,11 @@ def decode_documents(tokens: DataFrame, path: str) -> DataFrame:
 
 
 def token_digests(docs: DataFrame, path: str) -> DataFrame:
-    """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256, after encoding and decoding back."""
+    """Per row of docs: doc_id, n_tokens, ids_sha256, decoded_sha256, after encoding and decoding back.
+
+    Null and empty texts have no ids and an empty decoded text; null and repeated ids each keep their row; other columns
+    are not read. An empty table gives an empty result.
+    """
     return decode_documents(encode_documents(docs, path), path).select(
         "doc_id", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
     )

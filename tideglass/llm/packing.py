@@ -45,7 +45,11 @@ def cut(n: int, capacity: int, lengths: list[int]) -> list[int]:
 
 
 def pieces_of(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The pieces of all documents with their class and their number within class and task."""
+    """The pieces of all documents with their class and their number within class and task.
+
+    A null or empty text is the end id alone; null and repeated ids each give their pieces; other columns are not read. An
+    empty table gives no pieces.
+    """
     lengths = reciprocal_lengths(capacity)
 
     def run(batches):
@@ -125,6 +129,9 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
 
 
 def sequences(pieces: DataFrame) -> DataFrame:
-    """(sequence_id, ids, length): the token ids of each sequence, from pieces packed with their ids."""
+    """(sequence_id, ids, length): the token ids of each sequence, from pieces packed with their ids.
+
+    Pieces of null and repeated doc_ids count like any; no pieces give no sequences.
+    """
     inside = F.sort_array(F.collect_list(F.struct("offset", "ids")))  # at most capacity tokens
     return pieces.groupBy("sequence_id").agg(F.sum("length").alias("length"), inside.alias("p")).select("sequence_id", F.expr("aggregate(p, cast('' as binary), (a, x) -> concat(a, x.ids))").alias("ids"), "length")

@@ -432,7 +432,8 @@ def find_spans(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", te
 def redact(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with each span of its texts replaced by its kind in angle brackets; all columns stay as they are otherwise.
 
-    Overlapping spans are replaced as one, under the first one's kind. A null text stays null.
+    Overlapping spans are replaced as one, under the first one's kind. A null text stays null, an empty one empty. Null and
+    repeated ids, and further columns of any name, stay as they are; an empty table gives an empty result.
     """
     select = Selector(*fit(docs, sample, id_col, text_col))
 
@@ -460,7 +461,11 @@ def span_text(spans: Column) -> Column:
 
 
 def span_digests(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans."""
+    """Per row of docs: doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans.
+
+    Null and empty texts have none, and the digest of nothing; null and repeated ids each keep their row; other columns
+    are not read. An empty table gives an empty result.
+    """
     base = F.filter("spans", lambda s: s["base"])
     count = lambda kind: F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return find_spans(docs).withColumn("base_spans", base).select("doc_id", *map(count, BASE), F.sha2(span_text(F.col("base_spans")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))

@@ -62,7 +62,10 @@ def fingerprint(text: str | None, width: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """(doc_id, fp): fp as a signed long. Null texts count as empty; empty ones have fingerprint 0."""
+    """(doc_id, fp): fp as a signed long. Null texts count as empty; empty ones have fingerprint 0.
+
+    One row for each row of docs, null and repeated ids included; other columns are not read; an empty table gives none.
+    """
 
     def run(batches):
         for b in batches:

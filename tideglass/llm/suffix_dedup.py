@@ -254,7 +254,11 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def repeated_spans(rows: DataFrame, size: int = SIZE, gram: int = GRAM, step: int = STEP) -> DataFrame:
-    """(doc, start, end): stretches of rows (doc, body) whose strings of `size` bytes all start earlier as well."""
+    """(doc, start, end): stretches of rows (doc, body) whose strings of `size` bytes all start earlier as well.
+
+    doc tells which row comes first and is no null; bodies shorter than `size`, empty and null ones have no stretches,
+    nor has an empty table. Other columns are not read.
+    """
     rows, found = rows.select("doc", "body"), []
     items = rows.mapInArrow(_first_level(size, gram), _ITEM)
     for level, part in enumerate((step, 1, 0)):
@@ -302,7 +306,11 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, step: in
 
 
 def repeat_digests(docs: DataFrame) -> DataFrame:
-    """Per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256."""
+    """Per row of docs: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
+
+    Null and empty texts have no bytes; other columns are not read; nulls and repeats among ids are treated as
+    remove_repeats says. An empty table gives an empty result.
+    """
     return remove_repeats(docs).select(
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )

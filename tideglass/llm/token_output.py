@@ -128,7 +128,11 @@ def write_token_files(docs: DataFrame, path: str, out: str, limit: int = LIMIT,
 
 
 def read_token_files(spark: SparkSession, out: str, every: int = EVERY) -> DataFrame:
-    """(doc_id, start, ids): each document's ids as 32-bit integers, and how many ids all documents before it have."""
+    """(doc_id, start, ids): each document's ids as 32-bit integers, and how many ids all documents before it have.
+
+    One row for each written one, null and repeated doc_ids included; files without rows give none. A document that runs
+    over several blocks is put together again.
+    """
     schema = f"block long, n_ids long, payload binary, checkpoints array<long>, {_DOCS_SQL}, part long"
     blocks = spark.read.schema(schema).parquet(f"{out}/blocks")
     # one row for each id that occurs: at most the vocabulary
@@ -163,7 +167,10 @@ def read_token_files(spark: SparkSession, out: str, every: int = EVERY) -> DataF
 
 
 def token_table(docs: DataFrame, path: str) -> DataFrame:
-    """Writes the files to the shared folder and, from what is read back, returns doc_id, start, n_tokens, ids_crc32."""
+    """Writes the files to the shared folder and, from what is read back, returns doc_id, start, n_tokens, ids_crc32.
+
+    Nulls, repeated ids and empty tables are treated as write_token_files says: one row for each row of docs.
+    """
     out = new_path(docs.sparkSession, "tokens")
     write_token_files(docs, path, out)
     return read_token_files(docs.sparkSession, out).select("doc_id", "start", F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

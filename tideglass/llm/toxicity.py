@@ -337,7 +337,11 @@ def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, ma
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, marks: int = MARKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without those that score 0.5 or more, all columns as they are."""
+    """docs without those that score 0.5 or more, all columns as they are.
+
+    Null and empty texts have the score of no marks; rows of null or repeated ids are judged by their texts, so equal ones
+    stay or go together. An empty table gives an empty result.
+    """
     chosen, weights, bias, _ = fit(docs, labels, sample, marks, id_col, text_col)
     at_col = docs.columns.index(text_col)
 
