@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tideglass.llm.bpe_codec import in_batches
-from tideglass.llm.common import drop_written, text_of, written
+from tideglass.llm.common import drop_written, fresh, key_filter, maybe_in, text_of, written
 
 SIZE = 100
 GRAM = 32
@@ -237,7 +237,8 @@ def _sorted_suffixes(items: DataFrame, label: str) -> DataFrame:
     ends = edges.groupBy("bucket").agg(F.min(F.struct("core", "least")).alias("head"), F.max(F.struct("core", "most")).alias("tail"))
     before = F.lag("tail").over(Window.orderBy("bucket"))
     goes_on = ends.withColumn("before", before).filter("before.core = head.core and before.most = head.least").select("bucket", F.lit(True).alias("goes_on"))
-    found = t.join(F.broadcast(goes_on), "bucket", "left").join(F.broadcast(shared), "core", "left")
+    # Spark broadcasts these only while they are small, as it knows from the table behind them
+    found = t.join(goes_on, "bucket", "left").join(shared, "core", "left")
     repeated = F.col("repeated") | (F.col("lead") & F.coalesce("goes_on", F.lit(False)))
     undecided = F.col("many") | (F.col("edge") & F.coalesce("shared", F.lit(False)))
     return found.select("doc", "at", "span", repeated.alias("repeated"), undecided.alias("undecided")).filter("repeated or undecided").drop("undecided")
@@ -253,6 +254,13 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return written(ordered.select(F.monotonically_increasing_id().alias("doc"), "doc_id", "body"), "keyed")
 
 
+def _near(rows: DataFrame, chosen: DataFrame, there: bool = True) -> DataFrame:
+    """The rows that may be among the chosen documents, or all others: only the former need to be shuffled to them."""
+    key, *_ = fresh(rows, 1)
+    bitmap = key_filter(chosen.select(F.xxhash64("doc").alias("hashed")), "hashed")
+    return maybe_in(rows.withColumn(key, F.xxhash64("doc")), key, bitmap, there).drop(key)
+
+
 def repeated_spans(rows: DataFrame, size: int = SIZE, gram: int = GRAM, step: int = STEP) -> DataFrame:
     """(doc, start, end): stretches of rows (doc, body) whose strings of `size` bytes all start earlier as well.
 
@@ -265,8 +273,8 @@ def repeated_spans(rows: DataFrame, size: int = SIZE, gram: int = GRAM, step: in
         sorted_ = written(_sorted_suffixes(items, f"suffixes-{level}"), f"sorted-{level}")
         found.append(sorted_.filter("repeated"))
         if part:
-            places = sorted_.filter("not repeated").groupBy("doc").agg(F.collect_list(F.shiftleft("at", 16).bitwiseOR(F.col("span"))).alias("places"))
-            items = rows.join(places, "doc").select("doc", "body", "places").mapInArrow(_next_level(size, part), _ITEM)
+            places = written(sorted_.filter("not repeated").groupBy("doc").agg(F.collect_list(F.shiftleft("at", 16).bitwiseOR(F.col("span"))).alias("places")), "places")
+            items = _near(rows, places).join(places, "doc").select("doc", "body", "places").mapInArrow(_next_level(size, part), _ITEM)
     spans = found[0].unionByName(found[1]).unionByName(found[2])
     return spans.select("doc", F.expr("at - shiftright(span, 8)").alias("start"), F.expr(f"at - (span & 255) + {size}").alias("end"))
 
@@ -301,7 +309,9 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, gram: int = GRAM, step: in
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         yield from in_batches(made(), {"doc_id": pa.int64(), "n_bytes": pa.int64(), "spans": kind, "kept": pa.binary()})
 
-    joined = rows.join(spans, "doc", "left").select("doc_id", "body", "starts", "ends")
+    none = F.lit(None).cast("array<bigint>")
+    whole = _near(rows, spans, there=False).select("doc_id", "body", none.alias("starts"), none.alias("ends"))
+    joined = whole.unionByName(_near(rows, spans).join(spans, "doc", "left").select("doc_id", "body", "starts", "ends"))
     return joined.mapInArrow(run, "doc_id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
 
 
