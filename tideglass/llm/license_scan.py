@@ -17,7 +17,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.llm.common import text_of
+from tideglass.llm.common import text_of, written
 
 THRESHOLD = 0.8
 # fixed values: the usual short notices of public licences, and short licences as a whole; one name may have several
@@ -73,18 +73,34 @@ _NORMAL = "regexp_replace(regexp_replace(lower({}), '[.!?]+([ \\t\\n])', '\x01$1
 _BIGRAMS = "array_distinct(transform(sequence(0, greatest(size({0}) - 2, 0)), i -> concat(get({0}, i), ' ', get({0}, i + 1))))"
 
 
+# fixed values: words of nearly every English text
+_COMMON = frozenset("a an and any are as at be by can for in is it may no not of on or other see that the this to use with you your".split())
+#: Telling words of a template, at most, at which it is laid over a text.
+ANCHORS = 3
+
+
+def _anchors(templates: list[tuple[int, list[str]]], telling: list[str]) -> list[tuple[int, str, int]]:
+    """(template's number, word, place of the word in it) of the longest telling words of each template."""
+    made = []
+    for t, words in templates:
+        own = sorted({*words} & {*telling}, key=lambda w: (-len(w), w))[:ANCHORS]
+        made += [(t, w, at) for at, w in enumerate(words) if w in own]
+    return made
+
+
 def telling_words(grams: list[list[str]], threshold: float) -> list[str]:
     """Words of which every section holds one that reaches the threshold with a template of these distinct bigrams.
 
     With n and m bigrams, threshold * (n + m) / 2 must be shared, which is least for the least n that the size bound
-    allows. Words that stand in more of a template's bigrams than it can do without are enough; long ones come first.
+    allows. Words that stand in more of a template's bigrams than it can do without are enough; long ones come first, and
+    the commonest of the language last.
     """
     chosen: set[str] = set()
     for own in grams:
         m = len(own)
         spare = m - threshold * (m + m * threshold / (2 - threshold)) / 2
         left = [set(g.split(" ")) for g in own if chosen.isdisjoint(g.split(" "))]
-        words = sorted({w for g in left for w in g}, key=lambda w: (-len(w), w))
+        words = sorted({w for g in left for w in g}, key=lambda w: (w in _COMMON, -len(w), w))
         while m - len(left) <= spare + 1e-9:
             chosen.add(w := words.pop(0))
             left = [g for g in left if w not in g]
@@ -122,7 +138,8 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
     literal = ", ".join(f"named_struct('license', {quote(r['license'])}, 'grams', {strings(r['grams'])}, 'm', {r['m']}, 't', {r['t']}, 'n', {len(r['w'])})" for r in known)
     sections = bodies.selectExpr("doc_id", "part", "number", "whole", "explode(array(split(trim(translate(body, '\\n\x01', '  ')), ' +'))) AS w")
     telling = telling_words([r["grams"] for r in known], threshold)
-    held = sections.filter((F.size("w") - 1 >= least) & F.arrays_overlap("w", F.array(*map(F.lit, telling))))
+    # few sections are held; they are read twice
+    held = written(sections.filter((F.size("w") - 1 >= least) & F.arrays_overlap("w", F.array(*map(F.lit, telling)))), "sections")
     # whole sections
     sized = held.selectExpr("doc_id", "part", "number", f"explode(array({_BIGRAMS.format('w')})) AS b").filter(F.size("b").between(least, most))
     bound = f"2.0D * least(size(b), t.m) / (size(b) + t.m) >= {threshold}D"
@@ -130,12 +147,10 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=TEMPL
     best = sized.selectExpr("doc_id", "part", "number", f"array_max(transform(filter(array({literal}), t -> {bound}), t -> {score('b')})) AS best")
     # windows: (template's number, place of the word in it) of each telling word
     anchors: dict[str, list[tuple[int, int]]] = {}
-    for r in known:
-        for at, w in enumerate(r["w"]):
-            if w in telling:
-                anchors.setdefault(w, []).append((r["t"], at))
+    for t, w, at in _anchors([(r["t"], r["w"]) for r in known], telling):
+        anchors.setdefault(w, []).append((t, at))
     places = ", ".join(f"{quote(w)}, array({', '.join(f'named_struct({chr(39)}t{chr(39)}, {t}, {chr(39)}at{chr(39)}, {at})' for t, at in own)})" for w, own in anchors.items())
-    hits = held.filter("whole").selectExpr("doc_id", "w", f"explode(filter(transform(w, (x, i) -> struct(x AS word, i AS place)), s -> array_contains({strings(telling)}, s.word))) AS hit")
+    hits = held.filter("whole").selectExpr("doc_id", "w", f"explode(filter(transform(w, (x, i) -> struct(x AS word, i AS place)), s -> array_contains({strings(anchors)}, s.word))) AS hit")
     laid = hits.selectExpr("doc_id", "hit.place AS number", f"transform(element_at(map({places}), hit.word), a -> struct(a.t AS t, slice(w, greatest(hit.place - a.at, 0) + 1, element_at(array({', '.join(str(len(r['w'])) for r in known)}), a.t + 1)) AS w)) AS windows")
     grams = f"transform(windows, x -> struct(element_at(array({literal}), x.t + 1) AS t, {_BIGRAMS.format('x.w')} AS b))"
     over = laid.selectExpr("doc_id", "number", f"array_max(transform({grams}, y -> transform(array(y.t), t -> {score('y.b')})[0])) AS best")
@@ -171,7 +186,8 @@ def license_sql(threshold: float = THRESHOLD, templates=TEMPLATES) -> str:
     words = "regexp_split_to_array(trim(translate({}, chr(10) || chr(1), '  ')), ' +') AS w"
     dice = "2.0::DOUBLE * len(list_intersect(b, grams)) / (len(b) + len(grams))"
     plain = [regex.sub(r"[^\p{L}\p{N}]+", " ", t[1].lower()).split() for t in templates]
-    telling = ", ".join(f"'{w}'" for w in telling_words([[*dict.fromkeys(map(" ".join, zip(w, w[1:], strict=False)))] for w in plain], threshold))
+    telling = telling_words([[*dict.fromkeys(map(" ".join, zip(w, w[1:], strict=False)))] for w in plain], threshold)
+    anchors = ", ".join(f"({t}, '{w}', {at})" for t, w, at in _anchors([*enumerate(plain)], telling))
     return rf"""
         WITH n AS (SELECT doc_id, {norm.format("coalesce(text, '')")} AS norm FROM documents),
         l AS ({parts("line", "string_split(norm, chr(10))")}),
@@ -185,9 +201,9 @@ def license_sql(threshold: float = THRESHOLD, templates=TEMPLATES) -> str:
         d AS (SELECT doc_id, part, number, arg_max(license, (dice, -t)) AS license, max(dice) AS dice
               FROM (SELECT doc_id, part, number, t, license, {dice} AS dice FROM b JOIN t ON 2.0::DOUBLE * least(len(b), len(grams)) / (len(b) + len(grams)) >= {threshold})
               GROUP BY doc_id, part, number HAVING max(dice) >= {threshold}),
-        g AS (SELECT t, license, w AS tw, grams, unnest(w) AS word, unnest(range(len(w))) AS ofs FROM t),
+        g AS (SELECT t, license, w AS tw, grams, word, ofs FROM t JOIN (VALUES {anchors}) AS v(t, word, ofs) USING (t)),
         x AS (SELECT doc_id, {words.format("norm")} FROM n), h AS (SELECT doc_id, w, unnest(w) AS word, unnest(range(len(w))) AS place FROM x),
-        o AS (SELECT doc_id, place, t, license, grams, list_slice(w, greatest(place - ofs, 0) + 1, greatest(place - ofs, 0) + len(tw)) AS w FROM h JOIN g USING (word) WHERE word IN ({telling})),
+        o AS (SELECT doc_id, place, t, license, grams, list_slice(w, greatest(place - ofs, 0) + 1, greatest(place - ofs, 0) + len(tw)) AS w FROM h JOIN g USING (word)),
         q AS (SELECT doc_id, place, t, license, {dice} AS dice FROM (SELECT doc_id, place, t, license, grams, {grams} AS b FROM o)),
         k AS (SELECT doc_id, license, max(dice) AS dice FROM (SELECT doc_id, place, arg_max(license, (dice, -t)) AS license, max(dice) AS dice FROM q GROUP BY doc_id, place HAVING max(dice) >= {threshold}) GROUP BY doc_id, license),
         a AS (SELECT doc_id, license, dice FROM d UNION ALL SELECT doc_id, license, dice FROM k ANTI JOIN (SELECT DISTINCT doc_id, license FROM d) e USING (doc_id, license)),
