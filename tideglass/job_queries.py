@@ -330,7 +330,7 @@ _stores: dict[tuple[str, str], Store] = {}
 def _store(spark: SparkSession, sf_dir: str) -> Store:
     """The store of a session and its tables: two appended snapshots of orders with inputs, names, rejections, and a run that failed behind them."""
     key = spark.sparkContext.applicationId, sf_dir
-    if key not in _stores:
+    if key not in _stores or not _stores[key]._exists(f"{_stores[key].root}/meta"):
         _stores[key] = _published(spark, sf_dir)
     return _stores[key]
 
