@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideglass.operators import analysis, ranges
+from tideglass.plans import tables
 
 T0 = datetime(2024, 1, 1)
 
@@ -72,6 +73,26 @@ def test_nearest_grid_without_cross_join(spark):
     assert "Cartesian" not in shown and "NestedLoop" not in shown and "hint" not in shown.lower()
 
 
+def test_nearest_grid_sums_a_coordinate_before_targets_meet_it(spark):
+    grid = spark.createDataFrame([(x, v) for x in (0, 10) for v in range(50)], "x int, v int")
+    targets = spark.createDataFrame([(f"t{k}", float(k % 20)) for k in range(40)] + [("none", None)], "id string, at double")
+    made = analysis.nearest_grid(grid, targets, [("x", "at")], n=F.count("*"), least=F.min("v"))
+    found = made.collect()
+    assert sorted((r.id, r.x, r.n, r.least) for r in found) == sorted((f"t{k}", 0 if k % 20 <= 5 else 10, 50, 0) for k in range(40))
+    assert "Aggregate [x" in made._jdf.queryExecution().optimizedPlan().toString().split("Join Inner")[1]  # the grid's side
+
+
+def test_grid_sums_refuse_another_unit_anywhere(spark):
+    at = F.lit("2024-01-01").cast("timestamp")
+    grid = spark.createDataFrame([(0, "K", 3.0), (0, "K", 2.0), (90, "C", 1.0)], "x int, unit string, v double").withColumn("time", at)
+    targets = spark.createDataFrame([("a", 1.0), ("b", 2.0)], "entity_id string, at double")
+    sums = {"n": F.count("*"), "least": F.min("v")}
+    fine = tables.parse_grid(grid.filter("unit = 'K'"), targets, "v", "unit", "K", [("x", "at")], **sums)
+    assert sorted((r.entity_id, r.n, r.least) for r in fine.collect()) == [("a", 2, 2.0), ("b", 2, 2.0)]
+    with pytest.raises(Exception, match="unit is not as declared: C"):
+        tables.parse_grid(grid, targets, "v", "unit", "K", [("x", "at")], **sums).collect()
+
+
 def spans_of(rows):
     """Merged, overlapping and gaps of (entity, start, end) by one pass in order."""
     merged, crossed, open_ = [], [], []

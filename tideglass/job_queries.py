@@ -169,11 +169,11 @@ def wide_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     b AS (SELECT s_suppkey, p_size FROM t, g QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(p_size - x), p_size) = 1)
     SELECT CAST(s_suppkey AS VARCHAR) AS entity_id, count(*) AS n, min(p_retailprice) AS least, '2023-12-31 23:00:00.000000' AS time_start FROM b JOIN part USING (p_size) GROUP BY 1""")
 def grid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Values of the grid point nearest each target, all in the declared unit."""
+    """The values of the grid point nearest each target, all in the declared unit: how many, and the least."""
     grid = table(spark, sf_dir, "part").select("p_size", F.lit("K").alias("unit"), F.col("p_retailprice").cast("double").alias("price"), F.lit("2024-01-01").cast("timestamp").alias("time"))
     targets = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").cast("string").alias("entity_id"), (F.col("s_nationkey") * 2).cast("double").alias("x"))
-    found = tables.parse_grid(grid, targets, "price", "unit", "K", [("p_size", "x")])
-    return found.groupBy("entity_id").agg(F.count("*").alias("n"), F.min("price").alias("least"), F.min(F.date_format("time_start", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("time_start"))
+    found = tables.parse_grid(grid, targets, "price", "unit", "K", [("p_size", "x")], n=F.count("*"), least=F.min("price"))
+    return found.groupBy("entity_id").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.min(F.date_format("time_start", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("time_start"))
 
 
 def _packed(name: str, text: str) -> bytes:

@@ -167,16 +167,21 @@ def _corner(axis: str):
     return lambda p: p[axis]
 
 
-def nearest_grid(grid: DataFrame, targets: DataFrame, axes: Sequence[tuple[str, str]]) -> DataFrame:
+def nearest_grid(grid: DataFrame, targets: DataFrame, axes: Sequence[tuple[str, str]], by: Sequence[str] = (), **sums: Column) -> DataFrame:
     """targets with the grid's rows at the nearest coordinates of each axis; of two equally near the lower one.
 
     axes: (grid column, target column). Each axis is one join of orders (ranges.nearest_values), the rest are joins by
     equal coordinates. Targets without a coordinate find nothing.
+
+    sums: aggregates of the grid's rows by name. The rows of a coordinate (and of equal values of the columns in `by`) are
+    then summed up before targets meet them, so the result has a row a target and group, and no target meets each grid row.
     """
     at = targets
     for g, t in axes:
         near = ranges.nearest_values(grid.select(g), targets.select(t)).withColumnsRenamed({"aim": f"aim_{g}", "near": f"near_{g}"})
         at = at.join(near, F.col(t).cast("double") == F.col(f"aim_{g}")).drop(f"aim_{g}")
+    if sums:
+        grid = grid.groupBy(*(g for g, _ in axes), *by).agg(*(made.alias(name) for name, made in sums.items()))
     on = [grid[g].cast("double") == at[f"near_{g}"] for g, _ in axes]
     return grid.join(at, on).drop(*(f"near_{g}" for g, _ in axes))
 

@@ -63,10 +63,17 @@ def parse_inventory(table: DataFrame, mapping: dict[str, str], numbers: Sequence
     return out.withColumn("entity_id", F.coalesce("entity_id", stop))
 
 
-def parse_grid(grid: DataFrame, targets: DataFrame, value: str, unit_col: str, unit: str, axes: Sequence[tuple[str, str]], time: str = "time", duration: str = "1 hour", slot: str = "end") -> DataFrame:
-    """A gridded variable at the grid point nearest each target; every row must be in the declared unit."""
-    fine = F.when(F.col(unit_col) == unit, F.col(value)).otherwise(F.raise_error(F.concat(F.lit("unit is not as declared: "), F.coalesce(F.col(unit_col), F.lit("none")))).cast("double"))
+def parse_grid(grid: DataFrame, targets: DataFrame, value: str, unit_col: str, unit: str, axes: Sequence[tuple[str, str]], time: str = "time", duration: str = "1 hour", slot: str = "end", **sums: Column) -> DataFrame:
+    """A gridded variable at the grid point nearest each target; every row must be in the declared unit.
+
+    sums: aggregates of the grid's rows by name, in place of the values; there is a row a target and time then.
+    """
+    stop = F.raise_error(F.concat(F.lit("unit is not as declared: "), F.coalesce(F.col(unit_col), F.lit("none"))))
     start, end = slot_interval(F.col(time), slot, duration)
+    if sums:
+        fine = grid.filter(F.when(F.col(unit_col) == unit, True).otherwise(stop.cast("boolean")))
+        return nearest_grid(fine, targets, axes, [time], **sums).select("entity_id", start.alias("time_start"), end.alias("time_end"), *sums)
+    fine = F.when(F.col(unit_col) == unit, F.col(value)).otherwise(stop.cast("double"))
     return nearest_grid(grid, targets, axes).select("entity_id", start.alias("time_start"), end.alias("time_end"), fine.alias(value))
 
 
