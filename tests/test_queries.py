@@ -1,5 +1,7 @@
 """Every registered query of the engine against its SQL on the smallest tables."""
 
+from datetime import datetime
+
 import duckdb
 import pytest
 
@@ -33,6 +35,16 @@ def test_query_equals_sql(spark, duck, sf_dir, name):
     assert rows(found) == rows(wanted)
 
 
+def test_manifest_windows_of_customers_with_one_order(spark, tmp_path):
+    at = "o_orderkey long, o_custkey long, o_orderdate timestamp"
+    orders = [(k, k, datetime(1997, 3, 1)) for k in range(18)] + [(100 + k, k, datetime(1998, 3, 1)) for k in range(18, 27)] + [(200 + k, k, datetime(1998, 4, 1)) for k in range(18, 27)]
+    spark.createDataFrame(orders, at).write.parquet(f"{tmp_path}/orders.parquet")
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW orders AS SELECT * FROM '{tmp_path}/orders.parquet/*.parquet'")
+    found = registered.queries()["manifest_windows"](spark, str(tmp_path)).toPandas()
+    assert rows(found) == rows(con.sql(registered.oracle_sql()["manifest_windows"]).df())
+
+
 def test_entry(spark):
     import __spark_entry__
 

@@ -237,7 +237,7 @@ def manifest_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     offsets = F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(1).cast("long"))
     pages = w.select("climate_id", "y", "n", F.lit("page").alias("role"), F.explode(offsets).alias("page_offset")).filter(~((c % 9 == 8) & (F.col("page_offset") == F.col("n") - 1) & (F.col("n") > 1)))
     rows = pages.unionByName(w.select("climate_id", "y", "n", F.lit("hits").alias("role"), F.lit(None).cast("long").alias("page_offset")))
-    name = F.concat_ws("-", "role", c.cast("string"), F.when(c % 9 == 6, F.lit("all")).otherwise(F.col("y").cast("string")), F.when(c % 9 == 6, F.lit("x")).otherwise(F.coalesce(F.col("page_offset").cast("string"), F.lit("n"))))
+    name = F.concat_ws("-", F.when(c % 9 == 6, F.lit("file")).otherwise(F.col("role")), c.cast("string"), F.when(c % 9 == 6, F.lit("all")).otherwise(F.col("y").cast("string")), F.when(c % 9 == 6, F.lit("x")).otherwise(F.coalesce(F.col("page_offset").cast("string"), F.lit("n"))))
     start = F.make_timestamp("y", F.lit(1), F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     end = F.make_timestamp(F.col("y") + 1, F.lit(1), F.when(c % 9 == 4, 2).otherwise(1), F.lit(0), F.lit(0), F.lit(0))
     digest = F.sha2(name.cast("binary"), 256)
