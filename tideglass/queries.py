@@ -351,9 +351,10 @@ _NEAR = "(SELECT DISTINCT p_size FROM part)"
 @query(f"""WITH t AS (SELECT s_suppkey, s_nationkey * 2.3 + 0.1 AS x FROM supplier), n AS (SELECT s_suppkey, p_size FROM t, {_NEAR} QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(p_size - x), p_size) = 1)
     SELECT s_suppkey, n.p_size, count(*) AS n_rows FROM n JOIN part USING (p_size) GROUP BY ALL""")
 def nearest_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a grid at the coordinate nearest each target."""
+    """How many rows a grid has at the coordinate nearest each target."""
     targets = table(spark, sf_dir, "supplier").select("s_suppkey", (F.col("s_nationkey") * 2.3 + 0.1).alias("x"))
-    return analysis.nearest_grid(table(spark, sf_dir, "part").select("p_size"), targets, [("p_size", "x")]).groupBy("s_suppkey", "p_size").agg(F.count("*").alias("n_rows"))
+    found = analysis.nearest_grid(table(spark, sf_dir, "part").select("p_size"), targets, [("p_size", "x")], n_rows=F.count("*"))
+    return found.groupBy("s_suppkey", "p_size").agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query("""SELECT s_suppkey, CASE WHEN s_nationkey > 2 AND s_nationkey < 8 AND s_acctbal > 0 AND s_acctbal < 4000 THEN 'inner' WHEN s_nationkey > 10 AND s_nationkey < 20 AND s_acctbal > -1000.5 AND s_acctbal < 9000 THEN 'outer' END AS zone
