@@ -216,6 +216,23 @@ def test_near_copies_away_from_the_hub(spark):
     assert found == plain_near(rows)
 
 
+def test_near_copies_leave_no_proposed_pair_undecided(spark):
+    """Each text is an edit of any earlier one: most are far from all hubs, and near few of the many that share their entries."""
+    pick, n = __import__("random").Random(4), 500
+    texts = [[f"w{pick.randrange(10**6)}" for _ in range(100)]]
+    while len(texts) < n:
+        own = [*texts[pick.randrange(len(texts))]]
+        for k in pick.sample(range(100), 2):
+            own[k] = f"e{pick.randrange(10**6)}"
+        texts.append(own)
+    rows = [(k, " ".join(w)) for k, w in enumerate(texts)]
+    shingles, segments = [{*N.shingles(t).tolist()} for _, t in rows], [{*N.segments(t)} for _, t in rows]
+    near = lambda i, j: len(shingles[i] & shingles[j]) >= N.SIMILARITY * len(shingles[i] | shingles[j])
+    pairs = [(i, j) for i in range(n) for j in range(i) if len(segments[i] & segments[j]) >= 2 and near(i, j)]
+    found = {r.doc_id: r.component_id for r in N.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), bucket=2).collect()}
+    assert not [p for p in pairs if found[p[0]] != found[p[1]]]
+
+
 def test_near_copies_hard(hard, empty):
     found = N.near_copies(hard)
     assert found.count() == hard.count() and N.near_copies(empty).count() == 0
