@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideglass.functions.scalars import NUMBER, is_calendar_day, parse_number
+from tideglass.functions.scalars import NUMBER, days_in_month
 from tideglass.functions.station_time import shift_to_utc, with_standard_offsets
 from tideglass.operators.gates import first_reason
 from tideglass.plans.result import ParseResult, rejection
@@ -84,19 +84,18 @@ def _day_text(record: Column, layout: Layout) -> Column:
     return text if layout.date == "yyyyMMdd" else F.concat(text, F.lit("01"))
 
 
-def _fields(record: Column, layout: Layout) -> list[Column]:
-    """The trimmed value of each slot, as plain substrings that code generation takes."""
-    return [F.trim(F.substring(record, F.lit(layout.front + 1 + h * (layout.value + 1)), F.lit(layout.value))) for h in range(layout.slots)]
-
-
 def _slots_fine(record: Column, code: Column, layout: Layout, elements: tuple[Element, ...]) -> Column:
-    """Whether all slots hold numbers or markers: one regular expression over all of them, chosen by the element."""
-    joined = F.array_join(F.array(*_fields(record, layout)), "\x1f")
+    """Whether all slots hold numbers or markers: one regular expression over all of them, chosen by the element.
+
+    Flags give way to a separator first, so that no value runs into the next.
+    """
+    whole = F.substring(record, F.lit(layout.front + 1), F.lit(layout.slots * (layout.value + 1)))
+    joined = F.regexp_replace(whole, rf"(?s)(.{{{layout.value}}}).", "$1\x1f")
     number = NUMBER.strip("^$")
 
     def pattern(marks: tuple[str, ...]) -> str:
         field = "(?:" + "|".join([number, *(rf"\Q{m}\E" for m in (layout.missing, *marks))]) + ")"
-        return rf"^{field}(?:\x1f{field}){{{layout.slots - 1}}}$"
+        return rf"^(?: *{field} *\x1f){{{layout.slots}}}$"
 
     fine = joined.rlike(pattern(()))
     for marks in sorted({e.missing for e in elements if e.missing}):
@@ -162,16 +161,18 @@ def _element_table(df: DataFrame, elements: tuple[Element, ...]) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, "source_element string, variable string, scale double, duration int, start_minute int, end_minute int, before_year int, duration_before int, marks array<string>"))
 
 
-def _slots(records: DataFrame, layout: Layout) -> DataFrame:
-    flag = lambda h: F.trim(F.substring("record", layout.front + 1 + h * (layout.value + 1) + layout.value, 1))
-    slots = F.array(*(F.struct(F.lit(h).alias("slot"), text.alias("text"), flag(h).alias("quality_flag")) for h, text in enumerate(_fields(F.col("record"), layout))))
-    return records.select("*", F.inline(slots))
+def _slots(records: DataFrame, layout: Layout, slots: Column | None = None) -> DataFrame:
+    """records with slot, text and quality_flag, a row for each of the first so many slots, all by default."""
+    # code that names each slot is too long to be compiled, and a slot's place in the record is sought from its start
+    cells = F.regexp_extract_all(F.substring("record", F.lit(layout.front + 1), F.lit(layout.slots * (layout.value + 1))), F.lit(rf"(?s).{{{layout.value + 1}}}"), F.lit(0))
+    placed = records.select("*", F.posexplode(cells if slots is None else F.slice(cells, F.lit(1), slots)).alias("slot", "cell"))
+    return placed.select("*", F.trim(F.substring("cell", F.lit(1), F.lit(layout.value))).alias("text"), F.trim(F.substring("cell", F.lit(layout.value + 1), F.lit(1))).alias("quality_flag"))
 
 
 def _value(layout: Layout) -> Column:
-    """The scaled number of a slot; a marker of the layout or the element gives null."""
+    """The scaled number of a checked record's slot; a marker of the layout or the element gives null."""
     missing = (F.col("text") == layout.missing) | F.array_contains("marks", F.col("text"))
-    return F.when(~missing, parse_number(F.col("text")) * F.col("scale"))
+    return F.when(~missing, F.col("text").try_cast("double") * F.col("scale"))
 
 
 def parse_hourly(lines: DataFrame, zones: DataFrame, elements: tuple[Element, ...], policy: str = "error", stations: list[str] | None = None, layout: Layout = HOURLY) -> ParseResult:
@@ -195,7 +196,7 @@ def parse_hourly(lines: DataFrame, zones: DataFrame, elements: tuple[Element, ..
         set_aside = placed.filter(F.lit(False))
     else:
         set_aside, placed = placed.filter("reason IS NOT NULL"), placed.filter("reason IS NULL")
-    slots = _slots(placed, layout).join(_element_table(lines, elements), "source_element")
+    slots = _slots(placed.join(_element_table(lines, elements), "source_element"), layout)
     minutes = F.when(F.year("day") < F.col("before_year"), F.coalesce("duration_before", "duration")).otherwise(F.col("duration"))
     first = F.col("slot") * 60 + F.coalesce(F.col("start_minute"), F.col("end_minute") - minutes)
     start = shift_to_utc(F.timestamp_micros(F.unix_micros(F.col("day").cast("timestamp")) + first.cast("long") * 60_000_000), F.col("offset_start"))
@@ -224,9 +225,10 @@ def parse_daily(lines: DataFrame, elements: tuple[Element, ...], eras: tuple[Day
     records, lost = route_lines(lines, layout, elements, "error")
     record = F.col("record")
     known = records.select("source", "line_number", "record", F.trim(_part(record, 0, layout.station)).alias("entity_id"), _part(record, layout.station, 6).alias("month"), _part(record, layout.station + 6, layout.element).alias("source_element"))
-    slots = _slots(known, layout).join(_element_table(lines, elements), "source_element")
-    year, month, day = F.substring("month", 1, 4).cast("int"), F.substring("month", 5, 2).cast("int"), F.col("slot") + 1
-    real = slots.filter(is_calendar_day(year, month, day)).withColumn("day", F.date_add(F.to_date(F.concat("month", F.lit("01")), "yyyyMMdd"), F.col("slot")))
+    days = days_in_month(F.substring("month", 1, 4).cast("int"), F.substring("month", 5, 2).cast("int"))
+    dated = known.withColumn("first_day", F.to_date(F.concat("month", F.lit("01")), "yyyyMMdd"))
+    slots = _slots(dated.join(_element_table(lines, elements), "source_element"), layout, F.least(days, F.lit(layout.slots)))
+    real = slots.withColumn("day", F.date_add("first_day", F.col("slot")))
     hits, hour = F.lit(0), F.lit(None).cast("int")
     for e in eras:
         now = (F.col("day") >= F.lit(e.start).cast("date")) & (F.lit(True) if e.end is None else F.col("day") < F.lit(e.end).cast("date"))

@@ -58,18 +58,29 @@ def hourly_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(lines.withColumn("block_start", F.lit(0)), order="day").select("source", "line_number", "raw")
 
 
+def _month_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(station, year, month, m): of a customer's month the days with orders, m giving their number n and whether one is open.
+
+    A day's orders are summed up before they meet their month, so a month's map has 31 entries at most.
+    """
+    o = table(spark, sf_dir, "orders")
+    days = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("n"), F.max(F.col("o_orderstatus").eqNullSafe("P")).alias("open"))
+    entry = F.struct(F.coalesce(F.dayofmonth("day"), F.lit(0)), F.struct("n", "open"))
+    months = days.groupBy("o_custkey", F.year("day").alias("year"), F.month("day").alias("month")).agg(F.map_from_entries(F.collect_list(entry)).alias("m"))
+    return months.select(F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("station"), "year", "month", "m")
+
+
 def order_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(station, year, month, value1 .. value31, flag1 .. flag31): a customer's orders by day of a month, P flagging days with open ones."""
-    o = table(spark, sf_dir, "orders")
-    at = F.dayofmonth("o_orderdate")
-    keys = [F.lpad(F.col("o_custkey").cast("string"), 7, "0").alias("station"), F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month")]
-    slots = [x for d in range(1, 32) for x in (F.count_if(at == d).cast("double").alias(f"value{d}"), F.max(F.when((at == d) & (F.col("o_orderstatus") == "P"), "P")).alias(f"flag{d}"))]
-    return o.groupBy(*keys).agg(*slots)
+    # lambdas keep the generated code short: methods beyond 8000 bytes are never compiled
+    slots = F.expr("transform(sequence(1, 31), d -> struct(cast(coalesce(m[d].n, 0) as double) as n, if(m[d].open, 'P', null) as flag))")
+    made = _month_days(spark, sf_dir).select("station", "year", "month", slots.alias("s"))
+    named = [x for d in range(31) for x in (F.get("s", F.lit(d))["n"].alias(f"value{d + 1}"), F.get("s", F.lit(d))["flag"].alias(f"flag{d + 1}"))]
+    return made.select("station", "year", "month", *named)
 
 
 def monthly_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(source, line_number, raw): order_months as monthly records."""
-    months = order_months(spark, sf_dir)
-    slots = [x for d in range(1, 32) for x in (F.lpad(F.col(f"value{d}").cast("int").cast("string"), 6, " "), F.coalesce(f"flag{d}", F.lit(" ")))]
-    raw = F.concat("station", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("001"), *slots)
-    return months.select(F.lit("orders").alias("source"), F.lit(1).cast("long").alias("line_number"), raw.alias("raw"))
+    """(source, line_number, raw): a customer's orders by day of a month as monthly records, P flagging days with open ones."""
+    slots = F.expr("array_join(transform(sequence(1, 31), d -> concat(lpad(cast(coalesce(m[d].n, 0) as string), 6, ' '), if(m[d].open, 'P', ' '))), '')")
+    raw = F.concat("station", F.col("year").cast("string"), F.lpad(F.col("month").cast("string"), 2, "0"), F.lit("001"), slots)
+    return _month_days(spark, sf_dir).select(F.lit("orders").alias("source"), F.lit(1).cast("long").alias("line_number"), raw.alias("raw"))
