@@ -122,7 +122,8 @@ def civil_to_utc(local: Column, zone: str) -> Column:
 
     Where the offset is the same over a day before and behind, which is nearly always, it is the clock's own.
     """
-    around = lambda h: _seconds_in_force(local + F.expr(f"INTERVAL '{h}' HOUR"), zone)
+    # plain sums of microseconds: Spark takes an interval of hours through the session's calendar
+    around = lambda h: _seconds_in_force(shift_to_utc(local, F.lit(-3600 * h)), zone)
     first = around(_AROUND[0])
     alone = shift_to_utc(local, first)
     steady = (first == around(_AROUND[-1])) & (F.from_utc_timestamp(alone, zone) == local)

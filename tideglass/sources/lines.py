@@ -143,6 +143,9 @@ def require_columns(df: DataFrame, columns: Sequence[str], text: Sequence[str] =
 
 def month_matrix(table: DataFrame, station: str, year: str, month: str, value_stem: str, flag_stem: str) -> DataFrame:
     """(station, year, month, day, value, flag): a row for each of the 31 day slots of a station's months."""
-    slots = F.array(*(F.struct(F.lit(d).alias("day"), F.col(f"{value_stem}{d}").cast("double").alias("value"), F.coalesce(F.col(f"{flag_stem}{d}").cast("string"), F.lit("")).alias("flag")) for d in range(1, 32)))
     require_columns(table, [station, year, month, *(f"{s}{d}" for d in range(1, 32) for s in (value_stem, flag_stem))])
-    return table.select(F.col(station).alias("station"), F.col(year).cast("int").alias("year"), F.col(month).cast("int").alias("month"), F.inline(slots))
+    values, flags = (F.array(*(F.col(f"{stem}{d}").cast(kind) for d in range(1, 32))) for stem, kind in ((value_stem, "double"), (flag_stem, "string")))
+    # two plain arrays and a generator: code that makes a struct of each slot is too long to be compiled
+    both = table.select(F.col(station).alias("station"), F.col(year).cast("int").alias("year"), F.col(month).cast("int").alias("month"), values.alias("values"), flags.alias("flags"))
+    slots = both.select("*", F.posexplode("values").alias("at", "value"))
+    return slots.select("station", "year", "month", (F.col("at") + 1).alias("day"), "value", F.coalesce(F.get("flags", F.col("at")), F.lit("")).alias("flag"))
