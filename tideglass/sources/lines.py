@@ -40,16 +40,17 @@ def lines_of(texts: DataFrame, source: str, text: str) -> DataFrame:
     return cut.select("source", (F.col("at") + 1).cast("long").alias("line_number"), F.regexp_replace("raw", "\r+$", "").alias("raw"))
 
 
-def _cells(raw: Column, width: int) -> Column:
-    """The cells of one CSV line."""
+def _with_cells(lines: DataFrame, width: int) -> DataFrame:
+    """lines with the cells of their CSV in raw. A line is parsed once: the optimizer would parse it for each cell that is named."""
     schema = ", ".join(f"c{k} string" for k in range(width))
-    parsed = F.from_csv(raw, schema, {"emptyValue": "", "nullValue": "\u0000", "mode": "PERMISSIVE"})
-    return F.array(*(parsed[f"c{k}"] for k in range(width)))
+    parsed = F.from_csv("raw", schema, {"emptyValue": "", "nullValue": "\u0000", "mode": "PERMISSIVE"})
+    names = [f"_c{k}" for k in range(width)]
+    return lines.select("*", F.inline(F.array(parsed)).alias(*names)).withColumn("cells", F.array(*names)).drop(*names)
 
 
 def headed_csv(lines: DataFrame, header_cell: str, width: int) -> DataFrame:
     """(source, line_number, header, cells): what follows the first line of each source that has the header cell."""
-    cells = lines.withColumn("cells", _cells(F.col("raw"), width)).filter(F.trim("raw") != "")
+    cells = _with_cells(lines.filter(F.trim("raw") != ""), width)
     heads = cells.filter(F.array_contains(F.transform("cells", lambda c: F.trim(c)), header_cell)).groupBy("source").agg(F.min(F.struct("line_number", "cells")).alias("h"))
     below = cells.join(heads, "source").filter(F.col("line_number") > F.col("h.line_number"))
     return below.select("source", "line_number", F.transform("h.cells", lambda c: F.trim(c)).alias("header"), "cells")
@@ -77,7 +78,7 @@ def commented_csv(lines: DataFrame, header: Sequence[str], required: Sequence[st
     fine = (F.regexp_replace("h.raw", r"\s*,\s*", ",") == wanted) & F.forall(F.array(*map(F.lit, required)), lambda k: F.col("metadata")[k].isNotNull())
     heads = heads.select("source", F.when(fine, F.col("h.line_number")).otherwise(F.raise_error(F.concat(F.lit("preamble or header not as declared: "), F.col("source"))).cast("long")).alias("at"), "metadata")
     below = mark.filter(~F.col("comment")).join(heads, "source").filter(F.col("line_number") > F.col("at"))
-    cells = below.select("source", "line_number", "metadata", F.filter(_cells(F.col("raw"), width), lambda c: c.isNotNull()).alias("cells"))
+    cells = _with_cells(below, width).select("source", "line_number", "metadata", F.filter("cells", lambda c: c.isNotNull()).alias("cells"))
     return cells.filter(F.exists("cells", lambda c: F.trim(c) != ""))
 
 
@@ -90,8 +91,8 @@ def api_pages(pages: DataFrame, columns: Sequence[str], source: str = "source",
     head = F.when(F.get("lines", F.lit(0)) == ",".join(columns), F.lit(True)).otherwise(F.raise_error(F.concat(F.lit("header not as declared: "), F.col("source"))).cast("boolean"))
     rows = cut.filter(head).select("source", F.posexplode("lines").alias("row_number", "raw")).filter("row_number > 0")
     schema = ", ".join(f"`{c}` string" for c in columns)
-    parsed = rows.select("source", "row_number", F.from_csv("raw", schema, {"emptyValue": "", "nullValue": "\u0000", "mode": "FAILFAST"}).alias("c"))
-    return parsed.select("source", "row_number", *(F.col("c")[c].alias(c) for c in columns))
+    # a row is parsed once: the optimizer would parse it for each column that is named
+    return rows.select("source", "row_number", F.inline(F.array(F.from_csv("raw", schema, {"emptyValue": "", "nullValue": "\u0000", "mode": "FAILFAST"}))).alias(*columns))
 
 
 def hits_count(body: Column) -> Column:
