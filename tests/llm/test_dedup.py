@@ -233,6 +233,43 @@ def test_near_copies_leave_no_proposed_pair_undecided(spark):
     assert not [p for p in pairs if found[p[0]] != found[p[1]]]
 
 
+def test_near_copies_sketches_bound_the_coefficient():
+    """Sketches never differ in more buckets than the texts have shingles apart."""
+    pick = __import__("random").Random(8)
+    for n, edits in ((0, 0), (3, 1), (60, 1), (60, 9), (400, 5), (400, 60), (5000, 700)):
+        one = [f"w{pick.randrange(500)}" for _ in range(n)]
+        other = [*one]
+        for k in pick.sample(range(n), edits):
+            other[k] = f"e{pick.randrange(500)}"
+        x, y = (N.shingles(" ".join(w)) for w in (one, other))
+        differ = int(np.bitwise_count((N.sketch(x) ^ N.sketch(y)).view(np.uint64)).sum())  # of signed words it counts their absolute value
+        assert differ <= len(np.setxor1d(x, y)) and (differ > 0) == (edits > 0)
+
+
+def test_near_copies_far_texts_of_a_family_make_no_rows(spark, monkeypatch):
+    """Many texts that share entries and are no near copies are decided without a row for each two; near ones among them are linked."""
+    pick, verified, counts = __import__("random").Random(5), N._verified, []
+
+    def edited(words, count):
+        own = [*words]
+        for k in pick.sample(range(len(own)), count):
+            own[k] = f"e{pick.randrange(10**6)}"
+        return own
+
+    base = [f"w{pick.randrange(10**6)}" for _ in range(200)]
+    far = [edited(base, 7) for _ in range(150)]
+    rows = [(k, " ".join(w)) for k, w in enumerate([*far, *(edited(w, 1) for w in far[:20])])]
+
+    def counted(rows, entries, found, words, similarity):
+        counts.append(found.count())
+        return verified(rows, entries, found, words, similarity)
+
+    monkeypatch.setattr(N, "_verified", counted)
+    found = {r.doc_id: r.component_id for r in N.near_copies(spark.createDataFrame(rows, "doc_id long, text string"), bucket=4).collect()}
+    assert found == plain_near(rows) and len({*found.values()}) == 150
+    assert counts[1] <= 100, counts
+
+
 def test_near_copies_hard(hard, empty):
     found = N.near_copies(hard)
     assert found.count() == hard.count() and N.near_copies(empty).count() == 0
