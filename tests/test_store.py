@@ -3,9 +3,13 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
+from tideglass import recast
 from tideglass.operators.gates import GateError, band_quantiles, check_plausible
 from tideglass.operators.views import guarded_pivot, normalized_variables
+from tideglass.plans import tables
 from tideglass.spec import DatasetSpec, DeclarationError, PlausibilityBand, Registry, VariableSpec
 from tideglass.store import Store, StoreError
 
@@ -192,3 +196,41 @@ def test_no_local_folder_on_a_cluster(monkeypatch):
     spark = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
     with pytest.raises(ValueError, match="checkpoint.dir"):
         shared_path(spark, "x")
+
+
+def _plans(spark, call):
+    """The executed plans of the writes that a call makes."""
+    found = []
+    save = DataFrameWriter.parquet
+
+    def seen(self, path, *a, **k):
+        found.append((path, self._df._jdf.queryExecution().executedPlan().toString()))
+        return save(self, path, *a, **k)
+
+    DataFrameWriter.parquet = seen
+    try:
+        call()
+    finally:
+        DataFrameWriter.parquet = save
+    return found
+
+
+def test_stored_rows_are_sorted_once_and_in_key_order(spark, tmp_path):
+    """A partitioned write keeps the order of rows within each file; with another order it would sort them again."""
+    store = Store(spark, str(tmp_path / "store"), Registry([recast.ORDERS]))
+    days = spark.range(4000).select(F.lpad((F.col("id") * 7919 % 50).cast("string"), 7, "0").alias("entity_id"), F.expr("timestamp'1995-01-01' + make_dt_interval(cast(id * 31 % 1500 as int))").alias("time_start"), F.col("id").cast("double").alias("total"))
+    days = days.dropDuplicates(["entity_id", "time_start"]).withColumn("time_end", F.expr("time_start + INTERVAL '1' DAY")).select("entity_id", "time_start", "time_end", "total")
+    writes = _plans(spark, lambda: store._write(days, recast.ORDERS, "run_x", "src"))
+    (path, plan), = [w for w in writes if "/data/" in w[0]]
+    sort = next(line for line in plan.splitlines() if "Sort [" in line)
+    assert sort.index("year") < sort.index("entity_bucket") < sort.index("entity_id") < sort.index("time_start")
+
+
+def test_first_rejections_of_a_run_are_written_once(spark, tmp_path):
+    store = Store(spark, str(tmp_path / "store"), Registry([recast.ORDERS]))
+    lost = lambda n, reason: spark.range(n).select(*tables.rejection(F.lit("s"), F.concat(F.lit("line:"), F.col("id").cast("string")), F.lit("x"), F.lit(reason), F.lit("raw"), F.lit(0), F.struct("id")))
+    writes = _plans(spark, lambda: store.record_rejections("run_a", "orders_daily", lost(20, "first")))
+    assert len(writes) == 1
+    store.record_rejections("run_a", "orders_daily", lost(5, "again"))
+    store.record_rejections("run_b", "orders_daily", lost(3, "other"))
+    assert {(r.run_id, r.reason): r["count"] for r in store.meta("rejections").groupBy("run_id", "reason").count().collect()} == {("run_a", "first"): 15, ("run_a", "again"): 5, ("run_b", "other"): 3}

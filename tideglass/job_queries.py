@@ -338,9 +338,9 @@ def _store(spark: SparkSession, sf_dir: str) -> Store:
 def _published(spark: SparkSession, sf_dir: str) -> Store:
     store = Store(spark, shared_path(spark, "store"), Registry([recast.ORDERS]))
     days = _order_days(spark, sf_dir)
-    old, new = days.filter(F.year("time_start") < 1998), days.filter(F.year("time_start") >= 1998)
+    old, new = days.filter(F.year("time_start") < 1998), kept(days.filter(F.year("time_start") >= 1998), "new")  # published twice
     at = F.lit("2024-01-01").cast("timestamp")
-    members = days.select("entity_id").distinct()
+    members = kept(days.select("entity_id").distinct(), "members")  # named in three tables
     inputs = members.select(F.concat(F.lit("member:"), "entity_id").alias("input_key"), F.concat(F.lit("src_"), "entity_id").alias("source_id"), F.lit("observation_source").alias("input_role"), F.to_json(F.struct("entity_id")).alias("details_json"))
     plan = spark.createDataFrame([("selection", "src_selection", "selection_manifest", "{}")], "input_key string, source_id string, input_role string, details_json string")
     names = members.select(F.concat(F.lit("src_"), "entity_id").alias("source_id"), F.concat(F.lit("orders of "), "entity_id").alias("original_name"))

@@ -86,7 +86,8 @@ class Store:
         key = ["source", "rejection_key"]
         new = rejected.withColumn("dataset_id", F.lit(dataset_id)).select(*columns).dropDuplicates(key)
         before = self.meta("rejections").filter(F.col("run_id") == run).select(*columns)
-        whole = kept(new.unionByName(before.join(new, key, "left_anti")), "rejections")
+        # a run's first rejections replace none: nothing is read that the write then overwrites
+        whole = new if before.isEmpty() else kept(new.unionByName(before.join(new, key, "left_anti")), "rejections")
         whole.withColumn("run_id", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
 
     def runs(self) -> DataFrame:
@@ -180,7 +181,8 @@ class Store:
         base = f"{self.root}/data/{spec.dataset_id}"
         out = with_partitions(df, spec).withColumns({LINEAGE[0]: F.lit(source_id), LINEAGE[1]: F.lit(run)})
         parts = [] if spec.storage == "reference" else ["year", "entity_bucket"]
-        placed = out.repartition(*parts).sortWithinPartitions("entity_id", *spec.time_columns) if parts else out
+        # in the order that a partitioned write asks for, or it would sort all rows again and lose theirs
+        placed = out.repartition(*parts).sortWithinPartitions(*parts, "entity_id", *spec.time_columns) if parts else out
         writer = placed.write.option("compression", "zstd")
         (writer.partitionBy(*parts) if parts else writer).parquet(f"{base}/run={run}")
         return self.spark.read.option("basePath", base).parquet(f"{base}/run={run}")
