@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
+from tideglass import job_queries
 from tideglass.sources import lines as sources
 
 
@@ -25,3 +26,10 @@ def test_a_line_is_parsed_once(spark, kind):
         rows = made.select(*(F.get("cells", F.lit(k)).alias(f"x{k}") for k in range(3))).filter("x0 = '1'")
     # a header is looked for in a pass of its own
     assert _parses(rows) <= (2 if kind == "headed" else 1)
+
+
+def test_pages_and_their_counts_are_made_once(spark, sf_dir):
+    """Neither side deals the events again when it is used."""
+    for side in job_queries._pages(spark, sf_dir):
+        plan = side._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in plan and "Aggregate" not in plan

@@ -46,7 +46,8 @@ def _pages(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
         F.when(k % 7 == 0, "M").otherwise(F.col("value").cast("string")), F.when(k % 5 == 0, "E").otherwise(""), k.cast("string"),
     )
     source = F.concat(F.lit("page"), F.col("user_id").cast("string"), F.lit("-"), F.date_format("ts", "yyyy-MM-dd"))
-    made = alone.groupBy(source.alias("source"), station.alias("climate_id"), day.alias("day")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("local", line.alias("line")))), lambda x: x["line"]), "\r\n").alias("rows"), F.count("*").alias("n"))  # a page a user and day
+    # a page a user and day; written, or the events would be dealt again for each use of the pages and their counts
+    made = kept(alone.groupBy(source.alias("source"), station.alias("climate_id"), day.alias("day")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("local", line.alias("line")))), lambda x: x["line"]), "\r\n").alias("rows"), F.count("*").alias("n")), "made-pages")
     body = F.concat(F.lit(",".join(_PAGE) + "\r\n"), "rows", F.lit("\r\n"))
     hits = F.concat(F.lit('{"type":"FeatureCollection","features":[],"numberMatched":'), F.col("n").cast("string"), F.lit("}"))
     return made.select("source", body.alias("body")), made.select("source", "climate_id", "day", sources.hits_count(hits).alias("matched"))
