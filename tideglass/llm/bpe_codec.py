@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideglass.llm.bpe import TextEncoder, Vocabulary
-from tideglass.llm.common import small_batches
+from tideglass.llm.common import release_memory, small_batches
 
 #: Bytes of a batch that a task hands on at once.
 _OUT = 4 << 20
@@ -26,7 +26,7 @@ def in_batches(rows, types: dict[str, pa.DataType]):
             cols, size = [[] for _ in types], 0
     yield make()
     cols.clear()
-    pa.default_memory_pool().release_unused()  # workers live on, and others share the executor's memory
+    release_memory()  # workers live on, and others share the executor's memory
 
 
 def encode_documents(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

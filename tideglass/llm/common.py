@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +66,19 @@ def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     return df
 
 
+def release_memory() -> None:
+    """Gives memory that a task has freed back to the system: Arrow's, and, where there is glibc, that of all else."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux" and (trim := getattr(ctypes.CDLL(None), "malloc_trim", None)):
+        trim(0)
+
+
+def released(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """batches; behind the last one memory is released: workers live on, and others share the executor's memory."""
+    yield from batches
+    release_memory()
+
+
 def text_of(df: DataFrame, text_col: str = "text") -> Column:
     """The text column; null counts as empty."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))

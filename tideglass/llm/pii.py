@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from tideglass.llm.boosting import Boosted
 from tideglass.llm.bpe_codec import in_batches
-from tideglass.llm.common import drop_written, small_batches, written
+from tideglass.llm.common import drop_written, released, small_batches, written
 
 KINDS = ("email", "ip", "card", "phone", "id", "secret")
 BASE = KINDS[:4]
@@ -452,7 +452,7 @@ def redact(docs: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_c
                 out.append(text if not spans else "".join(parts) + text[at:])
             yield b.set_column(at_col, b.schema.field(at_col), pa.array(out, b.schema.field(at_col).type))
 
-    return docs.mapInArrow(hide, docs.schema)
+    return docs.mapInArrow(lambda batches: released(hide(batches)), docs.schema)
 
 
 def span_text(spans: Column) -> Column:
