@@ -177,8 +177,12 @@ def grid_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.groupBy("entity_id").agg(F.sum("n").alias("n"), F.min("least").alias("least"), F.min(F.date_format("time_start", "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias("time_start"))
 
 
+#: The encoder clears tables of its dictionary's size for each file, and a customer's file is small.
+_XZ = [{"id": lzma.FILTER_LZMA2, "preset": 0, "dict_size": 1 << 16}]
+
+
 def _packed(name: str, text: str) -> bytes:
-    return lzma.compress(text.encode(), preset=0) if name.endswith(".xz") else gzip.compress(text.encode(), 1) if name.endswith(".gz") else text.encode()
+    return lzma.compress(text.encode(), filters=_XZ) if name.endswith(".xz") else gzip.compress(text.encode(), 1) if name.endswith(".gz") else text.encode()
 
 
 def _unit_files(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,18 +111,18 @@ def member_lines(files: DataFrame) -> DataFrame:
 
     def run(batches):
         types = {"source": pa.string(), "line_number": pa.int64(), "raw": pa.string()}
+        cols, size = ([], [], []), 0  # small files share a batch
+        make = lambda: pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types.values(), strict=True)], names=[*types])
         for b in batches:
             for name, content in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                cols, size = ([], []), 0
-                make = lambda: pa.RecordBatch.from_arrays([pa.array([name] * len(cols[0]), pa.string()), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.string())], names=[*types])  # noqa: B023, E731
                 for n, raw in enumerate(_lines(name, content.as_py() or b""), 1):
-                    cols[0].append(n)
-                    cols[1].append(raw.decode("utf-8"))
-                    size += len(raw) + 16
+                    for c, v in zip(cols, (name, n, raw.decode("utf-8")), strict=True):
+                        c.append(v)
+                    size += len(name) + len(raw) + 16
                     if size >= _OUT:
                         yield make()
-                        cols, size = ([], []), 0
-                yield make()
+                        cols, size = ([], [], []), 0
+        yield make()
 
     return files.select("file_name", "content").mapInArrow(run, "source string, line_number long, raw string")
 
@@ -154,7 +154,9 @@ def corrected_values(files: DataFrame, manifest: DataFrame, pattern: str, header
     members = named.select("file_name", F.regexp_extract("file_name", pattern, 1).alias("station"), F.regexp_extract("file_name", pattern, 2).alias("first_day"), F.col("sha256").alias("file_sha256"), F.col("size_bytes").cast("long"))
     none = members.select(F.col("station"), F.lit(None).cast("double").alias("area")).limit(0)
     chosen, counts = select_members(members, none if areas is None else areas, "station", limit)
-    lines = member_lines(files.join(chosen.select("file_name"), "file_name", "left_semi"))
+    chosen = kept(chosen, "chosen")
+    # written, or the files would be decoded again for the rows behind their preambles
+    lines = kept(member_lines(files.join(chosen.select("file_name"), "file_name", "left_semi")), "lines")
     rows = commented_csv(lines, header, required, width)
     own = rows.join(chosen.select(F.col("file_name").alias("source"), "station", "first_day", "file_sha256"), "source")
     same = F.when(F.col("metadata")["Station"] == F.col("station"), F.col("station")).otherwise(F.raise_error(F.concat(F.lit("another station than in the name of "), F.col("source"))).cast("string"))
